@@ -1,17 +1,10 @@
-"""Derived classifier features."""
+"""Derived classifier features, by name."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-
-def pm_ratio(pm10: Column, pm25: Column) -> Column:
-    return F.try_divide(pm10, pm25 + F.lit(0.001).cast("double"))
-
-
-def temp_humidity(temperature_c: Column, humidity: Column) -> Column:
-    return temperature_c * humidity
-
-
-def pollution_index(pm25: Column, no2_ppm: Column, o3_ppm: Column) -> Column:
-    return pm25 + no2_ppm * 100 + o3_ppm * 100
+# The small constant keeps the ratio finite for a PM2.5 value of zero.
+DERIVED = {
+    "pm_ratio": "try_divide(pm10, pm25 + 0.001D)",
+    "temp_humidity": "temperature_c * humidity",
+    "pollution_index": "pm25 + no2_ppm * 100 + o3_ppm * 100",
+}

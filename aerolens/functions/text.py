@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 
-
-def fixed_decimals(value: Column, digits: int) -> Column:
+def fixed_decimals(value: str, digits: int) -> str:
     """Decimal text with ``digits`` places, half rounded up; ``nan`` when missing."""
     # Reading the value at two places first keeps binary noise out of the rounding.
-    exact = value.cast("decimal(20,2)")
-    return F.coalesce(F.round(exact, digits).cast(f"decimal(20,{digits})").cast("string"), F.lit("nan"))
+    rounded = f"round(cast({value} as decimal(20,2)), {digits})"
+    return f"coalesce(cast(cast({rounded} as decimal(20,{digits})) as string), 'nan')"
 
 
-def title_case(name: Column) -> Column:
+def title_case(name: str) -> str:
     """``avg_pm25`` -> ``Avg Pm25``."""
-    return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))
+    return f"initcap(replace({name}, '_', ' '))"
 
 
-def timestamp_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+def timestamp_text(ts: str) -> str:
+    return f"date_format({ts}, 'yyyy-MM-dd HH:mm:ss')"

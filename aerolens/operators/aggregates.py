@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from aerolens.functions.ladders import traffic_light
-from aerolens.operators.filters import as_of_column, open_alerts
+from aerolens.operators.filters import open_alerts, recent
 from aerolens.schema import SEVERITIES
 
 
@@ -23,53 +23,54 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
 def kpi_summary(readings: DataFrame, alerts: DataFrame) -> DataFrame:
     """One row of key figures; on no rows the averages are NULL and the counts zero."""
     return readings.agg(
-        F.avg("pm25").alias("avg_pm25"),
-        F.avg("co2_ppm").alias("avg_co2"),
-        F.max("pm25").alias("max_pm25"),
-        F.count(F.lit(1)).alias("total_records"),
-    ).withColumn("active_alerts", open_alerts(alerts).select(F.count(F.lit(1))).scalar())
+        F.expr("avg(pm25) as avg_pm25"),
+        F.expr("avg(co2_ppm) as avg_co2"),
+        F.expr("max(pm25) as max_pm25"),
+        F.expr("count(*) as total_records"),
+    ).withColumn("active_alerts", _rows(open_alerts(alerts)))
+
+
+def _rows(df: DataFrame):
+    """The number of rows, as a scalar subquery."""
+    return df.agg(F.expr("count(*)")).scalar()
 
 
 def kpi_bands(summary: DataFrame) -> DataFrame:
     """Traffic light per key figure."""
-    return summary.select(
-        traffic_light(F.col("avg_pm25"), 35, 12).alias("avg_pm25_band"),
-        traffic_light(F.col("avg_co2"), 600, 500).alias("avg_co2_band"),
-        traffic_light(F.col("max_pm25"), 100, 55).alias("max_pm25_band"),
-        traffic_light(F.col("active_alerts"), 10, 0).alias("active_alerts_band"),
+    # Upper and middle limits.
+    limits = {"avg_pm25": (35, 12), "avg_co2": (600, 500), "max_pm25": (100, 55), "active_alerts": (10, 0)}
+    return summary.selectExpr(
+        *[f"{traffic_light(name, high, mid)} as {name}_band" for name, (high, mid) in limits.items()]
     )
 
 
 def kpi_overview(readings: DataFrame, stations: DataFrame, alerts: DataFrame) -> DataFrame:
     """Active stations, latest PM2.5, open alerts and average temperature."""
     return readings.agg(
-        F.max_by("pm25", F.struct("ts", "record_id")).alias("latest_pm25"),
-        F.avg("temperature_c").alias("avg_temperature"),
+        F.expr("max_by(pm25, struct(ts, record_id)) filter (where pm25 is not null) as latest_pm25"),
+        F.expr("avg(temperature_c) as avg_temperature"),
     ).withColumns(
-        {
-            "active_stations": stations.where("is_active").select(F.count(F.lit(1))).scalar(),
-            "open_alerts": open_alerts(alerts).select(F.count(F.lit(1))).scalar(),
-        }
+        {"active_stations": _rows(stations.where("is_active")), "open_alerts": _rows(open_alerts(alerts))}
     )
 
 
 def severity_counts(alerts: DataFrame) -> DataFrame:
     """Open alerts per severity, all four levels; one aggregate row is turned on its side."""
     counted = open_alerts(alerts).agg(
-        *[F.count_if(F.col("severity") == name).alias(name) for name in SEVERITIES]
+        *[F.expr(f"count_if(severity = '{name}') as {name}") for name in SEVERITIES]
     )
     return counted.unpivot([], SEVERITIES, "severity", "open_alerts")
 
 
 def recent_prediction_count(predictions: DataFrame, as_of=None, minutes: int = 5) -> DataFrame:
-    start = as_of_column(predictions, as_of, "predicted_at") - F.expr(f"interval {int(minutes)} minutes")
-    return predictions.where(F.col("predicted_at") >= start).agg(F.count(F.lit(1)).alias("predictions"))
+    """Predictions made in the last minutes."""
+    return recent(predictions, minutes, as_of, "predicted_at").agg(F.expr("count(*) as predictions"))
 
 
 def model_accuracy(df: DataFrame, predicted: str, label: str) -> DataFrame:
     """Share of rows whose prediction equals the label; rows without a label do not count."""
-    return df.where(F.col(label).isNotNull()).agg(
-        F.avg((F.col(predicted) == F.col(label)).cast("double")).alias("accuracy")
+    return df.where(f"{label} is not null").agg(
+        F.expr(f"avg(cast({predicted} = {label} as double)) as accuracy")
     )
 
 
@@ -78,32 +79,23 @@ def batch_metrics(
 ) -> DataFrame:
     """Average PM2.5, anomaly count and accuracy of a batch as name, value and unit."""
     figures = batch.agg(
-        F.avg("pm25").alias("avg_pm25_batch"),
-        F.count_if(F.col(flagged)).cast("double").alias("anomaly_count"),
-        F.avg(
-            F.when(F.col(label).isNotNull(), F.coalesce((F.col(predicted) == F.col(label)).cast("double"), F.lit(0.0)))
-        ).alias("stream_model_accuracy"),
+        F.expr("avg(pm25) as avg_pm25_batch"),
+        F.expr(f"count_if({flagged}) as anomaly_count"),
+        F.expr(
+            f"avg(coalesce(cast({predicted} = {label} as double), 0.0D)) filter (where {label} is not null)"
+            " as stream_model_accuracy"
+        ),
     )
     return metric_rows(
         figures, {"avg_pm25_batch": "µg/m³", "anomaly_count": "count", "stream_model_accuracy": "score"}
     )
 
 
-def metric_rows(one_row: DataFrame, units: dict[str, str]) -> DataFrame:
-    """Turn the columns of a one-row frame into metric rows."""
-    return one_row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("metric_name"),
-                        F.col(name).cast("double").alias("metric_value"),
-                        F.lit(unit).alias("metric_unit"),
-                    )
-                    for name, unit in units.items()
-                ]
-            )
-        )
+def metric_rows(df: DataFrame, units: dict[str, str], *keep: str) -> DataFrame:
+    """Turn metric columns into rows of name, value and unit."""
+    parts = ", ".join(f"'{name}', cast({name} as double), '{unit}'" for name, unit in units.items())
+    return df.selectExpr(
+        *keep, f"stack({len(units)}, {parts}) as (metric_name, metric_value, metric_unit)"
     )
 
 
@@ -123,28 +115,18 @@ def cycle_metrics(log: DataFrame) -> DataFrame:
 
     Totals run over the cycles of one monitor run.
     """
-    sofar = Window.partitionBy("run_id").orderBy("cycle").rowsBetween(Window.unboundedPreceding, 0)
-    totals = log.select(
+    sofar = "over (partition by run_id order by cycle rows unbounded preceding)"
+    totals = log.selectExpr(
         "run_id",
         "cycle",
-        F.col("outliers").alias("outliers_detected"),
-        F.col("predictions").alias("predictions_generated"),
-        F.col("seconds").alias("monitoring_cycle_time"),
-        F.count(F.lit(1)).over(sofar).alias("total_cycles"),
-        F.avg("outliers").over(sofar).alias("avg_outliers_per_cycle"),
-        F.avg("predictions").over(sofar).alias("avg_predictions_per_cycle"),
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("metric_name"),
-                F.col(name).cast("double").alias("metric_value"),
-                F.lit(unit).alias("metric_unit"),
-            )
-            for name, unit in CYCLE_UNITS.items()
-        ]
+        "outliers as outliers_detected",
+        "predictions as predictions_generated",
+        "seconds as monitoring_cycle_time",
+        f"count(*) {sofar} as total_cycles",
+        f"avg(outliers) {sofar} as avg_outliers_per_cycle",
+        f"avg(predictions) {sofar} as avg_predictions_per_cycle",
     )
-    return totals.select("run_id", "cycle", F.inline(rows))
+    return metric_rows(totals, CYCLE_UNITS, "run_id", "cycle")
 
 
 def station_statistics(stations: DataFrame, sensors: DataFrame, readings: DataFrame) -> DataFrame:
@@ -152,21 +134,16 @@ def station_statistics(stations: DataFrame, sensors: DataFrame, readings: DataFr
 
     Both sides are reduced to one row per station before they meet, so nothing counts twice.
     """
-    sensor_counts = sensors.groupBy("station_id").agg(F.count(F.lit(1)).alias("sensor_count"))
+    sensor_counts = sensors.groupBy("station_id").agg(F.expr("count(*) as sensors"))
     levels = readings.groupBy("station_id").agg(
-        F.max("ts").alias("last_reading"),
-        F.avg("pm25").alias("avg_pm25"),
-        F.count(F.lit(1)).alias("reading_count"),
+        F.expr("max(ts) as last_reading"), F.expr("avg(pm25) as avg_pm25"), F.expr("count(*) as readings")
     )
     return (
-        stations.select("station_id", "station_name", "city_zone")
-        .join(sensor_counts, "station_id", "left")
+        stations.join(sensor_counts, "station_id", "left")
         .join(levels, "station_id", "left")
-        .withColumns(
-            {
-                "sensor_count": F.coalesce("sensor_count", F.lit(0).cast("bigint")),
-                "reading_count": F.coalesce("reading_count", F.lit(0).cast("bigint")),
-            }
+        .selectExpr(
+            "station_id", "station_name", "city_zone", "coalesce(sensors, 0L) as sensor_count",
+            "last_reading", "avg_pm25", "coalesce(readings, 0L) as reading_count",
         )
     )
 
@@ -174,8 +151,8 @@ def station_statistics(stations: DataFrame, sensors: DataFrame, readings: DataFr
 def sensors_needing_attention(readings: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Sensors whose average data quality is below the threshold."""
     return (
-        readings.where(F.col("sensor_id").isNotNull())
+        readings.where("sensor_id is not null")
         .groupBy("sensor_id")
-        .agg(F.avg("data_quality_score").alias("avg_quality"), F.count(F.lit(1)).alias("readings"))
-        .where(F.col("avg_quality") < F.lit(threshold))
+        .agg(F.expr("avg(data_quality_score) as avg_quality"), F.expr("count(*) as readings"))
+        .where(f"avg_quality < {threshold}D")
     )

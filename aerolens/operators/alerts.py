@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from aerolens.functions.ladders import above, anomaly_severity
 from aerolens.functions.text import fixed_decimals
@@ -12,110 +12,89 @@ ALERT_COLUMNS = [
     "detection_method", "created_at",
 ]
 
-
-def _pm25_text() -> Column:
-    return fixed_decimals(F.col("pm25"), 1)
-
-
-def _co2_text() -> Column:
-    return fixed_decimals(F.col("co2_ppm"), 0)
+PM25 = fixed_decimals("pm25", 1)
+CO2 = fixed_decimals("co2_ppm", 0)
+TEMPERATURE = fixed_decimals("temperature_c", 1)
 
 
 def anomaly_alerts(flagged: DataFrame) -> DataFrame:
     """Alerts of the monitor from ``is_statistical_outlier`` and ``is_isolation_outlier``."""
-    statistical = F.col("is_statistical_outlier")
-    isolation = F.col("is_isolation_outlier")
-    score = F.when(isolation, 0.8).otherwise(0.6) + F.when(statistical, 0.2).otherwise(0.0)
-    return flagged.where(statistical | isolation).select(
+    return flagged.where("is_statistical_outlier or is_isolation_outlier").selectExpr(
         "record_id",
         "station_id",
-        F.lit("Anomaly").alias("alert_type"),
-        anomaly_severity(F.col("pm25"), F.col("co2_ppm")).alias("severity"),
-        F.concat(
-            F.lit("Anomaly detected at station "), F.col("station_id").cast("string"),
-            F.lit(": PM2.5="), _pm25_text(), F.lit("μg/m³, CO2="), _co2_text(),
-            F.lit("ppm, Temp="), fixed_decimals(F.col("temperature_c"), 1), F.lit("°C"),
-        ).alias("message"),
-        F.round(F.least(F.lit(1.0), score), 3).alias("anomaly_score"),
-        F.concat_ws(
-            "|", F.when(statistical, F.lit("Statistical")), F.when(isolation, F.lit("IsolationForest"))
-        ).alias("detection_method"),
-        F.col("ts").alias("created_at"),
+        "'Anomaly' as alert_type",
+        f"{anomaly_severity()} as severity",
+        f"""concat('Anomaly detected at station ', station_id, ': PM2.5=', {PM25}, 'μg/m³, CO2=', {CO2},
+              'ppm, Temp=', {TEMPERATURE}, '°C') as message""",
+        """round(least(1.0D, if(is_isolation_outlier, 0.8D, 0.6D) + if(is_statistical_outlier, 0.2D, 0.0D)), 3)
+              as anomaly_score""",
+        """concat_ws('|', if(is_statistical_outlier, 'Statistical', null),
+              if(is_isolation_outlier, 'IsolationForest', null)) as detection_method""",
+        "ts as created_at",
     )
 
 
 def anomaly_alerts_simple(flagged: DataFrame) -> DataFrame:
     """Alerts of the forest alone, from ``is_outlier``."""
-    critical = above(F.col("pm25"), 100, F.col("co2_ppm"), 800)
-    return flagged.where("is_outlier").select(
+    return flagged.where("is_outlier").selectExpr(
         "record_id",
         "station_id",
-        F.lit("Anomaly").alias("alert_type"),
-        F.when(critical, "Critical").otherwise("High").alias("severity"),
-        F.concat(
-            F.lit("Anomaly detected: PM2.5="), _pm25_text(), F.lit(", CO2="), _co2_text(), F.lit("ppm")
-        ).alias("message"),
-        F.lit(0.8).alias("anomaly_score"),
-        F.lit("IsolationForest").alias("detection_method"),
-        F.col("ts").alias("created_at"),
+        "'Anomaly' as alert_type",
+        f"if({above(100, 800)}, 'Critical', 'High') as severity",
+        f"concat('Anomaly detected: PM2.5=', {PM25}, ', CO2=', {CO2}, 'ppm') as message",
+        "0.8D as anomaly_score",
+        "'IsolationForest' as detection_method",
+        "ts as created_at",
     )
 
 
 def batch_outlier_alerts(flagged: DataFrame) -> DataFrame:
     """Alerts for the rows a batch detector marked ``is_anomaly``; they carry its score."""
-    score = F.col("anomaly_score")
-    return flagged.where("is_anomaly").select(
+    return flagged.where("is_anomaly").selectExpr(
         "record_id",
         "station_id",
-        F.lit("Outlier Detected").alias("alert_type"),
-        F.when(score > 5, "High").otherwise("Moderate").alias("severity"),
-        F.concat(F.lit("Anomaly: PM2.5="), _pm25_text(), F.lit(", CO₂="), _co2_text(), F.lit(" ppm")).alias("message"),
-        score.alias("anomaly_score"),
-        F.lit("BatchOutlier").alias("detection_method"),
-        F.col("ts").alias("created_at"),
+        "'Outlier Detected' as alert_type",
+        "if(anomaly_score > 5, 'High', 'Moderate') as severity",
+        f"concat('Anomaly: PM2.5=', {PM25}, ', CO₂=', {CO2}, ' ppm') as message",
+        "anomaly_score",
+        "'BatchOutlier' as detection_method",
+        "ts as created_at",
     )
 
 
 def threshold_alerts(df: DataFrame) -> DataFrame:
     """None to two alerts per reading: one of the PM2.5 steps, and independently CO2."""
-    pm25, co2 = F.col("pm25"), F.col("co2_ppm")
-
-    def alert(kind: str, severity: str, message: Column, score: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("alert_type"),
-            F.lit(severity).alias("severity"),
-            message.alias("message"),
-            score.alias("anomaly_score"),
-        )
 
-    pm25_message = F.concat(F.lit("PM2.5 "), _pm25_text(), F.lit(" µg/m³"))
-    co2_message = F.concat(F.lit("CO₂ "), _co2_text(), F.lit(" ppm"))
-    raised = F.array_compact(
-        F.array(
-            F.when(pm25 > 100, alert("High PM2.5", "Critical", pm25_message, pm25 / 100))
-            .when(pm25 > 55, alert("PM2.5 Alert", "High", pm25_message, pm25 / 100)),
-            F.when(co2 > 800, alert("CO₂ Alert", "Moderate", co2_message, co2 / 1000)),
+    def alert(kind: str, severity: str, message: str, score: str) -> str:
+        return (
+            f"named_struct('alert_type', '{kind}', 'severity', '{severity}',"
+            f" 'message', {message}, 'anomaly_score', {score})"
         )
-    )
-    # Most readings raise nothing; they leave before the alerts are built and unnested.
-    return df.where((pm25 > 55) | (co2 > 800)).select(
+
+    pm25_message = f"concat('PM2.5 ', {PM25}, ' µg/m³')"
+    co2_message = f"concat('CO₂ ', {CO2}, ' ppm')"
+    raised = f"""array(
+        case when pm25 > 100 then {alert("High PM2.5", "Critical", pm25_message, "pm25 / 100")}
+             when pm25 > 55 then {alert("PM2.5 Alert", "High", pm25_message, "pm25 / 100")} end,
+        case when co2_ppm > 800 then {alert("CO₂ Alert", "Moderate", co2_message, "co2_ppm / 1000")} end)"""
+    # Most readings raise nothing; they leave before alerts are built and unnested.
+    return df.where("pm25 > 55 or co2_ppm > 800").selectExpr(
         "record_id",
         "station_id",
-        F.inline(raised),
-        F.lit("Threshold").alias("detection_method"),
-        F.col("ts").alias("created_at"),
+        f"inline(array_compact({raised}))",
+        "'Threshold' as detection_method",
+        "ts as created_at",
     )
 
 
 def pm25_high_alerts(df: DataFrame) -> DataFrame:
     """Open alert for each PM2.5 value over 50."""
-    pm25 = F.col("pm25")
-    return df.where(pm25 > 50).select(
+    return df.where("pm25 > 50").selectExpr(
         "record_id",
         "station_id",
-        F.lit("PM2.5 High").alias("alert_type"),
-        F.when(pm25 > 100, "Critical").when(pm25 > 75, "High").otherwise("Moderate").alias("severity"),
-        F.lit("Open").alias("status"),
-        F.concat(F.lit("PM2.5 level "), _pm25_text(), F.lit(" μg/m³ exceeds safe threshold")).alias("message"),
-        F.col("ts").alias("created_at"),
+        "'PM2.5 High' as alert_type",
+        "case when pm25 > 100 then 'Critical' when pm25 > 75 then 'High' else 'Moderate' end as severity",
+        "'Open' as status",
+        f"concat('PM2.5 level ', {PM25}, ' μg/m³ exceeds safe threshold') as message",
+        "ts as created_at",
     )

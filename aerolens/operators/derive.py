@@ -8,31 +8,25 @@ from aerolens.functions import features, ladders, text
 
 
 def with_aqi_bucket(df: DataFrame) -> DataFrame:
-    return df.withColumn("aqi_bucket", ladders.aqi_bucket(F.col("pm25")))
+    return df.withColumn("aqi_bucket", F.expr(ladders.aqi_bucket()))
 
 
 def with_reading_status(df: DataFrame, steps=ladders.STATUS_4, name: str = "status") -> DataFrame:
-    return df.withColumn(name, ladders.reading_status(F.col("pm25"), F.col("co2_ppm"), steps))
+    return df.withColumn(name, F.expr(ladders.reading_status(steps)))
 
 
 def with_derived_features(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "pm_ratio": features.pm_ratio(F.col("pm10"), F.col("pm25")),
-            "temp_humidity": features.temp_humidity(F.col("temperature_c"), F.col("humidity")),
-            "pollution_index": features.pollution_index(F.col("pm25"), F.col("no2_ppm"), F.col("o3_ppm")),
-        }
-    )
+    return df.withColumns({name: F.expr(text) for name, text in features.DERIVED.items()})
 
 
 def metric_display(metrics: DataFrame) -> DataFrame:
     """Metric rows as shown on cards: title, value with unit, time text."""
-    value = F.round(F.col("metric_value").cast("decimal(20,6)"), 2).cast("decimal(20,2)").cast("string")
-    return metrics.select(
+    value = "cast(cast(round(cast(metric_value as decimal(20,6)), 2) as decimal(20,2)) as string)"
+    return metrics.selectExpr(
         "metric_id",
-        text.title_case(F.col("metric_name")).alias("title"),
-        F.concat_ws(" ", value, "metric_unit").alias("value_text"),
-        text.timestamp_text(F.col("recorded_at")).alias("time_text"),
+        f"{text.title_case('metric_name')} as title",
+        f"concat_ws(' ', {value}, metric_unit) as value_text",
+        f"{text.timestamp_text('recorded_at')} as time_text",
     )
 
 

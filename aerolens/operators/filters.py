@@ -20,15 +20,13 @@ def recent(df: DataFrame, minutes: int, as_of=None, time_column: str = "ts") ->
 
 def quality_gate(df: DataFrame, minimum: float = 0.7, require: tuple[str, ...] = ("pm25", "co2_ppm")) -> DataFrame:
     """Rows good enough to detect on or to score, with the required values known."""
-    kept = df.where(F.col("data_quality_score") > F.lit(minimum))
-    for column in require:
-        kept = kept.where(F.col(column).isNotNull())
-    return kept
+    known = "".join(f" and {column} is not null" for column in require)
+    return df.where(f"data_quality_score > {minimum}D{known}")
 
 
 def training_gate(df: DataFrame, minimum: float = 0.8, require: tuple[str, ...] = ("pm25", "co2_ppm")) -> DataFrame:
     """Rows good enough to train on: a stricter score and a known label."""
-    return quality_gate(df, minimum, require).where(F.col("aqi_bucket").isNotNull())
+    return quality_gate(df, minimum, require).where("aqi_bucket is not null")
 
 
 def active_stations(stations: DataFrame) -> DataFrame:
@@ -36,7 +34,7 @@ def active_stations(stations: DataFrame) -> DataFrame:
 
 
 def open_alerts(alerts: DataFrame) -> DataFrame:
-    return alerts.where(F.col("status") == "Open")
+    return alerts.where("status = 'Open'")
 
 
 def min_rows_guard(df: DataFrame, minimum: int) -> DataFrame:

@@ -11,10 +11,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from aerolens.operators.statistics import exact_quantiles, with_scalar
-from aerolens.session import checkpointed
+from aerolens.session import materialized
 
 NODES = (
     "tree_id int, node_id int, feature int, threshold double, left int, right int,"
@@ -34,9 +34,9 @@ def average_path(size: int) -> float:
     return 2.0 * (math.log(size - 1) + _EULER) - 2.0 * (size - 1) / size
 
 
-def _uniform(*columns) -> Column:
+def _uniform(*values) -> str:
     """A number in [0, 1) that depends on the given values only, not on partitioning."""
-    return F.pmod(F.xxhash64(*columns), F.lit(_SCALE)) / F.lit(float(_SCALE))
+    return f"(pmod(xxhash64({', '.join(map(str, values))}), {_SCALE}L) / {float(_SCALE)}D)"
 
 
 def sample_per_tree(
@@ -50,23 +50,19 @@ def sample_per_tree(
     pool_size = trees * max_samples
     # A margin of four deviations, so that a tree hardly ever gets fewer rows than it may use.
     wanted = max_samples + 4 * math.sqrt(max_samples)
-    total = df.agg(F.count(F.lit(1)).alias("rows"))
-    counted = with_scalar(df.select(key, *features), total, "_t")
-    rows = F.col("_t.rows")
+    total = df.agg(F.expr("count(*) as rows"))
     pool = (
-        counted.where(_uniform(F.lit(seed), F.lit(-1), key) < F.lit(float(pool_size)) / rows)
-        .withColumn("_share", F.lit(wanted) / F.least(rows, F.lit(pool_size)))
+        with_scalar(df.select(key, *features), total, "_t")
+        .where(f"{_uniform(seed, -1, key)} < {float(pool_size)}D / _t.rows")
+        .withColumn("_share", F.expr(f"{wanted}D / least(_t.rows, {pool_size})"))
         .drop("_t")
         .dropDuplicates([key])
     )
-    chosen = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda tree: _uniform(F.lit(seed), tree, F.col(key)) < F.col("_share"),
-    )
-    return pool.withColumn("tree_id", F.explode(chosen)).select(
+    chosen = f"filter(sequence(0, {trees - 1}), tree -> {_uniform(seed, 'tree', key)} < _share)"
+    return pool.withColumn("tree_id", F.expr(f"explode({chosen})")).selectExpr(
         "tree_id",
-        _uniform(F.lit(seed), F.col("tree_id"), F.col(key)).alias("place"),
-        *[F.col(c).cast("double").alias(c) for c in features],
+        f"{_uniform(seed, 'tree_id', key)} as place",
+        *[f"cast({c} as double) as {c}" for c in features],
     )
 
 
@@ -103,8 +99,8 @@ def fit_isolation_forest(
     medians: DataFrame | None = None,
 ) -> DataFrame:
     """The table of tree nodes. Missing values count as the median of the frame."""
-    filled = with_scalar(df.select(key, *features), _medians(df, features, medians), "_m").select(
-        key, *[_filled(c).alias(c) for c in features]
+    filled = with_scalar(df.select(key, *features), _medians(df, features, medians), "_m").selectExpr(
+        key, *[f"{_filled(c)} as {c}" for c in features]
     )
     samples = sample_per_tree(filled, key, features, trees, max_samples, seed)
 
@@ -118,15 +114,17 @@ def fit_isolation_forest(
         table["sample_size"] = len(rows)
         return table
 
-    return samples.groupBy("tree_id").applyInPandas(grow, NODES)
+    # The samples are small but growing is work: a fixed number of partitions keeps them apart.
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
+    return samples.repartition(tasks, "tree_id").groupBy("tree_id").applyInPandas(grow, NODES)
 
 
 def _medians(df: DataFrame, features: list[str], medians: DataFrame | None) -> DataFrame:
     return exact_quantiles(df, features) if medians is None else medians.select(*features)
 
 
-def _filled(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("double"), F.col(f"_m.{column}"), F.lit(0.0))
+def _filled(column: str) -> str:
+    return f"coalesce(cast({column} as double), _m.{column}, 0.0D)"
 
 
 class _Forest:
@@ -142,8 +140,9 @@ class _Forest:
         self.roots = starts.astype(np.int32)
         self.feature = np.where(leaf, 0, nodes["feature"]).astype(np.int32)
         self.threshold = nodes["threshold"].to_numpy()
-        self.left = np.where(leaf, own, nodes["left"] + offset).astype(np.int32)
-        self.right = np.where(leaf, own, nodes["right"] + offset).astype(np.int32)
+        left = np.where(leaf, own, nodes["left"] + offset)
+        right = np.where(leaf, own, nodes["right"] + offset)
+        self.children = np.column_stack([left, right]).ravel().astype(np.int32)
         self.path = nodes["path"].to_numpy()
         sample_size = int(nodes["sample_size"].max())
         self.depth = math.ceil(math.log2(max(sample_size, 2)))
@@ -158,8 +157,8 @@ class _Forest:
             flat = part.ravel()
             node = np.repeat(self.roots[None, :], len(part), axis=0)
             for _ in range(self.depth):
-                value = flat[base + self.feature[node]]
-                node = np.where(value <= self.threshold[node], self.left[node], self.right[node])
+                goes_right = flat[base + self.feature[node]] > self.threshold[node]
+                node = self.children[2 * node + goes_right]
             scores[start : start + 1024] = np.exp2(-self.path[node].mean(axis=1) / self.normal)
         return scores
 
@@ -188,7 +187,7 @@ def score_isolation_forest(
         return pd.Series(shared.value.score(np.column_stack([c.to_numpy(dtype=float) for c in columns])))
 
     filled = with_scalar(df, _medians(df, features, medians), "_m")
-    return filled.withColumn(name, score(*[_filled(c) for c in features])).drop("_m")
+    return filled.withColumn(name, score(*[F.expr(_filled(c)) for c in features])).drop("_m")
 
 
 def isolation_outliers(
@@ -202,10 +201,10 @@ def isolation_outliers(
 ) -> DataFrame:
     """Score all rows and flag the most isolated share.
 
-    Scores are computed in Python once and checkpointed; the exact limit and the flags then
+    Scores are computed in Python once and written; the exact limit and the flags then
     come from the stored scores.
     """
-    scored = checkpointed(score_isolation_forest(df, nodes, features, medians=medians))
+    scored = materialized(score_isolation_forest(df, nodes, features, medians=medians), "scores")
     limit = exact_quantiles(scored, ["isolation_score"], 1.0 - contamination).scalar()
     return scored.withColumn(name, F.coalesce(F.col("isolation_score") > limit, F.lit(False)))
 
@@ -214,6 +213,6 @@ def stream_forest_scores(df: DataFrame, pm25_nodes: DataFrame, co2_nodes: DataFr
     """Mean score of two one-feature forests, as the batch detector uses once it has a baseline."""
     scored = score_isolation_forest(df, pm25_nodes, ["pm25"], name="_pm25_score")
     scored = score_isolation_forest(scored, co2_nodes, ["co2_ppm"], name="_co2_score")
-    return scored.withColumn("anomaly_score", (F.col("_pm25_score") + F.col("_co2_score")) / 2).drop(
+    return scored.withColumn("anomaly_score", F.expr("(_pm25_score + _co2_score) / 2")).drop(
         "_pm25_score", "_co2_score"
     )

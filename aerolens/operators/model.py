@@ -16,9 +16,9 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aerolens.operators.statistics import exact_quantiles, with_scalar
+from aerolens.functions.ladders import label_index
+from aerolens.operators.statistics import exact_quantiles, settled, with_scalar
 from aerolens.schema import AQI_LABELS, STREAM_FEATURES
-from aerolens.session import checkpointed
 
 PROBABILITIES = [f"proba_{name.lower()}" for name in AQI_LABELS]
 WEIGHTS = [f"weight_{name.lower()}" for name in AQI_LABELS]
@@ -30,26 +30,19 @@ STATE = "feature string, n double, mean double, m2 double, " + ", ".join(f"{w} d
 
 def _prefixed(df: DataFrame, features: list[str], medians: DataFrame | None) -> DataFrame:
     """Add ``x_<feature>``: the value, or the frame's median where it is missing."""
-    medians = exact_quantiles(df, features) if medians is None else medians.select(*features)
+    medians = settled(exact_quantiles(df, features)) if medians is None else medians.select(*features)
     return with_scalar(df, medians, "_m").withColumns(
-        {f"x_{c}": F.coalesce(F.col(c).cast("double"), F.col(f"_m.{c}"), F.lit(0.0)) for c in features}
+        {f"x_{c}": F.expr(f"coalesce(cast({c} as double), _m.{c}, 0.0D)") for c in features}
     ).drop("_m")
 
 
-def label_index(label: Column) -> Column:
-    index = F.when(label == AQI_LABELS[0], 0.0)
-    for position, name in enumerate(AQI_LABELS[1:], start=1):
-        index = index.when(label == name, float(position))
-    return index
-
-
 def train_aqi_model(
     training: DataFrame,
     features: list[str] = STREAM_FEATURES,
     *,
     label: str = "aqi_bucket",
     medians: DataFrame | None = None,
-    max_iter: int = 50,
+    max_iter: int = 25,
 ) -> PipelineModel | None:
     """Fit a scaled multinomial logistic regression; ``None`` when no row has a label.
 
@@ -58,8 +51,8 @@ def train_aqi_model(
     labelled = training.where(F.col(label).isin(AQI_LABELS))
     if labelled.isEmpty():
         return None
-    prepared = _prefixed(labelled, features, medians).select(
-        *[f"x_{c}" for c in features], label_index(F.col(label)).alias("label")
+    prepared = _prefixed(labelled, features, medians).selectExpr(
+        *[f"x_{c}" for c in features], f"{label_index(label)} as label"
     )
     pipeline = Pipeline(
         stages=[
@@ -118,9 +111,9 @@ def update_aqi_model(
     labelled = training.where(F.col(label).isin(AQI_LABELS))
     prepared = _prefixed(labelled, features, medians)
     batch = prepared.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.avg(f"x_{c}").alias(f"{c}_mean") for c in features],
-        *[F.var_pop(f"x_{c}").alias(f"{c}_var") for c in features],
+        F.expr("count(*) as rows"),
+        *[F.expr(f"avg(x_{c}) as {c}_mean") for c in features],
+        *[F.expr(f"var_pop(x_{c}) as {c}_var") for c in features],
     ).first()
     rows = _state_rows(state) if state is not None else []
     if rows and [r["feature"] for r in rows] != [*features, BIAS]:
@@ -154,32 +147,34 @@ def update_aqi_model(
                 | {w: local[:, k] for k, w in enumerate(WEIGHTS)}
             )
 
-    partials = prepared.select(
-        *[f"x_{c}" for c in features], label_index(F.col(label)).alias("label")
+    partials = prepared.selectExpr(
+        *[f"x_{c}" for c in features], f"{label_index(label)} as label"
     ).mapInPandas(local_epoch, "position int, rows double, " + ", ".join(f"{w} double" for w in WEIGHTS))
     averaged = partials.groupBy("position").agg(
-        *[(F.sum(F.col(w) * F.col("rows")) / F.sum("rows")).alias(w) for w in WEIGHTS]
+        *[F.expr(f"sum({w} * rows) / sum(rows) as {w}") for w in WEIGHTS]
     )
-    scale = spark.createDataFrame(
-        [(i, c, *moments[c]) for i, c in enumerate(features)]
-        + [(len(features), BIAS, float(batch["rows"]) + (rows[-1]["n"] if rows else 0.0), 0.0, 0.0)],
-        "position int, feature string, n double, mean double, m2 double",
+    moments[BIAS] = (float(batch["rows"]) + (rows[-1]["n"] if rows else 0.0), 0.0, 0.0)
+    names = [*features, BIAS]
+    averaged_rows = averaged.collect()  # one per feature
+    return spark.createDataFrame(
+        [(names[row["position"]], *moments[names[row["position"]]], *[row[w] for w in WEIGHTS]) for row in averaged_rows],
+        STATE,
     )
-    return checkpointed(scale.join(averaged, "position").select("feature", "n", "mean", "m2", *WEIGHTS))
 
 
-def _state_probabilities(state: DataFrame, features: list[str]) -> list[Column]:
-    """Class probabilities as plain column arithmetic with the few weights as literals."""
+def _state_chances(state: DataFrame, features: list[str]) -> str:
+    """Class chances as plain arithmetic, with the few weights as literals."""
     rows = {row["feature"]: row for row in _state_rows(state)}
-    chances = []
-    for weight in WEIGHTS:
-        margin = F.lit(rows[BIAS][weight])
+
+    def chance(weight: str) -> str:
+        terms = [repr(rows[BIAS][weight]) + "D"]
         for c in features:
             row = rows[c]
-            spread = math.sqrt(row["m2"] / row["n"]) or 1.0
-            margin = margin + (F.col(f"x_{c}") - F.lit(row["mean"])) * F.lit(row[weight] / spread)
-        chances.append(F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), margin)))))
-    return chances
+            factor = row[weight] / (math.sqrt(row["m2"] / row["n"]) or 1.0)
+            terms.append(f"(x_{c} - ({row['mean']!r}D)) * ({factor!r}D)")
+        return f"1 / (1 + exp(-greatest(-30D, least(30D, {' + '.join(terms)}))))"
+
+    return f"array({', '.join(map(chance, WEIGHTS))})"
 
 
 def score_aqi(
@@ -196,26 +191,28 @@ def score_aqi(
     class the same probability.
     """
     if model is None or (isinstance(model, DataFrame) and model.isEmpty()):
-        scored = df.withColumn("_p", F.array(*[F.lit(1.0 / len(AQI_LABELS))] * len(AQI_LABELS)))
+        even = ", ".join([f"{1.0 / len(AQI_LABELS)}D"] * len(AQI_LABELS))
+        scored = df.withColumn("_p", F.expr(f"array({even})"))
     elif isinstance(model, DataFrame):
         features = model_features(model)
-        chances = F.array(*_state_probabilities(model, features))
-        scored = _prefixed(df, features, medians).withColumn("_c", chances)
-        total = F.aggregate("_c", F.lit(0.0), lambda s, x: s + x)
-        scored = scored.withColumn("_t", total).withColumn("_p", F.transform("_c", lambda x: x / F.col("_t")))
+        scored = (
+            _prefixed(df, features, medians)
+            .withColumn("_c", F.expr(_state_chances(model, features)))
+            .withColumn("_t", F.expr(" + ".join(f"_c[{i}]" for i in range(len(AQI_LABELS)))))
+            .withColumn("_p", F.expr(f"array({', '.join(f'_c[{i}] / _t' for i in range(len(AQI_LABELS)))})"))
+        )
     else:
         prepared = _prefixed(df, model_features(model), medians)
         scored = model.transform(prepared).withColumn("_p", vector_to_array("probability"))
-    # A class that never occurred in training after the last one seen has no entry.
-    chance = [F.coalesce(F.get("_p", F.lit(i)), F.lit(0.0)) for i in range(len(AQI_LABELS))]
-    best = F.array_max("_p")
-    return scored.select(
+    labels = ", ".join(f"'{name}'" for name in AQI_LABELS)
+    return scored.withColumn("predicted_at", F.col("ts") if predicted_at is None else predicted_at).selectExpr(
         "record_id",
         "station_id",
-        F.element_at(F.array(*map(F.lit, AQI_LABELS)), F.array_position("_p", best).cast("int")).alias("aqi_pred"),
-        *[column.alias(name) for column, name in zip(chance, PROBABILITIES)],
-        best.alias("confidence_score"),
-        F.lit(version).alias("model_version"),
-        (F.col("ts") if predicted_at is None else predicted_at).alias("predicted_at"),
+        f"element_at(array({labels}), cast(array_position(_p, array_max(_p)) as int)) as aqi_pred",
+        # The last classes have no entry when training saw none of them.
+        *[f"coalesce(get(_p, {i}), 0.0D) as {name}" for i, name in enumerate(PROBABILITIES)],
+        "array_max(_p) as confidence_score",
+        f"'{version}' as model_version",
+        "predicted_at",
         "ts",
     )

@@ -20,31 +20,23 @@ def zscore_outliers(
     ``moments`` takes the result of ``imputed_moments`` when it is already at hand.
     """
     moments = imputed_moments(df, features) if moments is None else moments
-    with_moments = with_scalar(df, moments, "_s")
-
-    def distance(c: str):
-        value = F.coalesce(F.col(c), F.col(f"_s.{c}.median"))
-        return F.abs(F.try_divide(value - F.col(f"_s.{c}.mean"), F.col(f"_s.{c}.std")))
-
-    distances = [distance(c) for c in features]
-    largest = F.greatest(*distances) if len(distances) > 1 else distances[0]
-    return with_moments.withColumn(
-        "is_statistical_outlier", F.coalesce(largest > limit, F.lit(False))
-    ).drop("_s")
+    beyond = " or ".join(
+        f"coalesce(abs(try_divide(coalesce({c}, _s.{c}.median) - _s.{c}.mean, _s.{c}.std)) > {limit}D, false)"
+        for c in features
+    )
+    return with_scalar(df, moments, "_s").withColumn("is_statistical_outlier", F.expr(beyond)).drop("_s")
 
 
 def zsum_outliers(df: DataFrame, features: tuple[str, ...] = ("pm25", "co2_ppm"), limit: float = 5.0) -> DataFrame:
     """Score a batch by the sum of absolute z-scores and flag scores over ``limit``."""
     moments = df.agg(
-        *[F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")).alias(c) for c in features]
-    )
-    score = sum(
-        F.abs((F.col(c) - F.col(f"_s.{c}.mean")) / (F.col(f"_s.{c}.std") + F.lit(1e-6))) for c in features
+        *[F.expr(f"named_struct('mean', avg({c}), 'std', stddev_samp({c})) as {c}") for c in features]
     )
+    score = " + ".join(f"abs(({c} - _s.{c}.mean) / (_s.{c}.std + 1e-6D))" for c in features)
     return (
         with_scalar(df, moments, "_s")
-        .withColumn("anomaly_score", score)
-        .withColumn("is_anomaly", F.coalesce(F.col("anomaly_score") > limit, F.lit(False)))
+        .withColumn("anomaly_score", F.expr(score))
+        .withColumn("is_anomaly", F.expr(f"coalesce(anomaly_score > {limit}D, false)"))
         .drop("_s")
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from aerolens.functions.ladders import place_in
 from aerolens.schema import DECIMALS, DEFAULTS, RANGES, RENAMED
 
 
@@ -13,35 +14,28 @@ def conform_readings(df: DataFrame) -> DataFrame:
     A value that does not fit its declared precision becomes NULL instead of failing the job.
     """
     renamed = df.withColumnsRenamed(RENAMED)
-    typed = renamed.withColumns(
-        {
-            name: F.col(name).try_cast(f"decimal({precision},{scale})")
-            for name, (precision, scale) in DECIMALS.items()
-            if name in renamed.columns
-        }
-    )
-    omitted = {name: value for name, value in DEFAULTS.items() if name not in typed.columns}
-    return typed.withColumns({name: F.lit(value) for name, value in omitted.items()})
+    changes = {
+        name: F.expr(f"try_cast({name} as decimal({precision},{scale}))")
+        for name, (precision, scale) in DECIMALS.items()
+        if name in renamed.columns
+    }
+    omitted = {name: F.lit(value) for name, value in DEFAULTS.items() if name not in renamed.columns}
+    return renamed.withColumns(changes | omitted)
 
 
-def violation_codes(df: DataFrame, not_null: tuple[str, ...] = ("record_id", "station_id", "ts")):
+def violation_codes(columns: list[str], not_null: tuple[str, ...] = ("record_id", "station_id", "ts")) -> str:
     """Array of the checks a row fails. A range check passes on NULL."""
-    checks = []
-    for name in not_null:
-        checks.append(F.when(F.col(name).isNull(), F.lit(f"{name}_missing")))
+    checks = [f"if({name} is null, '{name}_missing', null)" for name in not_null]
     for name, (lower, upper) in RANGES.items():
-        if name not in df.columns:
-            continue
-        outside = F.col(name) < lower
-        if upper is not None:
-            outside = outside | (F.col(name) > upper)
-        checks.append(F.when(outside, F.lit(f"{name}_range")))
-    return F.array_compact(F.array(*checks))
+        if name in columns:
+            beyond = f" or {name} > {upper}" if upper is not None else ""
+            checks.append(f"if({name} < {lower}{beyond}, '{name}_range', null)")
+    return f"array_compact(array({', '.join(checks)}))"
 
 
 def validate_readings(df: DataFrame) -> DataFrame:
     """Every row with its failed checks in ``violations``."""
-    return df.withColumn("violations", violation_codes(df))
+    return df.withColumn("violations", F.expr(violation_codes(df.columns)))
 
 
 def good_rows(validated: DataFrame) -> DataFrame:
@@ -69,13 +63,8 @@ def enum_violations(df: DataFrame, column: str, allowed: list[str]) -> DataFrame
 
 def enum_check(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
     """Rows per value, with the value's place in the declared order (NULL when undeclared)."""
-    declared = F.array(*map(F.lit, allowed))
-    place = F.nullif(F.array_position(declared, F.col("value")), F.lit(0).cast("bigint"))
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumns({"column": F.lit(column), "rank": place})
-        .withColumn("is_declared", F.col("rank").isNotNull())
-        .select("column", "value", "rank", "is_declared", "rows")
+    counted = df.where(f"{column} is not null").groupBy(column).count()
+    return counted.selectExpr(
+        f"'{column}' as column", f"{column} as value", f"{place_in(column, allowed)} as rank",
+        f"{place_in(column, allowed)} is not null as is_declared", "count as rows",
     )

@@ -26,8 +26,8 @@ def metric_series(metrics: DataFrame, limit: int = 100, names: int = 6) -> DataF
     chosen = (
         newest.groupBy("metric_name")
         .agg(
-            F.max(F.struct(F.col("recorded_at").isNull(), "recorded_at", "metric_id")).alias("newest"),
-            F.count(F.lit(1)).alias("points"),
+            F.expr("max(struct(recorded_at is null, recorded_at, metric_id)) as newest"),
+            F.expr("count(*) as points"),
         )
         .orderBy(F.desc("newest"))
         .limit(names)
@@ -59,30 +59,27 @@ def zone_windows(df: DataFrame, minutes: int = 60, slide_minutes: int = 1) -> Da
     if minutes % slide_minutes:
         raise ValueError("a window must be a whole number of slides")
     steps = df.groupBy("city_zone", F.window("ts", f"{slide_minutes} minutes").alias("step")).agg(
-        F.count(F.lit(1)).alias("readings"),
-        F.sum("pm25").alias("pm25_sum"),
-        F.count("pm25").alias("pm25_count"),
-        F.max("pm25").alias("max_pm25"),
+        F.expr("count(*) as readings"),
+        F.expr("sum(pm25) as pm25_sum"),
+        F.expr("count(pm25) as pm25_count"),
+        F.expr("max(pm25) as max_pm25"),
     )
     return combine_steps(steps, minutes, slide_minutes)
 
 
 def combine_steps(steps: DataFrame, minutes: int, slide_minutes: int) -> DataFrame:
     """Merge step aggregates into sliding windows; works on batch and streaming frames."""
+    sliding = F.window("step_time", f"{minutes} minutes", f"{slide_minutes} minutes")
     return (
         steps.withColumn("step_time", F.window_time("step"))
-        .groupBy(
-            "city_zone",
-            F.window("step_time", f"{minutes} minutes", f"{slide_minutes} minutes").alias("window"),
-        )
+        .groupBy("city_zone", sliding.alias("window"))
         .agg(
-            F.sum("readings").alias("readings"),
-            F.try_divide(F.sum("pm25_sum"), F.sum("pm25_count")).alias("avg_pm25"),
-            F.max("max_pm25").alias("max_pm25"),
+            F.expr("sum(readings) as readings"),
+            F.expr("try_divide(sum(pm25_sum), sum(pm25_count)) as avg_pm25"),
+            F.expr("max(max_pm25) as max_pm25"),
         )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "city_zone", "readings", "avg_pm25", "max_pm25",
+        .selectExpr(
+            "window.start as window_start", "window.end as window_end", "city_zone", "readings",
+            "avg_pm25", "max_pm25",
         )
     )

@@ -6,7 +6,7 @@ value into the generated code, so there is neither a join nor a window over ever
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
@@ -14,37 +14,68 @@ def with_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, one_row.select(F.struct("*")).scalar())
 
 
-def _bracket(column: str, probability: float, accuracy: int):
-    """Count, smallest and largest value, and two values that enclose the quantile.
+def _aggregate(df: DataFrame, *expressions: str) -> DataFrame:
+    return df.agg(*map(F.expr, expressions))
+
+
+def summary(df: DataFrame, columns: list[str], probability: float = 0.5, accuracy: int = 10_000) -> DataFrame:
+    """One row: ``rows``, and per column a struct of moments and the bracket of a quantile.
 
     ``percentile_approx`` is off by at most count/accuracy ranks, so asking two such steps below
-    and above encloses the wanted ranks with one step to spare. Up to ``accuracy`` rows that
-    spare step may be less than one rank, and the whole range is taken instead.
+    and above the wanted one encloses it with a step to spare. Up to ``accuracy`` rows that spare
+    step may be less than one rank, and the bracket is the whole range instead.
     """
     step = 2.0 / accuracy
-    value = F.col(column).cast("double")
-    sides = F.percentile_approx(
-        value, [max(0.0, probability - step), min(1.0, probability + step)], accuracy
-    )
-    count = F.count(value)
-    return F.struct(
-        count.alias("n"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.avg(value).alias("mean"),
-        F.var_pop(value).alias("var"),
-        F.when(count <= accuracy, F.min(value)).otherwise(sides[0]).alias("low"),
-        F.when(count <= accuracy, F.max(value)).otherwise(sides[1]).alias("high"),
-    ).alias(column)
+    below, beyond = max(0.0, probability - step), min(1.0, probability + step)
 
+    def described(c: str) -> str:
+        value = f"cast({c} as double)"
+        sides = f"percentile_approx({value}, array({below}D, {beyond}D), {accuracy})"
+        return f"""named_struct(
+            'n', count({value}), 'min', min({value}), 'max', max({value}),
+            'mean', avg({value}), 'var', var_pop({value}),
+            'low', if(count({value}) <= {accuracy}, min({value}), get({sides}, 0)),
+            'high', if(count({value}) <= {accuracy}, max({value}), get({sides}, 1))) as {c}"""
 
-def summary(df: DataFrame, columns: list[str], probability: float = 0.5, accuracy: int = 10_000) -> DataFrame:
-    """One row: per column a struct of moments and the bracket of a quantile; plus ``rows``."""
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"), *[_bracket(c, probability, accuracy) for c in columns]
+    return _aggregate(df, "count(*) as rows", *map(described, columns))
+
+
+def _quantile_ends(df: DataFrame, columns: list[str], brackets: DataFrame, probability: float) -> DataFrame:
+    """One row: per column the two values the quantile lies between, and how far along."""
+    # Rows below the bracket share the value NULL, rows above it are dropped.
+    inside = ", ".join(
+        f"""if({c} <= _b.{c}.high,
+            named_struct('place', {place}, 'n', _b.{c}.n, 'value', if({c} >= _b.{c}.low, {c}, null)), null)"""
+        for place, c in enumerate(columns)
+    )
+    values = df.selectExpr(*[f"cast({c} as double) as {c}" for c in columns])
+    counted = (
+        with_scalar(values, brackets, "_b")
+        .selectExpr(f"inline(array_compact(array({inside})))")
+        .groupBy("place", "value")
+        .agg(F.expr("count(*) as rows"), F.expr("max(n) as n"))
+    )
+    rank = f"((n - 1) * {probability}D)"
+    reached = counted.selectExpr(
+        "place", "value", f"{rank} as rank",
+        "sum(rows) over (partition by place order by value asc nulls first) as upto",
+    )
+    return _aggregate(
+        reached,
+        *[
+            f"""named_struct(
+                'floor_value', min(value) filter (where place = {place} and upto > floor(rank)),
+                'ceil_value', min(value) filter (where place = {place} and upto > ceil(rank)),
+                'part', max(rank - floor(rank)) filter (where place = {place})) as {c}"""
+            for place, c in enumerate(columns)
+        ],
     )
 
 
+def _between(c: str) -> str:
+    return f"({c}.floor_value + ({c}.ceil_value - {c}.floor_value) * {c}.part)"
+
+
 def exact_quantiles(
     df: DataFrame, columns: list[str], probability: float = 0.5, accuracy: int = 10_000
 ) -> DataFrame:
@@ -55,54 +86,9 @@ def exact_quantiles(
     distinct values inside it, both before the shuffle, so a value held by a third of all rows is one
     row from there on. Only about 6/accuracy of the rows can reach the final running sum.
     """
-    bracketed = with_scalar(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns]),
-        summary(df, columns, probability, accuracy),
-        "_b",
-    )
-    # Rows below the bracket share the value NULL, rows above it are dropped.
-    inside = [
-        F.when(
-            F.col(c) <= F.col(f"_b.{c}.high"),
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.col(f"_b.{c}.n").alias("n"),
-                F.when(F.col(c) >= F.col(f"_b.{c}.low"), F.col(c)).alias("value"),
-            ),
-        )
-        for c in columns
-    ]
-    counted = (
-        bracketed.select(F.inline(F.array_compact(F.array(*inside))))
-        .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"))
-    )
-    order = Window.partitionBy("feature").orderBy(F.asc_nulls_first("value"))
-    rank = (F.col("n") - 1) * F.lit(probability)
-    upto = F.col("upto")
-    reached = counted.withColumn("upto", F.sum("rows").over(order)).select(
-        "feature",
-        F.when(upto > F.floor(rank), F.col("value")).alias("floor_value"),
-        F.when(upto > F.ceil(rank), F.col("value")).alias("ceil_value"),
-        (rank - F.floor(rank)).alias("part"),
-    )
-    ends = reached.agg(
-        *[
-            F.struct(
-                F.min(F.when(F.col("feature") == c, F.col("floor_value"))).alias("floor_value"),
-                F.min(F.when(F.col("feature") == c, F.col("ceil_value"))).alias("ceil_value"),
-                F.max(F.when(F.col("feature") == c, F.col("part"))).alias("part"),
-            ).alias(c)
-            for c in columns
-        ]
-    )
-    return ends.select(
-        *[
-            (F.col(f"{c}.floor_value") + (F.col(f"{c}.ceil_value") - F.col(f"{c}.floor_value")) * F.col(f"{c}.part"))
-            .alias(c)
-            for c in columns
-        ]
-    )
+    brackets = summary(df, columns, probability, accuracy)
+    ends = _quantile_ends(df, columns, brackets, probability)
+    return ends.selectExpr(*[f"{_between(c)} as {c}" for c in columns])
 
 
 def imputed_moments(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -111,29 +97,51 @@ def imputed_moments(df: DataFrame, columns: list[str]) -> DataFrame:
     The moments of the imputed column follow from those of the known values and the number of
     missing ones, so no further pass over the rows is needed.
     """
-    known = with_scalar(summary(df, columns), exact_quantiles(df, columns), "_m")
-
-    def moments(c: str):
-        n, mean, var = F.col(f"{c}.n"), F.col(f"{c}.mean"), F.col(f"{c}.var")
-        median = F.col(f"_m.{c}")
-        total = F.col("rows")
-        missing = total - n
-        squares = var * n + F.try_divide(n * missing, total) * (mean - median) * (mean - median)
-        constant = F.col(f"{c}.min") == F.col(f"{c}.max")
-        return F.struct(
-            median.alias("median"),
-            F.try_divide(n * mean + missing * median, total).alias("mean"),
-            F.when(constant, F.lit(0.0))
-            .when(total > 1, F.sqrt(F.try_divide(squares, total - 1)))
-            .alias("std"),
-        ).alias(c)
-
-    return known.select(*[moments(c) for c in columns])
+    known = summary(df, columns)
+    # The summary is the same subquery as the one inside, which Spark runs once.
+    ends = with_scalar(_quantile_ends(df, columns, known, 0.5), known, "_k")
+
+    def moments(c: str) -> str:
+        k, median = f"_k.{c}", _between(c)
+        missing = f"(_k.rows - {k}.n)"
+        gap = f"({k}.mean - {median})"
+        squares = f"({k}.var * {k}.n + coalesce(try_divide({k}.n * {missing}, _k.rows) * {gap} * {gap}, 0.0D))"
+        return f"""named_struct(
+            'median', {median},
+            'mean', try_divide({k}.n * {k}.mean + if({missing} = 0, 0.0D, {missing} * {median}), _k.rows),
+            'std', case when {k}.min = {k}.max then 0.0D
+                        when _k.rows > 1 then sqrt({squares} / (_k.rows - 1)) end) as {c}"""
+
+    return ends.selectExpr(*map(moments, columns))
+
+
+def settled(one_row: DataFrame) -> DataFrame:
+    """Run a one-row frame now and return it as constants.
+
+    For numbers that several steps use: they are computed once, and later plans hold plain literals.
+    """
+    row = one_row.first()
+
+    def constant(value, kind) -> str:
+        if isinstance(kind, T.StructType):
+            parts = [value[i] if value is not None else None for i in range(len(kind.fields))]
+            fields = zip(kind.fields, parts)
+            return f"named_struct({', '.join(f'{f.name!r}, {constant(part, f.dataType)}' for f, part in fields)})"
+        text = "null" if value is None else f"'{value!r}'"
+        return f"cast({text} as {kind.simpleString()})"
+
+    columns = [f"{constant(row[f.name], f.dataType)} as {f.name}" for f in one_row.schema.fields]
+    return one_row.sparkSession.sql(f"select {', '.join(columns)}")
+
+
+def medians_of(moments: DataFrame, columns: list[str]) -> DataFrame:
+    """Only the medians of an ``imputed_moments`` row."""
+    return moments.selectExpr(*[f"{c}.median as {c}" for c in columns])
 
 
 def impute_median(df: DataFrame, columns: list[str], medians: DataFrame | None = None) -> DataFrame:
     """Replace NULLs by the column's exact median over the given frame."""
     medians = exact_quantiles(df, columns) if medians is None else medians
     return with_scalar(df, medians, "_m").withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"_m.{c}")) for c in columns}
+        {c: F.expr(f"coalesce({c}, _m.{c})") for c in columns}
     ).drop("_m")

@@ -16,10 +16,9 @@ from aerolens.operators.forest import fit_isolation_forest, isolation_outliers
 from aerolens.operators.keyed import absent_rows
 from aerolens.operators.model import score_aqi, update_aqi_model
 from aerolens.operators.outliers import zscore_outliers
-from aerolens.operators.statistics import exact_quantiles, imputed_moments
+from aerolens.operators.statistics import exact_quantiles, imputed_moments, medians_of, settled
 from aerolens.plans.store import STORED_PREDICTIONS, Store
 from aerolens.schema import DERIVED_FEATURES, MONITOR_FEATURES
-from aerolens.session import checkpointed
 from aerolens.sources.tables import append_batch, read_table, timestamp_literal, upsert_partitions, with_month
 
 CYCLE_LOG = "run_id string, cycle bigint, outliers bigint, predictions bigint, seconds double"
@@ -43,10 +42,10 @@ def detect_anomalies(
 ) -> DataFrame:
     """Rows of a gated window with both outlier flags, and the score of the forest.
 
-    The medians and moments are computed once, as one checkpointed row, for all three steps.
+    The medians and moments are computed once for all three steps.
     """
-    moments = checkpointed(imputed_moments(window, MONITOR_FEATURES))
-    medians = moments.select(*[F.col(f"{c}.median").alias(c) for c in MONITOR_FEATURES])
+    moments = settled(imputed_moments(window, MONITOR_FEATURES))
+    medians = medians_of(moments, MONITOR_FEATURES)
     nodes = fit_isolation_forest(
         window, MONITOR_FEATURES, trees=trees, max_samples=max_samples, medians=medians
     )
@@ -86,14 +85,14 @@ def train_and_score_step(store: Store, as_of: dt.datetime, cycle: int, minutes:
     training = training_gate(window)
     if not _has_rows(training, max(MIN_TRAIN, MIN_LABELLED)):
         return 0
-    medians = checkpointed(exact_quantiles(training, TRAIN_COLUMNS))
+    medians = settled(exact_quantiles(training, TRAIN_COLUMNS))
     state = update_aqi_model(training, TRAIN_COLUMNS, store.model_before(cycle), medians=medians)
     store.save_model(state, cycle)
     scoring = quality_gate(window)
     scored = with_month(
         score_aqi(
             scoring, state,
-            medians=checkpointed(exact_quantiles(scoring, TRAIN_COLUMNS)),
+            medians=settled(exact_quantiles(scoring, TRAIN_COLUMNS)),
             predicted_at=timestamp_literal(as_of),
         )
     )

@@ -19,7 +19,7 @@ from aerolens.schema import (
     ALERT_STATUSES, AQI_LABELS, FOREST_FEATURES, MONITOR_FEATURES, SENSOR_STATUSES, SEVERITIES, STREAM_FEATURES,
     TRAINING_FEATURES,
 )
-from aerolens.session import checkpointed, scratch_path
+from aerolens.session import materialized, scratch_path
 from aerolens.sources.tables import (
     MONTH, append_batch, append_readings, read_table, scan_readings, stream_readings, upsert_partitions, with_month,
     write_partitioned,
@@ -67,7 +67,7 @@ def gated_week(t: TestTables) -> DataFrame:
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: F.expr(f"round({c}, {digits})") for c in columns})
 
 
 # --- sources and sinks ------------------------------------------------------------------------
@@ -95,12 +95,10 @@ def scan_readings_query(t):
        from readings group by 1"""
 )
 def write_partitioned_query(t):
-    schema = t.readings.schema
-    back = read_table(t.spark, stored_readings(t), schema, f"{MONTH} int")
+    back = read_table(t.spark, stored_readings(t), t.readings.schema, f"{MONTH} int")
     return back.groupBy(MONTH).agg(
-        F.count(F.lit(1)).alias("n"), F.count("pm25").alias("pm25_known"),
-        F.round(F.sum("pm25"), 4).alias("pm25_sum"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
-        F.sum("record_id").alias("ids"),
+        F.expr("count(*) as n"), F.expr("count(pm25) as pm25_known"), F.expr("round(sum(pm25), 4) as pm25_sum"),
+        F.expr("min(ts) as first_ts"), F.expr("max(ts) as last_ts"), F.expr("sum(record_id) as ids"),
     )
 
 
@@ -173,11 +171,10 @@ def upsert_predictions(t):
     columns = ["record_id", "station_id", "aqi_pred", "model_version", "predicted_at"]
     old = with_month(t.predictions.select(*columns), "predicted_at")
     old.write.partitionBy(MONTH).parquet(path)
-    halved = F.col("pm25") / 2
     new = with_month(
-        filters.recent(t.readings, WEEK).where("pm25 is not null").select(
-            "record_id", "station_id", ladders.aqi_bucket(halved).alias("aqi_pred"),
-            F.lit("v2").alias("model_version"), F.col("ts").alias("predicted_at"),
+        filters.recent(t.readings, WEEK).where("pm25 is not null").selectExpr(
+            "record_id", "station_id", f"{ladders.aqi_bucket('(pm25 / 2)')} as aqi_pred",
+            "'v2' as model_version", "ts as predicted_at",
         ),
         "predicted_at",
     )
@@ -269,8 +266,8 @@ def conform_readings(t):
         {"record_id": "reading_id", "ts": "timestamp", "humidity": "humidity_percent", "wind_speed": "wind_speed_ms"}
     )
     measures = ["pm25", "co2_ppm", "pm10", "no2_ppm", "temperature_c", "humidity", "wind_speed", "data_quality_score"]
-    return quality.conform_readings(older_layout).select(
-        "record_id", "station_id", "ts", *[F.col(c).cast("double").alias(c) for c in measures], "status"
+    return quality.conform_readings(older_layout).selectExpr(
+        "record_id", "station_id", "ts", *[f"cast({c} as double) as {c}" for c in measures], "status"
     )
 
 
@@ -289,12 +286,8 @@ DRIFTED = """drifted as (select record_id, station_id, ts, pm25 - 5 as pm25, co2
 
 def drifted(t: TestTables) -> DataFrame:
     """Readings of sensors whose calibration has drifted, so that some leave their ranges."""
-    return t.readings.withColumns(
-        {
-            "pm25": F.col("pm25") - 5, "pm10": F.col("pm10") - 5, "humidity": F.col("humidity") + 35,
-            "wind_speed": F.col("wind_speed") - 1, "wind_direction": F.col("wind_direction") + 5,
-        }
-    )
+    shifts = {"pm25": -5, "pm10": -5, "humidity": 35, "wind_speed": -1, "wind_direction": 5}
+    return t.readings.withColumns({c: F.expr(f"{c} + ({by})") for c, by in shifts.items()})
 
 
 @query(f", {DRIFTED} select record_id, violations from checked where violations <> ''")
@@ -567,10 +560,7 @@ def kpi_summary(t):
     "readings stations alerts",
 )
 def kpi_overview(t):
-    known = t.readings.where("pm25 is not null")
-    latest = aggregates.kpi_overview(known, t.stations, t.alerts)
-    temperature = t.readings.select(F.avg("temperature_c")).scalar()
-    return rounded(latest.withColumn("avg_temperature", temperature), "avg_temperature")
+    return rounded(aggregates.kpi_overview(t.readings, t.stations, t.alerts), "avg_temperature")
 
 
 @query(
@@ -609,7 +599,7 @@ ZSUM = """z as (select w.*,
 )
 def batch_metrics(t):
     # The class that PM10 would suggest stands in for a prediction.
-    batch = outliers.zsum_outliers(gated_week(t)).withColumn("aqi_pred", ladders.aqi_bucket(F.col("pm10")))
+    batch = outliers.zsum_outliers(gated_week(t)).withColumn("aqi_pred", F.expr(ladders.aqi_bucket("pm10")))
     return rounded(aggregates.batch_metrics(batch), "metric_value")
 
 
@@ -632,14 +622,12 @@ def cycle_metrics(t):
     """A log with one monitor run per zone and one cycle per day."""
     log = (
         t.readings.join(t.stations.select("station_id", "city_zone"), "station_id")
-        .groupBy(
-            F.col("city_zone").alias("run_id"),
-            F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).cast("bigint").alias("cycle"),
-        )
+        .selectExpr("city_zone as run_id", "cast(datediff(to_date(ts), date'2024-01-01') as bigint) as cycle", "pm25")
+        .groupBy("run_id", "cycle")
         .agg(
-            F.count_if(F.col("pm25") > 100).alias("outliers"),
-            F.count("pm25").alias("predictions"),
-            (F.count(F.lit(1)).cast("double") / 10).alias("seconds"),
+            F.expr("count_if(pm25 > 100) as outliers"),
+            F.expr("count(pm25) as predictions"),
+            F.expr("cast(count(*) as double) / 10 as seconds"),
         )
     )
     return rounded(aggregates.cycle_metrics(log), "metric_value")
@@ -767,7 +755,7 @@ def stream_forest_outliers(t):
     scored = forest.stream_forest_scores(
         batch, forest.fit_isolation_forest(batch, ["pm25"]), forest.fit_isolation_forest(batch, ["co2_ppm"])
     )
-    return outliers.percentile_outliers(checkpointed(scored))
+    return outliers.percentile_outliers(materialized(scored, "scores"))
 
 
 @query(
@@ -798,10 +786,10 @@ ANOMALY_TEXT = """'PM2.5=' || cast(round(cast(pm25 as decimal(20,2)),1) as varch
 def anomaly_alerts(t):
     """The alert rule on two given flags, here simple limits in place of the detectors."""
     flags = {
-        "is_statistical_outlier": (F.col("pm10") > 100) | (F.col("humidity") > 68),
-        "is_isolation_outlier": (F.col("co2_ppm") > 850) | (F.col("pm25") > 120),
+        "is_statistical_outlier": "coalesce(pm10 > 100 or humidity > 68, false)",
+        "is_isolation_outlier": "coalesce(co2_ppm > 850 or pm25 > 120, false)",
     }
-    flagged = gated_week(t).withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()})
+    flagged = gated_week(t).withColumns({name: F.expr(rule) for name, rule in flags.items()})
     return alerts.anomaly_alerts(flagged)
 
 
@@ -814,7 +802,7 @@ def anomaly_alerts(t):
     "w",
 )
 def anomaly_alerts_simple(t):
-    flagged = gated_week(t).withColumn("is_outlier", (F.col("pm25") > 90) | (F.col("humidity") > 68))
+    flagged = gated_week(t).withColumn("is_outlier", F.expr("pm25 > 90 or humidity > 68"))
     return alerts.anomaly_alerts_simple(flagged)
 
 
@@ -903,8 +891,8 @@ def score_aqi_untrained(t):
 )
 def model_accuracy(t):
     # The class that PM10 would suggest stands in for a prediction.
-    guess = F.coalesce(ladders.aqi_bucket(F.col("pm10")), F.lit("Good"))
-    labelled = derive.with_aqi_bucket(t.readings).withColumn("aqi_pred", guess)
+    guess = f"coalesce({ladders.aqi_bucket('pm10')}, 'Good')"
+    labelled = derive.with_aqi_bucket(t.readings).withColumn("aqi_pred", F.expr(guess))
     return rounded(aggregates.model_accuracy(labelled, "aqi_pred", "aqi_bucket"), "accuracy")
 
 

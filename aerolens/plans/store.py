@@ -56,12 +56,14 @@ class Store:
 
     def numbered(self, metrics: DataFrame, batch_id: int, recorded_at: Column) -> DataFrame:
         """Metric rows of one batch with ids that a replay repeats; a batch has less than 100 metrics."""
-        names = F.array_sort(F.collect_set("metric_name"))
-        known = metrics.agg(names.alias("names")).scalar()
-        return metrics.select(
-            (F.lit(batch_id).cast("bigint") * 100 + F.array_position(known, F.col("metric_name"))).alias("metric_id"),
-            "metric_name", F.col("metric_value").cast("double").alias("metric_value"), "metric_unit",
-            recorded_at.alias("recorded_at"),
+        names = metrics.agg(F.expr("array_sort(collect_set(metric_name))")).scalar()
+        return (
+            metrics.withColumn("_names", names)
+            .withColumn("recorded_at", recorded_at)
+            .selectExpr(
+                f"{batch_id} * 100L + array_position(_names, metric_name) as metric_id",
+                "metric_name", "cast(metric_value as double) as metric_value", "metric_unit", "recorded_at",
+            )
         )
 
     def retain_metrics(self, keep: int = 1000) -> None:

@@ -19,7 +19,7 @@ EVENTS = "event_id bigint, user_id bigint, event_type string, ts timestamp, valu
 CUSTOMER = "c_custkey bigint, c_name string, c_mktsegment string"
 
 # Sensor position within a station, by sensor type.
-SENSOR_TYPES = ["click", "error", "purchase", "signup", "view"]
+SENSOR_TYPES = "array('click', 'error', 'purchase', 'signup', 'view')"
 
 
 class TestTables:
@@ -45,100 +45,88 @@ class TestTables:
 
     @cached_property
     def stations(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self._read("customer", CUSTOMER).select(
-            key.alias("station_id"),
-            F.col("c_name").alias("station_name"),
-            F.col("c_mktsegment").alias("city_zone"),
-            F.when(key % 7 != 0, (40000 + key % 1000).cast("double") / 1000).alias("latitude"),
-            ((-74000 + key % 1000).cast("double") / 1000).alias("longitude"),
-            (key % 10 != 0).alias("is_active"),
+        return self._read("customer", CUSTOMER).selectExpr(
+            "c_custkey as station_id",
+            "c_name as station_name",
+            "c_mktsegment as city_zone",
+            "case when c_custkey % 7 <> 0 then cast(40000 + c_custkey % 1000 as double) / 1000 end as latitude",
+            "cast(-74000 + c_custkey % 1000 as double) / 1000 as longitude",
+            "c_custkey % 10 <> 0 as is_active",
         )
 
     @cached_property
     def sensors(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return (
-            self._read("customer", CUSTOMER)
-            .select(key, F.posexplode(F.array(*map(F.lit, SENSOR_TYPES))).alias("i", "sensor_type"))
-            .select(
-                (key * 5 + F.col("i")).alias("sensor_id"),
-                key.alias("station_id"),
-                "sensor_type",
-                F.when((key + F.col("i")) % 11 == 0, "Maintenance").otherwise("Active").alias("status"),
-            )
+        positioned = self._read("customer", CUSTOMER).selectExpr(
+            "c_custkey as station_id", f"posexplode({SENSOR_TYPES}) as (i, sensor_type)"
+        )
+        return positioned.selectExpr(
+            "station_id * 5 + i as sensor_id",
+            "station_id",
+            "sensor_type",
+            "case when (station_id + i) % 11 = 0 then 'Maintenance' else 'Active' end as status",
         )
 
     @cached_property
     def predictions(self) -> DataFrame:
         """The rule label of every reading with a PM2.5 value, with all weight on that label."""
-        label = aqi_bucket(F.col("pm25"))
-        return self.readings.where("pm25 is not null").select(
+        labelled = self.readings.where("pm25 is not null").withColumn("aqi_pred", F.expr(aqi_bucket()))
+        return labelled.selectExpr(
             "record_id",
             "station_id",
-            label.alias("aqi_pred"),
-            *[(label == name).cast("double").alias(f"proba_{name.lower()}") for name in AQI_LABELS],
-            F.lit(1.0).alias("confidence_score"),
-            F.lit("rule").alias("model_version"),
-            F.col("ts").alias("predicted_at"),
+            "aqi_pred",
+            *[f"cast(aqi_pred = '{name}' as double) as proba_{name.lower()}" for name in AQI_LABELS],
+            "1.0D as confidence_score",
+            "'rule' as model_version",
+            "ts as predicted_at",
         )
 
     @cached_property
     def alerts(self) -> DataFrame:
-        raised = threshold_alerts(self.readings)
-        return raised.select(
-            (F.col("record_id") * 2 + (F.col("alert_type") == "CO₂ Alert").cast("bigint")).alias("alert_id"),
+        return threshold_alerts(self.readings).selectExpr(
+            "record_id * 2 + cast(alert_type = 'CO₂ Alert' as bigint) as alert_id",
             "record_id", "station_id", "alert_type", "severity",
-            F.when(F.col("record_id") % 4 == 0, "Resolved").otherwise("Open").alias("status"),
+            "case when record_id % 4 = 0 then 'Resolved' else 'Open' end as status",
             "message", "anomaly_score", "detection_method", "created_at",
         )
 
     @cached_property
     def system_metrics(self) -> DataFrame:
         """Three metrics per day: average and maximum PM2.5 and the number of readings."""
-        per_day = self.readings.groupBy(F.date_trunc("day", "ts").alias("recorded_at")).agg(
-            F.avg("pm25").alias("avg_pm25"),
-            F.max("pm25").alias("max_pm25"),
-            F.count(F.lit(1)).cast("double").alias("reading_count"),
-        )
-        series = F.array(
-            F.struct(F.lit(0).alias("i"), F.lit("avg_pm25").alias("metric_name"),
-                     F.col("avg_pm25").alias("metric_value"), F.lit("µg/m³").alias("metric_unit")),
-            F.struct(F.lit(1).alias("i"), F.lit("max_pm25").alias("metric_name"),
-                     F.col("max_pm25").alias("metric_value"), F.lit("µg/m³").alias("metric_unit")),
-            F.struct(F.lit(2).alias("i"), F.lit("reading_count").alias("metric_name"),
-                     F.col("reading_count").alias("metric_value"), F.lit("count").alias("metric_unit")),
+        per_day = self.readings.selectExpr("date_trunc('day', ts) as recorded_at", "pm25").groupBy("recorded_at").agg(
+            F.expr("avg(pm25) as avg_pm25"),
+            F.expr("max(pm25) as max_pm25"),
+            F.expr("cast(count(*) as double) as reading_count"),
         )
-        day = F.unix_date(F.to_date("recorded_at")).cast("bigint")
-        return per_day.select("recorded_at", F.inline(series)).select(
-            (day * 3 + F.col("i")).alias("metric_id"),
+        return per_day.selectExpr(
+            "recorded_at",
+            """stack(3, 0, 'avg_pm25', avg_pm25, 'µg/m³', 1, 'max_pm25', max_pm25, 'µg/m³',
+                 2, 'reading_count', reading_count, 'count') as (i, metric_name, metric_value, metric_unit)""",
+        ).selectExpr(
+            "unix_date(to_date(recorded_at)) * 3L + i as metric_id",
             "metric_name", "metric_value", "metric_unit", "recorded_at",
         )
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
     """Readings from an events frame, batch or streaming."""
-    key = F.col("event_id")
-    value = F.col("value")
-    k = F.get_json_object("props", "$.k").cast("int")
-    sensor = F.array_position(F.array(*map(F.lit, SENSOR_TYPES)), F.col("event_type"))
-    return events.select(
-        key.alias("record_id"),
-        F.col("user_id").alias("station_id"),
-        (F.col("user_id") * 5 + sensor - 1).alias("sensor_id"),
-        F.col("event_type").alias("sensor_type"),
+    k = "cast(get_json_object(props, '$.k') as int)"
+    return events.selectExpr(
+        "event_id as record_id",
+        "user_id as station_id",
+        f"case when event_type is not null then user_id * 5 + array_position({SENSOR_TYPES}, event_type) - 1 end as sensor_id",
+        "event_type as sensor_type",
         "ts",
-        F.when(F.col("event_type") != "signup", value).alias("pm25"),
-        F.when(F.col("event_type") != "view", (400 + 5 * k).cast("double")).alias("co2_ppm"),
-        F.when(key % 13 != 0, value * 1.2).alias("pm10"),
-        ((10 + key % 9).cast("double") / 1000).alias("no2_ppm"),
-        ((20 + key % 7).cast("double") / 1000).alias("o3_ppm"),
-        F.when(key % 17 != 0, (20 + key % 29).cast("double") / 2).alias("temperature_c"),
-        (40 + (key * 7) % 31).cast("double").alias("humidity"),
-        (((key * 3) % 41).cast("double") / 4).alias("wind_speed"),
-        ((key * 37) % 360).cast("double").alias("wind_direction"),
-        (1000 + key % 27).cast("double").alias("atmospheric_pressure"),
-        ((50 + key % 51).cast("double") / 100).alias("data_quality_score"),
+        "case when event_type <> 'signup' then value end as pm25",
+        f"case when event_type <> 'view' then cast(400 + 5 * {k} as double) end as co2_ppm",
+        "case when event_id % 13 <> 0 then value * 1.2D end as pm10",
+        "cast(10 + event_id % 9 as double) / 1000 as no2_ppm",
+        "cast(20 + event_id % 7 as double) / 1000 as o3_ppm",
+        "case when event_id % 17 <> 0 then cast(20 + event_id % 29 as double) / 2 end as temperature_c",
+        "cast(40 + (event_id * 7) % 31 as double) as humidity",
+        "cast((event_id * 3) % 41 as double) / 4 as wind_speed",
+        "cast((event_id * 37) % 360 as double) as wind_direction",
+        "cast(1000 + event_id % 27 as double) as atmospheric_pressure",
+        "cast(50 + event_id % 51 as double) / 100 as data_quality_score",
     )
 
 

@@ -12,10 +12,9 @@ from aerolens.operators.alerts import ALERT_COLUMNS, batch_outlier_alerts, thres
 from aerolens.operators.derive import with_aqi_bucket
 from aerolens.operators.model import score_aqi, update_aqi_model
 from aerolens.operators.outliers import zsum_outliers
-from aerolens.operators.statistics import exact_quantiles
+from aerolens.operators.statistics import exact_quantiles, settled
 from aerolens.plans.store import Store
 from aerolens.schema import STREAM_FEATURES
-from aerolens.session import checkpointed
 from aerolens.sources.tables import append_batch, append_readings
 
 MODEL_VERSION = "online-sgd-v1"
@@ -38,7 +37,7 @@ def process_batch(store: Store, batch: DataFrame, batch_id: int, started: float
     )
     append_batch(alerts.withColumn("status", F.lit("Open")), store.path("alerts"), batch_id)
 
-    medians = checkpointed(exact_quantiles(batch, STREAM_FEATURES))
+    medians = settled(exact_quantiles(batch, STREAM_FEATURES))
     state = update_aqi_model(batch, STREAM_FEATURES, store.model_before(batch_id), medians=medians)
     store.save_model(state, batch_id)
     scored = score_aqi(batch, state, medians=medians, version=MODEL_VERSION)
