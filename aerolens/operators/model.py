@@ -184,8 +184,9 @@ def score_aqi(
     medians: DataFrame | None = None,
     version: str = "v1.0",
     predicted_at: Column | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Label, class probabilities and confidence of every row.
+    """Label, class probabilities and confidence of every row, with the columns to ``keep``.
 
     ``model`` is an MLlib model, a state of ``update_aqi_model`` or ``None``, which gives every
     class the same probability.
@@ -215,4 +216,5 @@ def score_aqi(
         f"'{version}' as model_version",
         "predicted_at",
         "ts",
+        *keep,
     )

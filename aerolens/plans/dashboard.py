@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from aerolens.operators import aggregates, joins, series
 from aerolens.plans.store import Store
@@ -20,20 +20,20 @@ class Dashboard:
     def readings(self, minutes: int = 180, limit: int = 1000) -> DataFrame:
         """Newest readings, then their station and prediction."""
         return joins.dashboard_readings(
-            self.store.readings(minutes, self.as_of), self.store.stations(), self.store.predictions(), limit
+            self.store.readings(minutes, self.as_of), self.store.stations(), self._predictions(minutes), limit
         )
 
     def readings_full(self, minutes: int = 180, limit: int = 5000) -> DataFrame:
         """Readings with all prediction columns, limited last."""
         return joins.dashboard_readings_full(
-            self.store.readings(minutes, self.as_of), self.store.stations(), self.store.predictions(), limit
+            self.store.readings(minutes, self.as_of), self.store.stations(), self._predictions(minutes), limit
         )
 
     def alerts(self, limit: int = 200) -> DataFrame:
-        return joins.alerts_with_station(self.store.batches("alerts"), self.store.stations(), limit)
+        return joins.alerts_with_station(self.store.alerts(), self.store.stations(), limit)
 
     def metrics(self, limit: int = 100) -> DataFrame:
-        return series.recent_metrics(self.store.batches("system_metrics"), limit)
+        return series.recent_metrics(self.store.metrics(), limit)
 
     def key_figures(self, minutes: int = 180, limit: int = 1000) -> DataFrame:
         """Averages, maximum and counts over what the page has loaded."""
@@ -54,12 +54,16 @@ class Dashboard:
         Predictions and alerts are cut to the window by the time of their reading before they are
         joined, so their older history is never shuffled.
         """
-        window = self.store.readings(minutes, self.as_of)
-        start = window.select(F.min("ts")).scalar()
         return joins.reading_lineage(
-            window,
+            self.store.readings(minutes, self.as_of),
             self.store.stations(),
             self.store.sensors(),
-            self.store.predictions().where(F.col("ts") >= start),
-            self.store.batches("alerts").where(F.col("created_at") >= start),
+            self._predictions(minutes),
+            self.store.alerts(self._start(minutes)),
         )
+
+    def _start(self, minutes: int) -> dt.datetime | None:
+        return self.as_of - dt.timedelta(minutes=minutes) if self.as_of else None
+
+    def _predictions(self, minutes: int) -> DataFrame:
+        return self.store.predictions(self._start(minutes))

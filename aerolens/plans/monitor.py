@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolens.operators.aggregates import CYCLE_UNITS, cycle_metrics
+from aerolens.operators.aggregates import cycle_metrics
 from aerolens.operators.alerts import ALERT_COLUMNS, anomaly_alerts
 from aerolens.operators.derive import with_aqi_bucket, with_derived_features
 from aerolens.operators.filters import quality_gate, training_gate
@@ -17,10 +17,12 @@ from aerolens.operators.keyed import absent_rows
 from aerolens.operators.model import score_aqi, update_aqi_model
 from aerolens.operators.outliers import zscore_outliers
 from aerolens.operators.statistics import exact_quantiles, imputed_moments, medians_of, settled
-from aerolens.plans.store import STORED_PREDICTIONS, Store
+from aerolens.plans.store import Store
 from aerolens.schema import DERIVED_FEATURES, MONITOR_FEATURES
-from aerolens.sources.tables import append_batch, read_table, timestamp_literal, upsert_partitions, with_month
+from aerolens.session import materialized
+from aerolens.sources.tables import append_batch, read_table, timestamp_literal
 
+SOURCE = "monitor"
 CYCLE_LOG = "run_id string, cycle bigint, outliers bigint, predictions bigint, seconds double"
 MIN_DETECT, MIN_TRAIN, MIN_LABELLED = 20, 30, 20
 TRAIN_COLUMNS = MONITOR_FEATURES + DERIVED_FEATURES
@@ -61,44 +63,41 @@ def _has_rows(df: DataFrame, minimum: int) -> bool:
 
 def detect_step(store: Store, as_of: dt.datetime, cycle: int, minutes: int, contamination: float, trees: int) -> int:
     """Raise an alert for each anomaly that has none yet; returns how many were found."""
-    window = quality_gate(
-        store.readings(
-            minutes, as_of,
-            ["record_id", "station_id", "ts", "data_quality_score", *MONITOR_FEATURES],
-        )
-    )
+    columns = ["record_id", "station_id", "ts", "data_quality_score", *MONITOR_FEATURES]
+    window = quality_gate(store.readings(minutes, as_of, columns))
     if not _has_rows(window, MIN_DETECT):
         return 0
+    # Several passes follow; the window is cut out of the large table once.
+    window = materialized(window, "window")
     found = anomaly_alerts(detect_anomalies(window, contamination=contamination, trees=trees))
-    # Rows that an earlier try of this cycle wrote do not count as known: they are written again.
-    known = store.batches("alerts").where(F.col("batch_id") != cycle)
+    # An alert carries the time of its reading, so older ones need not be looked at. Rows that an
+    # earlier try of this cycle wrote do not count as known: they are written again.
+    known = store.alerts(as_of - dt.timedelta(minutes=minutes)).where(
+        (F.col("source") != SOURCE) | (F.col("batch_id") != cycle)
+    )
     fresh = absent_rows(known, found, ["record_id", "alert_type"], [F.desc("anomaly_score")])
-    rows = fresh.select(*ALERT_COLUMNS).withColumn("status", F.lit("Open"))
-    append_batch(rows, store.path("alerts"), cycle)
+    store.append_alerts(fresh.select(*ALERT_COLUMNS), SOURCE, cycle)
     return found.count()
 
 
 def train_and_score_step(store: Store, as_of: dt.datetime, cycle: int, minutes: int) -> int:
     """Update the classifier on the window and upsert a prediction for each of its readings."""
     columns = ["record_id", "station_id", "ts", "data_quality_score", *MONITOR_FEATURES]
-    window = with_derived_features(with_aqi_bucket(store.readings(minutes, as_of, columns)))
-    training = training_gate(window)
+    scoring = quality_gate(store.readings(minutes, as_of, columns))
+    # Rows to train on are among the rows to score.
+    scoring = materialized(with_derived_features(with_aqi_bucket(scoring)), "window")
+    training = training_gate(scoring)
     if not _has_rows(training, max(MIN_TRAIN, MIN_LABELLED)):
         return 0
     medians = settled(exact_quantiles(training, TRAIN_COLUMNS))
-    state = update_aqi_model(training, TRAIN_COLUMNS, store.model_before(cycle), medians=medians)
-    store.save_model(state, cycle)
-    scoring = quality_gate(window)
-    scored = with_month(
-        score_aqi(
-            scoring, state,
-            medians=settled(exact_quantiles(scoring, TRAIN_COLUMNS)),
-            predicted_at=timestamp_literal(as_of),
-        )
-    )
-    upsert_partitions(
-        store.spark, store.path("scored"), scored, STORED_PREDICTIONS, ["record_id"], [F.desc("predicted_at")]
+    state = update_aqi_model(training, TRAIN_COLUMNS, store.model_before(SOURCE, cycle), medians=medians)
+    store.save_model(state, SOURCE, cycle)
+    scored = score_aqi(
+        scoring, state,
+        medians=settled(exact_quantiles(scoring, TRAIN_COLUMNS)),
+        predicted_at=timestamp_literal(as_of),
     )
+    store.upsert_predictions(scored)
     return scoring.count()
 
 
@@ -108,12 +107,11 @@ def report_step(store: Store, as_of: dt.datetime, run_id: str, report: CycleRepo
     entry = spark.createDataFrame(
         [(run_id, report.cycle, report.outliers, report.predictions, report.seconds)], CYCLE_LOG
     )
-    append_batch(entry, store.path("cycle_log"), report.cycle)
+    append_batch(entry.coalesce(1), store.path("cycle_log"), report.cycle)
     log = read_table(spark, store.path("cycle_log"), entry.schema, "batch_id bigint")
     metrics = cycle_metrics(log.where(F.col("run_id") == run_id)).where(F.col("cycle") == report.cycle)
-    rows = store.numbered(metrics.where(F.col("metric_name").isin(list(CYCLE_UNITS))), report.cycle, timestamp_literal(as_of))
-    append_batch(rows, store.path("system_metrics"), report.cycle)
-    store.retain_metrics()
+    store.append_metrics(metrics.drop("run_id", "cycle"), SOURCE, report.cycle, timestamp_literal(as_of))
+    store.retain_metrics(SOURCE)
 
 
 def run_cycle(

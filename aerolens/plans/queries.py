@@ -21,8 +21,8 @@ from aerolens.schema import (
 )
 from aerolens.session import materialized, scratch_path
 from aerolens.sources.tables import (
-    MONTH, append_batch, append_readings, read_table, scan_readings, stream_readings, upsert_partitions, with_month,
-    write_partitioned,
+    MONTH, append_readings, partition_column, read_table, scan_readings, stream_readings, upsert_partitions,
+    with_partition, write_partitioned,
 )
 from aerolens.sources.testviews import EVENTS, TestTables, readings_from_events, with_views
 from aerolens.streaming.ingest import run_ingest_stream
@@ -169,18 +169,19 @@ def insert_if_absent(t):
 def upsert_predictions(t):
     path = scratch_path(t.spark, "predictions")
     columns = ["record_id", "station_id", "aqi_pred", "model_version", "predicted_at"]
-    old = with_month(t.predictions.select(*columns), "predicted_at")
-    old.write.partitionBy(MONTH).parquet(path)
-    new = with_month(
+    old = with_partition(t.predictions.select(*columns), "day", "predicted_at")
+    day = partition_column("day")
+    old.hint("rebalance", day).write.partitionBy(day).parquet(path)
+    new = with_partition(
         filters.recent(t.readings, WEEK).where("pm25 is not null").selectExpr(
             "record_id", "station_id", f"{ladders.aqi_bucket('(pm25 / 2)')} as aqi_pred",
             "'v2' as model_version", "ts as predicted_at",
         ),
-        "predicted_at",
+        "day", "predicted_at",
     )
-    schema = T.StructType([f for f in old.schema.fields if f.name != MONTH])
-    upsert_partitions(t.spark, path, new, schema, ["record_id"], [F.desc("predicted_at")])
-    return read_table(t.spark, path, schema, f"{MONTH} int").select(*columns[:4])
+    schema = T.StructType([f for f in old.schema.fields if f.name != day])
+    upsert_partitions(t.spark, path, new, schema, ["record_id"], [F.desc("predicted_at")], day)
+    return read_table(t.spark, path, schema, f"{day} int").select(*columns[:4])
 
 
 @query(
@@ -914,25 +915,24 @@ def model_accuracy(t):
 )
 def run_ingest_stream_query(t):
     """Alerts of the ingest stream; the events file arrives as one micro-batch."""
-    store = Store(t.spark, scratch_path(t.spark, "ingest"))
+    store = Store(t.spark, scratch_path(t.spark, "ingest"), "day")
     stream = readings_from_events(streamed_events(t))
     run_ingest_stream(t.spark, stream, store, trigger={"availableNow": True}).awaitTermination()
     columns = ["record_id", "station_id", "alert_type", "severity", "message", "anomaly_score"]
-    return rounded(store.batches("alerts").select(*columns), "anomaly_score")
+    return rounded(store.alerts().select(*columns), "anomaly_score")
 
 
 @query()
 def run_monitor_cycle(t):
     """Metrics written by two monitoring cycles over the stored readings."""
-    root = scratch_path(t.spark, "monitor")
-    store = Store(t.spark, root)
+    store = Store(t.spark, scratch_path(t.spark, "monitor"), "day")
     write_partitioned(t.readings, store.path("readings"))
     as_of = store.latest()
     for cycle, day in enumerate((as_of - dt.timedelta(days=1), as_of), start=1):
         run_cycle(
             t.spark, store, cycle=cycle, as_of=day, outlier_window=WEEK, ml_window=WEEK, trees=100
         )
-    return store.batches("system_metrics").select("metric_id", "metric_name", "metric_value", "metric_unit", "recorded_at")
+    return store.metrics().select("metric_id", "metric_name", "metric_value", "metric_unit", "recorded_at")
 
 
 @query()

@@ -1,4 +1,8 @@
-"""The stored tables of one deployment: where they lie and how they are read."""
+"""The stored tables of one deployment: where they lie and how they are read.
+
+Each writer (the ingest stream, the monitor) appends below its own ``source=`` folder, batch by
+batch, so writers never touch each other's files and a repeated batch replaces only itself.
+"""
 
 from __future__ import annotations
 
@@ -8,23 +12,34 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from aerolens.operators.keyed import retain_latest_metrics
 from aerolens.operators.model import STATE
-from aerolens.schema import ALERTS, PREDICTIONS, READINGS, STATIONS, SENSORS, SYSTEM_METRICS
+from aerolens.schema import ALERTS, PREDICTIONS, READINGS, SENSORS, STATIONS, SYSTEM_METRICS
 from aerolens.session import configure, scratch_path
-from aerolens.sources.tables import MONTH, append_batch, latest_ts, read_table, scan_readings, with_columns
+from aerolens.sources.tables import (
+    MONTH, append_batch, latest_ts, partition_column, read_table, scan_readings, since, upsert_partitions, with_columns,
+    with_partition,
+)
 
 # Predictions also carry the time of their reading, so a time window prunes them like readings.
 STORED_PREDICTIONS = with_columns(PREDICTIONS, "ts timestamp")
+SOURCES = ["ingest", "monitor"]
 
 
 class Store:
-    """Tables below one folder that all executors can reach."""
+    """Tables below one folder that all executors can reach.
+
+    ``prediction_unit`` is the time span of one partition of predictions. Every upsert rewrites the
+    spans its readings fall into, so it should be no longer than the window a cycle scores.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, prediction_unit: str = "hour"):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
+        self.prediction_unit = prediction_unit
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def path(self, name: str, source: str | None = None) -> str:
+        return f"{self.root}/{name}" if source is None else f"{self.root}/{name}/source={source}"
+
+    # --- reading ---
 
     def readings(self, minutes: int, as_of: dt.datetime | None = None, columns: list[str] | None = None) -> DataFrame:
         """Trailing window of the readings."""
@@ -36,51 +51,75 @@ class Store:
         """Time of the newest reading."""
         return latest_ts(read_table(self.spark, self.path("readings"), READINGS, f"{MONTH} int"))
 
-    def batches(self, name: str) -> DataFrame:
-        """A table that was appended batch by batch, with its ``batch_id``."""
-        schema = {
-            "readings": READINGS, "alerts": ALERTS, "predictions": STORED_PREDICTIONS,
-            "system_metrics": SYSTEM_METRICS,
-        }[name]
-        return read_table(self.spark, self.path(name), schema, "batch_id bigint")
-
     def stations(self) -> DataFrame:
         return read_table(self.spark, self.path("stations"), STATIONS)
 
     def sensors(self) -> DataFrame:
         return read_table(self.spark, self.path("sensors"), SENSORS)
 
-    def predictions(self) -> DataFrame:
-        """Upserted predictions, by month of their reading."""
-        return read_table(self.spark, self.path("scored"), STORED_PREDICTIONS, f"{MONTH} int")
+    def alerts(self, start: dt.datetime | None = None) -> DataFrame:
+        """All alerts, or those of readings from ``start`` on."""
+        table = read_table(
+            self.spark, self.path("alerts"), ALERTS, "source string", "batch_id bigint", f"{MONTH} int"
+        )
+        return table if start is None else since(table, start, "created_at")
+
+    def predictions(self, start: dt.datetime | None = None) -> DataFrame:
+        """All upserted predictions, or those of readings from ``start`` on."""
+        span = partition_column(self.prediction_unit)
+        table = read_table(self.spark, self.path("predictions"), STORED_PREDICTIONS, f"{span} int")
+        return table if start is None else since(table, start)
+
+    def metrics(self) -> DataFrame:
+        return read_table(
+            self.spark, self.path("system_metrics"), SYSTEM_METRICS, "source string", "batch_id bigint"
+        )
+
+    # --- writing ---
 
-    def numbered(self, metrics: DataFrame, batch_id: int, recorded_at: Column) -> DataFrame:
-        """Metric rows of one batch with ids that a replay repeats; a batch has less than 100 metrics."""
+    def append_alerts(self, alerts: DataFrame, source: str, batch_id: int) -> None:
+        """Append alerts, which are open, with the month of their reading."""
+        rows = with_partition(alerts.withColumn("status", F.lit("Open")), "month", "created_at")
+        append_batch(rows, self.path("alerts", source), batch_id, (MONTH,))
+
+    def upsert_predictions(self, scored: DataFrame) -> None:
+        """Insert or replace predictions by record; only the time spans of the given readings are rewritten."""
+        upsert_partitions(
+            self.spark, self.path("predictions"), with_partition(scored, self.prediction_unit), STORED_PREDICTIONS,
+            ["record_id"], [F.desc("predicted_at")], partition_column(self.prediction_unit),
+        )
+
+    def append_metrics(self, metrics: DataFrame, source: str, batch_id: int, recorded_at: Column) -> None:
+        """Append named values. Ids repeat when a batch is repeated; a batch has at most 499 names."""
+        first = batch_id * 1000 + 500 * SOURCES.index(source)
         names = metrics.agg(F.expr("array_sort(collect_set(metric_name))")).scalar()
-        return (
-            metrics.withColumn("_names", names)
-            .withColumn("recorded_at", recorded_at)
-            .selectExpr(
-                f"{batch_id} * 100L + array_position(_names, metric_name) as metric_id",
-                "metric_name", "cast(metric_value as double) as metric_value", "metric_unit", "recorded_at",
-            )
+        rows = metrics.withColumn("_names", names).withColumn("recorded_at", recorded_at).selectExpr(
+            f"{first}L + array_position(_names, metric_name) as metric_id",
+            "metric_name", "cast(metric_value as double) as metric_value", "metric_unit", "recorded_at",
         )
+        append_batch(rows.coalesce(1), self.path("system_metrics", source), batch_id)
+
+    def retain_metrics(self, source: str, keep: int = 1000) -> None:
+        """Rewrite a writer's metrics with its newest ``keep`` rows; staged first, so it can be repeated.
 
-    def retain_metrics(self, keep: int = 1000) -> None:
-        """Rewrite the metrics with the newest ``keep`` rows; staged first, so it can be repeated."""
+        The newest ``keep`` rows of all writers together are among what their folders keep.
+        """
         staged = scratch_path(self.spark, "metrics")
+        mine = self.metrics().where(F.col("source") == source).drop("source")
         # At most ``keep`` rows, so one file.
-        retain_latest_metrics(self.batches("system_metrics"), keep).coalesce(1).write.parquet(staged)
+        retain_latest_metrics(mine, keep).coalesce(1).write.parquet(staged)
         self.spark.read.parquet(staged).write.mode("overwrite").option(
             "partitionOverwriteMode", "static"
-        ).partitionBy("batch_id").parquet(self.path("system_metrics"))
+        ).partitionBy("batch_id").parquet(self.path("system_metrics", source))
 
-    def save_model(self, state: DataFrame, version: int) -> None:
-        append_batch(state.coalesce(1), self.path("model"), version)
+    def save_model(self, state: DataFrame, source: str, version: int) -> None:
+        append_batch(state.coalesce(1), self.path("model", source), version)
 
-    def model_before(self, version: int) -> DataFrame | None:
+    def model_before(self, source: str, version: int) -> DataFrame | None:
         """The newest model state older than ``version``; ``None`` when there is none."""
-        states = read_table(self.spark, self.path("model"), T.StructType.fromDDL(STATE), "batch_id bigint")
+        states = read_table(
+            self.spark, self.path("model", source), T.StructType.fromDDL(STATE), "batch_id bigint"
+        )
         newest = states.where(F.col("batch_id") < version).agg(F.max("batch_id")).first()[0]
         if newest is None:
             return None

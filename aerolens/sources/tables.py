@@ -13,16 +13,23 @@ from aerolens.session import scratch_path
 
 MONTH = "ts_month"
 
+# Time partition columns and their text patterns; the values are integers such as 2024010123.
+PARTITIONS = {"month": "yyyyMM", "day": "yyyyMMdd", "hour": "yyyyMMddHH"}
+
 
 def with_columns(schema: T.StructType, *columns: str) -> T.StructType:
     """A schema with further columns, each given as ``name type``."""
     return T.StructType(schema.fields + T.StructType.fromDDL(", ".join(columns)).fields)
 
 
-def with_month(df: DataFrame, time_column: str = "ts") -> DataFrame:
-    """Add the month partition column, an integer such as 202401."""
-    ts = F.col(time_column)
-    return df.withColumn(MONTH, (F.year(ts) * 100 + F.month(ts)).cast("int"))
+def partition_column(unit: str) -> str:
+    return f"ts_{unit}"
+
+
+def with_partition(df: DataFrame, unit: str = "month", time_column: str = "ts") -> DataFrame:
+    """Add a time partition column."""
+    text = f"cast(date_format({time_column}, '{PARTITIONS[unit]}') as int)"
+    return df.withColumn(partition_column(unit), F.expr(text))
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -32,7 +39,7 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
     file covers a short time span; inside a file they are sorted by station for row-group skipping.
     """
     (
-        with_month(df)
+        with_partition(df)
         .repartitionByRange("ts", "record_id")
         .sortWithinPartitions(MONTH, "station_id", "ts")
         .write.mode(mode)
@@ -41,24 +48,42 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
     )
 
 
-def _month_number(moment: dt.datetime) -> int:
-    return moment.year * 100 + moment.month
+EPOCH = dt.datetime(1970, 1, 1)
 
 
 def latest_ts(readings: DataFrame) -> dt.datetime | None:
-    """Newest time in a month-partitioned table; reads the newest month only."""
+    """Newest time in a month-partitioned table; reads the times of the newest month only.
+
+    Looking up the newest month still opens every file, so regular jobs should pass their own time.
+    """
     newest = readings.agg(F.max(MONTH)).first()[0]
     if newest is None:
         return None
     # Epoch microseconds, so the result does not depend on the Python process's time zone.
-    micros = readings.where(F.col(MONTH) == newest).agg(F.unix_micros(F.max("ts"))).first()[0]
-    return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)
+    micros = readings.where(F.col(MONTH) == newest).agg(F.expr("unix_micros(max(ts))")).first()[0]
+    return EPOCH + dt.timedelta(microseconds=micros)
 
 
 def timestamp_literal(moment: dt.datetime):
     """A UTC timestamp literal from a naive UTC datetime."""
-    micros = (moment - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
-    return F.timestamp_micros(F.lit(micros))
+    return F.expr(f"timestamp_micros({(moment - EPOCH) // dt.timedelta(microseconds=1)}L)")
+
+
+def partition_number(moment: dt.datetime, unit: str) -> int:
+    digits = moment.strftime("%Y%m%d%H")
+    return int(digits[: len(PARTITIONS[unit])])
+
+
+def since(df: DataFrame, start: dt.datetime, time_column: str = "ts") -> DataFrame:
+    """Rows from ``start`` on, also bounded by the table's time partitions as literals.
+
+    So Spark drops older partitions while it plans, and skips row groups by their time range.
+    """
+    kept = df
+    for unit in PARTITIONS:
+        if partition_column(unit) in df.columns:
+            kept = kept.where(F.col(partition_column(unit)) >= partition_number(start, unit))
+    return kept.where(F.col(time_column) >= timestamp_literal(start))
 
 
 def scan_readings(
@@ -72,19 +97,14 @@ def scan_readings(
 ) -> DataFrame:
     """Trailing-window scan with column subset.
 
-    ``as_of`` is a naive UTC time, by default the newest one stored. The window's first month
-    goes into the plan as a literal next to the ``ts`` bound, so older partitions are not listed
-    in the scan and row groups are skipped by their time range.
+    ``as_of`` is a naive UTC time, by default the newest one stored.
     """
-    table = spark.read.schema(with_columns(schema, f"{MONTH} int")).parquet(path)
+    table = read_table(spark, path, schema, f"{MONTH} int")
     as_of = as_of or latest_ts(table)
     if as_of is None:
-        window = table.where(F.lit(False))
+        window = table.where("false")
     else:
-        start = as_of - dt.timedelta(minutes=minutes)
-        window = table.where(
-            (F.col(MONTH) >= _month_number(start)) & (F.col("ts") >= timestamp_literal(start))
-        )
+        window = since(table, as_of - dt.timedelta(minutes=minutes))
     return window.select(*columns) if columns else window
 
 
@@ -116,7 +136,7 @@ def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[st
 
 def append_readings(df: DataFrame, path: str, batch_id: int) -> None:
     """Append readings; their keys travel with the rows, so no ids are read back."""
-    append_batch(with_month(df), path, batch_id, partition_by=(MONTH,))
+    append_batch(with_partition(df), path, batch_id, partition_by=(MONTH,))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, *partitions: str) -> DataFrame:
@@ -132,18 +152,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, *partitions
 
 def upsert_partitions(
     spark: SparkSession, path: str, new: DataFrame, schema: T.StructType, keys: list[str], order: list,
-    partition: str = MONTH,
+    partition: str,
 ) -> None:
     """Upsert ``new`` into a table partitioned by ``partition``, rewriting touched partitions only.
 
-    The merged rows are first written to the shared folder and only then replace the partitions:
-    the table is never read while it is overwritten, and a failed run can be repeated.
+    A key must always fall into the same partition. The merged rows are first written to the shared
+    folder and only then replace the partitions: the table is never read while it is overwritten,
+    and a failed run can be repeated.
     """
     touched = [row[0] for row in new.select(partition).distinct().collect()]
     if not touched:
         return
-    kind = new.schema[partition].dataType.simpleString()
-    existing = read_table(spark, path, schema, f"{partition} {kind}")
+    field = f"{partition} {new.schema[partition].dataType.simpleString()}"
+    existing = read_table(spark, path, schema, field)
     merged = upsert(
         existing.where(F.col(partition).isin(touched)),
         new.select(*schema.fieldNames(), partition),
@@ -151,9 +172,11 @@ def upsert_partitions(
         order,
     )
     staged = scratch_path(spark, "upsert")
-    merged.write.partitionBy(partition).parquet(staged)
+    # Rebalancing gives each partition few files, and splits one that is too large for a task.
+    merged.hint("rebalance", partition).write.partitionBy(partition).parquet(staged)
     (
-        read_table(spark, staged, schema, f"{partition} {kind}")
+        read_table(spark, staged, schema, field)
+        .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolens.operators.aggregates import batch_metrics
+from aerolens.operators.aggregates import batch_metrics, metric_rows
 from aerolens.operators.alerts import ALERT_COLUMNS, batch_outlier_alerts, threshold_alerts
 from aerolens.operators.derive import with_aqi_bucket
 from aerolens.operators.model import score_aqi, update_aqi_model
@@ -15,54 +15,48 @@ from aerolens.operators.outliers import zsum_outliers
 from aerolens.operators.statistics import exact_quantiles, settled
 from aerolens.plans.store import Store
 from aerolens.schema import STREAM_FEATURES
-from aerolens.sources.tables import append_batch, append_readings
+from aerolens.sources.tables import append_readings
 
 MODEL_VERSION = "online-sgd-v1"
+SOURCE = "ingest"
 
 
-def process_batch(store: Store, batch: DataFrame, batch_id: int, started: float | None = None) -> None:
-    """Everything that happens to one micro-batch.
+def process_batch(store: Store, batch: DataFrame, batch_id: int, before: int = 0, started: float | None = None) -> int:
+    """Everything that happens to one micro-batch; returns its number of readings.
 
     Each table gets the batch under its own ``batch_id``, and the model is updated from the state
     before this batch. So a replay of the batch writes the same rows to the same places.
+    ``before`` and ``started`` are the readings and the time since the run began.
     """
     begun = time.monotonic()
     batch = with_aqi_bucket(batch)
     append_readings(batch, store.path("readings"), batch_id)
     latency_ms = (time.monotonic() - begun) * 1000.0
+    rows = batch.count()
 
     flagged = zsum_outliers(batch)
     alerts = batch_outlier_alerts(flagged).select(*ALERT_COLUMNS).unionByName(
         threshold_alerts(batch).select(*ALERT_COLUMNS)
     )
-    append_batch(alerts.withColumn("status", F.lit("Open")), store.path("alerts"), batch_id)
+    store.append_alerts(alerts, SOURCE, batch_id)
 
     medians = settled(exact_quantiles(batch, STREAM_FEATURES))
-    state = update_aqi_model(batch, STREAM_FEATURES, store.model_before(batch_id), medians=medians)
-    store.save_model(state, batch_id)
-    scored = score_aqi(batch, state, medians=medians, version=MODEL_VERSION)
-    append_batch(scored, store.path("predictions"), batch_id)
-
-    judged = flagged.select("record_id", "pm25", "is_anomaly", "aqi_bucket").join(
-        scored.select("record_id", "aqi_pred"), "record_id"
+    state = update_aqi_model(batch, STREAM_FEATURES, store.model_before(SOURCE, batch_id), medians=medians)
+    store.save_model(state, SOURCE, batch_id)
+    judged = score_aqi(
+        flagged, state, medians=medians, version=MODEL_VERSION, keep=("pm25", "is_anomaly", "aqi_bucket")
     )
-    elapsed = time.monotonic() - (begun if started is None else started)
-    stored = store.batches("readings").where(F.col("batch_id") <= batch_id)
-    rate = stored.agg((F.count(F.lit(1)) / F.lit(max(elapsed / 60.0, 1e-6))).alias("metric_value"))
-    run_figures = rate.select(
-        F.lit("ingest_throughput").alias("metric_name"), "metric_value", F.lit("rows/min").alias("metric_unit")
-    ).unionByName(
-        rate.sparkSession.range(1).select(
-            F.lit("ingest_latency").alias("metric_name"),
-            F.lit(latency_ms).alias("metric_value"),
-            F.lit("ms").alias("metric_unit"),
-        )
+    store.upsert_predictions(judged)
+
+    minutes = max((time.monotonic() - (begun if started is None else started)) / 60.0, 1e-6)
+    run_figures = store.spark.sql(
+        f"select {(before + rows) / minutes}D as ingest_throughput, {latency_ms}D as ingest_latency"
     )
-    append_batch(
-        store.numbered(batch_metrics(judged).unionByName(run_figures), batch_id, F.current_timestamp()),
-        store.path("system_metrics"),
-        batch_id,
+    metrics = batch_metrics(judged).unionByName(
+        metric_rows(run_figures, {"ingest_throughput": "rows/min", "ingest_latency": "ms"})
     )
+    store.append_metrics(metrics, SOURCE, batch_id, F.current_timestamp())
+    return rows
 
 
 def run_ingest_stream(
@@ -75,12 +69,13 @@ def run_ingest_stream(
 ) -> StreamingQuery:
     """Start the stream. Copies of a reading that arrive within ``lateness`` are dropped."""
     started = time.monotonic()
+    progress = {"rows": 0}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # The batch feeds six writes; without this each would read and de-duplicate it again.
+        # The batch feeds many steps; without this each would read and de-duplicate it again.
         kept = batch.persist()
         try:
-            process_batch(store, kept, batch_id, started)
+            progress["rows"] += process_batch(store, kept, batch_id, progress["rows"], started)
         finally:
             kept.unpersist()
 
