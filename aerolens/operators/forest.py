@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from aerolens.operators.statistics import exact_quantiles, with_scalar
+from aerolens.operators.statistics import exact_quantiles, settled, with_scalar
 from aerolens.session import materialized
 
 NODES = (
@@ -205,7 +205,7 @@ def isolation_outliers(
     come from the stored scores.
     """
     scored = materialized(score_isolation_forest(df, nodes, features, medians=medians), "scores")
-    limit = exact_quantiles(scored, ["isolation_score"], 1.0 - contamination).scalar()
+    limit = settled(exact_quantiles(scored, ["isolation_score"], 1.0 - contamination)).scalar()
     return scored.withColumn(name, F.coalesce(F.col("isolation_score") > limit, F.lit(False)))
 
 

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aerolens.operators.keyed import retain_latest_metrics
 from aerolens.operators.model import STATE
-from aerolens.schema import ALERTS, PREDICTIONS, READINGS, SENSORS, STATIONS, SYSTEM_METRICS
+from aerolens.schema import ALERTS, PREDICTIONS, READINGS, SENSORS, STATIONS, SYSTEM_METRICS, fields
 from aerolens.session import configure, scratch_path
 from aerolens.sources.tables import (
     MONTH, append_batch, latest_ts, partition_column, read_table, scan_readings, since, upsert_partitions, with_columns,
@@ -118,7 +118,7 @@ class Store:
     def model_before(self, source: str, version: int) -> DataFrame | None:
         """The newest model state older than ``version``; ``None`` when there is none."""
         states = read_table(
-            self.spark, self.path("model", source), T.StructType.fromDDL(STATE), "batch_id bigint"
+            self.spark, self.path("model", source), fields(STATE), "batch_id bigint"
         )
         newest = states.where(F.col("batch_id") < version).agg(F.max("batch_id")).first()[0]
         if newest is None:

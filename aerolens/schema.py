@@ -4,30 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-READINGS = T.StructType.fromDDL(
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
+    "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+}
+
+
+def fields(text: str) -> T.StructType:
+    """A schema from ``name type [not null], ...``; unlike a DDL schema it needs no running session."""
+    schema = T.StructType()
+    for part in text.split(","):
+        name, kind, *not_null = part.split()
+        schema.add(name, _TYPES[kind], not not_null)
+    return schema
+
+
+READINGS = fields(
     "record_id bigint not null, station_id bigint not null, sensor_id bigint, ts timestamp not null,"
     " pm25 double, co2_ppm double, pm10 double, no2_ppm double, o3_ppm double,"
     " temperature_c double, humidity double, wind_speed double, wind_direction double,"
     " atmospheric_pressure double, status string, data_quality_score double, aqi_bucket string"
 )
-STATIONS = T.StructType.fromDDL(
+STATIONS = fields(
     "station_id bigint not null, station_name string, city_zone string not null,"
     " latitude double, longitude double, is_active boolean, status string"
 )
-SENSORS = T.StructType.fromDDL(
+SENSORS = fields(
     "sensor_id bigint not null, station_id bigint not null, sensor_type string, status string"
 )
-ALERTS = T.StructType.fromDDL(
+ALERTS = fields(
     "alert_id bigint, record_id bigint not null, station_id bigint not null, alert_type string,"
     " severity string, status string, message string, anomaly_score double,"
     " detection_method string, created_at timestamp"
 )
-PREDICTIONS = T.StructType.fromDDL(
+PREDICTIONS = fields(
     "record_id bigint not null, station_id bigint, aqi_pred string, proba_good double,"
     " proba_moderate double, proba_unhealthy double, proba_hazardous double,"
     " confidence_score double, model_version string, predicted_at timestamp"
 )
-SYSTEM_METRICS = T.StructType.fromDDL(
+SYSTEM_METRICS = fields(
     "metric_id bigint, metric_name string, metric_value double, metric_unit string,"
     " recorded_at timestamp"
 )

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aerolens.operators.keyed import upsert
-from aerolens.schema import READINGS
+from aerolens.schema import READINGS, fields
 from aerolens.session import scratch_path
 
 MONTH = "ts_month"
@@ -19,7 +19,7 @@ PARTITIONS = {"month": "yyyyMM", "day": "yyyyMMdd", "hour": "yyyyMMddHH"}
 
 def with_columns(schema: T.StructType, *columns: str) -> T.StructType:
     """A schema with further columns, each given as ``name type``."""
-    return T.StructType(schema.fields + T.StructType.fromDDL(", ".join(columns)).fields)
+    return T.StructType(schema.fields + fields(", ".join(columns)).fields)
 
 
 def partition_column(unit: str) -> str:
