@@ -7,9 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from aerolens.operators.keyed import first_per_key, newest_metrics_order
 
 
-def latest_per_station(df: DataFrame) -> DataFrame:
-    """Last reading of each station; stations without coordinates are dropped afterwards."""
-    latest = first_per_key(df, ["station_id"], [F.desc("ts"), F.desc("record_id")])
+def latest_per_station(readings: DataFrame, stations: DataFrame | None = None) -> DataFrame:
+    """Last reading of each station; stations without coordinates are dropped afterwards.
+
+    ``stations`` adds the coordinates where the readings lack them. That join comes last, when only one
+    row per station is left.
+    """
+    latest = first_per_key(readings, ["station_id"], [F.desc("ts"), F.desc("record_id")])
+    if stations is not None:
+        places = stations.select("station_id", "city_zone", "latitude", "longitude")
+        latest = latest.join(places, "station_id")
     return latest.dropna(subset=["latitude", "longitude"])
 
 

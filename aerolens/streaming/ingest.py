@@ -28,11 +28,13 @@ def process_batch(store: Store, batch: DataFrame, batch_id: int, before: int = 0
     before this batch. So a replay of the batch writes the same rows to the same places.
     ``before`` and ``started`` are the readings and the time since the run began.
     """
-    begun = time.monotonic()
     batch = with_aqi_bucket(batch)
+    rows = batch.count()
+    if not rows:  # a batch that only moves the watermark
+        return 0
+    begun = time.monotonic()
     append_readings(batch, store.path("readings"), batch_id)
     latency_ms = (time.monotonic() - begun) * 1000.0
-    rows = batch.count()
 
     flagged = zsum_outliers(batch)
     alerts = batch_outlier_alerts(flagged).select(*ALERT_COLUMNS).unionByName(
