@@ -34,7 +34,10 @@ def active_stations(stations: DataFrame) -> DataFrame:
 
 
 def open_alerts(alerts: DataFrame) -> DataFrame:
-    return alerts.where("status = 'Open'")
+    """Alerts still open, by their status or by the flag of the older layout; all when neither is there."""
+    if "status" in alerts.columns:
+        return alerts.where("status = 'Open'")
+    return alerts.where("not is_resolved") if "is_resolved" in alerts.columns else alerts
 
 
 def min_rows_guard(df: DataFrame, minimum: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from aerolens.functions.ladders import place_in
-from aerolens.schema import DECIMALS, DEFAULTS, RANGES, RENAMED
+from aerolens.schema import DECIMALS, DEFAULTS, LENGTHS, RANGES, RENAMED
 
 
 def conform_readings(df: DataFrame) -> DataFrame:
@@ -24,12 +24,15 @@ def conform_readings(df: DataFrame) -> DataFrame:
 
 
 def violation_codes(columns: list[str], not_null: tuple[str, ...] = ("record_id", "station_id", "ts")) -> str:
-    """Array of the checks a row fails. A range check passes on NULL."""
+    """Array of the checks a row fails. Range and length checks pass on NULL."""
     checks = [f"if({name} is null, '{name}_missing', null)" for name in not_null]
     for name, (lower, upper) in RANGES.items():
         if name in columns:
             beyond = f" or {name} > {upper}" if upper is not None else ""
             checks.append(f"if({name} < {lower}{beyond}, '{name}_range', null)")
+    for name, longest in LENGTHS.items():
+        if name in columns:
+            checks.append(f"if(length({name}) > {longest}, '{name}_length', null)")
     return f"array_compact(array({', '.join(checks)}))"
 
 

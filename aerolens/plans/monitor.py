@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolens.operators.aggregates import cycle_metrics
-from aerolens.operators.alerts import ALERT_COLUMNS, anomaly_alerts
+from aerolens.operators.alerts import ALERT_COLUMNS, anomaly_alerts, anomaly_alerts_simple
 from aerolens.operators.derive import with_aqi_bucket, with_derived_features
 from aerolens.operators.filters import quality_gate, training_gate
 from aerolens.operators.forest import fit_isolation_forest, isolation_outliers
@@ -18,14 +18,35 @@ from aerolens.operators.model import score_aqi, update_aqi_model
 from aerolens.operators.outliers import zscore_outliers
 from aerolens.operators.statistics import exact_quantiles, imputed_moments, medians_of, settled
 from aerolens.plans.store import Store
-from aerolens.schema import DERIVED_FEATURES, MONITOR_FEATURES
+from aerolens.schema import DERIVED_FEATURES, FOREST_FEATURES, MONITOR_FEATURES, TRAINING_FEATURES
 from aerolens.session import materialized
 from aerolens.sources.tables import append_batch, read_table, timestamp_literal
 
 SOURCE = "monitor"
 CYCLE_LOG = "run_id string, cycle bigint, outliers bigint, predictions bigint, seconds double"
-MIN_DETECT, MIN_TRAIN, MIN_LABELLED = 20, 30, 20
-TRAIN_COLUMNS = MONITOR_FEATURES + DERIVED_FEATURES
+COLUMNS = ["record_id", "station_id", "ts", "data_quality_score", *MONITOR_FEATURES]
+
+
+@dataclass(frozen=True)
+class Profile:
+    """What a monitoring cycle looks at, and how much of it there must be."""
+
+    name: str
+    features: list[str]
+    training: list[str]
+    require: tuple[str, ...]
+    trees: int
+    max_samples: int
+    min_detect: int
+    min_train: int
+    statistical: bool
+
+
+# The full monitor, and the simpler one that uses the forest alone.
+FULL = Profile(
+    "monitor", MONITOR_FEATURES, MONITOR_FEATURES + DERIVED_FEATURES, ("pm25", "co2_ppm"), 200, 1000, 20, 30, True
+)
+SIMPLE = Profile("monitor-simple", FOREST_FEATURES, TRAINING_FEATURES, (), 100, 256, 10, 50, False)
 
 
 @dataclass
@@ -40,36 +61,43 @@ class CycleReport:
 
 
 def detect_anomalies(
-    window: DataFrame, *, contamination: float = 0.05, trees: int = 200, max_samples: int = 1000
+    window: DataFrame, profile: Profile = FULL, *, contamination: float = 0.05, trees: int | None = None
 ) -> DataFrame:
-    """Rows of a gated window with both outlier flags, and the score of the forest.
+    """Rows of a gated window with the flags of the forest and, in the full profile, of the z-scores.
 
-    The medians and moments are computed once for all three steps.
+    The medians and moments are computed once for all steps.
     """
-    moments = settled(imputed_moments(window, MONITOR_FEATURES))
-    medians = medians_of(moments, MONITOR_FEATURES)
+    features = profile.features
+    moments = settled(imputed_moments(window, features))
+    medians = medians_of(moments, features)
     nodes = fit_isolation_forest(
-        window, MONITOR_FEATURES, trees=trees, max_samples=max_samples, medians=medians
-    )
-    flagged = isolation_outliers(
-        window, nodes, MONITOR_FEATURES, contamination=contamination, medians=medians
+        window, features, trees=trees or profile.trees, max_samples=profile.max_samples, medians=medians
     )
-    return zscore_outliers(flagged, moments=moments)
+    flagged = isolation_outliers(window, nodes, features, contamination=contamination, medians=medians)
+    return zscore_outliers(flagged, features, moments=moments) if profile.statistical else flagged
+
+
+def _alerts(flagged: DataFrame, profile: Profile) -> DataFrame:
+    if profile.statistical:
+        return anomaly_alerts(flagged)
+    return anomaly_alerts_simple(flagged.withColumnRenamed("is_isolation_outlier", "is_outlier"))
 
 
 def _has_rows(df: DataFrame, minimum: int) -> bool:
     return df.limit(minimum).count() >= minimum
 
 
-def detect_step(store: Store, as_of: dt.datetime, cycle: int, minutes: int, contamination: float, trees: int) -> int:
+def detect_step(
+    store: Store, as_of: dt.datetime, cycle: int, minutes: int, profile: Profile = FULL,
+    contamination: float = 0.05, trees: int | None = None,
+) -> int:
     """Raise an alert for each anomaly that has none yet; returns how many were found."""
-    columns = ["record_id", "station_id", "ts", "data_quality_score", *MONITOR_FEATURES]
-    window = quality_gate(store.readings(minutes, as_of, columns))
-    if not _has_rows(window, MIN_DETECT):
+    window = quality_gate(store.readings(minutes, as_of, COLUMNS), require=profile.require)
+    if not _has_rows(window, profile.min_detect):
         return 0
     # Several passes follow; the window is cut out of the large table once.
     window = materialized(window, "window")
-    found = anomaly_alerts(detect_anomalies(window, contamination=contamination, trees=trees))
+    found = _alerts(detect_anomalies(window, profile, contamination=contamination, trees=trees), profile)
     # An alert carries the time of its reading, so older ones need not be looked at. Rows that an
     # earlier try of this cycle wrote do not count as known: they are written again.
     known = store.alerts(as_of - dt.timedelta(minutes=minutes)).where(
@@ -80,21 +108,24 @@ def detect_step(store: Store, as_of: dt.datetime, cycle: int, minutes: int, cont
     return found.count()
 
 
-def train_and_score_step(store: Store, as_of: dt.datetime, cycle: int, minutes: int) -> int:
+def train_and_score_step(
+    store: Store, as_of: dt.datetime, cycle: int, minutes: int, profile: Profile = FULL
+) -> int:
     """Update the classifier on the window and upsert a prediction for each of its readings."""
-    columns = ["record_id", "station_id", "ts", "data_quality_score", *MONITOR_FEATURES]
-    scoring = quality_gate(store.readings(minutes, as_of, columns))
+    scoring = quality_gate(store.readings(minutes, as_of, COLUMNS), require=profile.require)
     # Rows to train on are among the rows to score.
     scoring = materialized(with_derived_features(with_aqi_bucket(scoring)), "window")
-    training = training_gate(scoring)
-    if not _has_rows(training, max(MIN_TRAIN, MIN_LABELLED)):
+    training = training_gate(scoring, require=profile.require)
+    if not _has_rows(training, profile.min_train):
         return 0
-    medians = settled(exact_quantiles(training, TRAIN_COLUMNS))
-    state = update_aqi_model(training, TRAIN_COLUMNS, store.model_before(SOURCE, cycle), medians=medians)
-    store.save_model(state, SOURCE, cycle)
+    features = profile.training
+    medians = settled(exact_quantiles(training, features))
+    # Each profile has its own features, and so its own model.
+    state = update_aqi_model(training, features, store.model_before(profile.name, cycle), medians=medians)
+    store.save_model(state, profile.name, cycle)
     scored = score_aqi(
         scoring, state,
-        medians=settled(exact_quantiles(scoring, TRAIN_COLUMNS)),
+        medians=settled(exact_quantiles(scoring, features)),
         predicted_at=timestamp_literal(as_of),
     )
     store.upsert_predictions(scored)
@@ -123,8 +154,9 @@ def run_cycle(
     run_id: str = "monitor",
     outlier_window: int = 60,
     ml_window: int = 120,
+    profile: Profile = FULL,
     contamination: float = 0.05,
-    trees: int = 200,
+    trees: int | None = None,
 ) -> CycleReport:
     """One monitoring cycle. A failing step is reported and does not stop the others.
 
@@ -145,9 +177,9 @@ def run_cycle(
             return 0
 
     report.outliers = step(
-        "detect", lambda: detect_step(store, as_of, cycle, outlier_window, contamination, trees)
+        "detect", lambda: detect_step(store, as_of, cycle, outlier_window, profile, contamination, trees)
     )
-    report.predictions = step("score", lambda: train_and_score_step(store, as_of, cycle, ml_window))
+    report.predictions = step("score", lambda: train_and_score_step(store, as_of, cycle, ml_window, profile))
     report.seconds = time.monotonic() - begun
     step("report", lambda: report_step(store, as_of, run_id, report))
     return report

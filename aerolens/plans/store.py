@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from aerolens.operators.keyed import retain_latest_metrics
+from aerolens.operators.keyed import absent_rows, retain_latest_metrics
 from aerolens.operators.model import STATE
 from aerolens.schema import ALERTS, PREDICTIONS, READINGS, SENSORS, STATIONS, SYSTEM_METRICS, fields
 from aerolens.session import configure, scratch_path
@@ -52,7 +52,7 @@ class Store:
         return latest_ts(read_table(self.spark, self.path("readings"), READINGS, f"{MONTH} int"))
 
     def stations(self) -> DataFrame:
-        return read_table(self.spark, self.path("stations"), STATIONS)
+        return read_table(self.spark, self.path("stations"), STATIONS).select(*STATIONS.fieldNames())
 
     def sensors(self) -> DataFrame:
         return read_table(self.spark, self.path("sensors"), SENSORS)
@@ -65,10 +65,20 @@ class Store:
         return table if start is None else since(table, start, "created_at")
 
     def predictions(self, start: dt.datetime | None = None) -> DataFrame:
-        """All upserted predictions, or those of readings from ``start`` on."""
-        span = partition_column(self.prediction_unit)
-        table = read_table(self.spark, self.path("predictions"), STORED_PREDICTIONS, f"{span} int")
-        return table if start is None else since(table, start)
+        """All predictions, or those of readings from ``start`` on.
+
+        The monitor's predictions replace those of the ingest stream, which only ever appends.
+        """
+        span = f"{partition_column(self.prediction_unit)} int"
+        upserted = read_table(self.spark, self.path("predictions"), STORED_PREDICTIONS, span)
+        streamed = read_table(
+            self.spark, self.path("predictions_streamed"), STORED_PREDICTIONS, "batch_id bigint", span
+        )
+        if start is not None:
+            upserted, streamed = since(upserted, start), since(streamed, start)
+        columns = STORED_PREDICTIONS.fieldNames()
+        first_only = streamed.join(upserted.select("record_id"), "record_id", "left_anti")
+        return upserted.select(*columns).unionByName(first_only.select(*columns))
 
     def metrics(self) -> DataFrame:
         return read_table(
@@ -77,6 +87,19 @@ class Store:
 
     # --- writing ---
 
+    def add_stations(self, stations: DataFrame, batch_id: int) -> None:
+        """Add the stations that are not at a known place yet."""
+        place = ["city_zone", "latitude", "longitude"]
+        table = read_table(self.spark, self.path("stations"), STATIONS, "batch_id bigint")
+        known = table.where(F.col("batch_id") != batch_id)
+        added = absent_rows(known, stations, place, [F.asc("station_id")])
+        append_batch(added.select(*STATIONS.fieldNames()), self.path("stations"), batch_id)
+
+    def append_predictions(self, scored: DataFrame, batch_id: int) -> None:
+        """Append predictions of new readings; nothing is rewritten."""
+        rows = with_partition(scored.select(*STORED_PREDICTIONS.fieldNames()), self.prediction_unit)
+        append_batch(rows, self.path("predictions_streamed"), batch_id, (partition_column(self.prediction_unit),))
+
     def append_alerts(self, alerts: DataFrame, source: str, batch_id: int) -> None:
         """Append alerts, which are open, with the month of their reading."""
         rows = with_partition(alerts.withColumn("status", F.lit("Open")), "month", "created_at")

@@ -82,6 +82,12 @@ RANGES = {
     "data_quality_score": (0, 1),
 }
 
+# Declared text lengths.
+LENGTHS = {
+    "status": 20, "station_name": 100, "city_zone": 100, "sensor_type": 50, "alert_type": 50,
+    "detection_method": 50, "model_version": 20, "metric_name": 100, "metric_unit": 20,
+}
+
 # Columns of the older table layout and their canonical names.
 RENAMED = {
     "reading_id": "record_id",

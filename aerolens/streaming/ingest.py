@@ -10,18 +10,41 @@ from pyspark.sql.streaming import StreamingQuery
 from aerolens.operators.aggregates import batch_metrics, metric_rows
 from aerolens.operators.alerts import ALERT_COLUMNS, batch_outlier_alerts, threshold_alerts
 from aerolens.operators.derive import with_aqi_bucket
+from aerolens.operators.forest import stream_forest_scores
 from aerolens.operators.model import score_aqi, update_aqi_model
-from aerolens.operators.outliers import zsum_outliers
+from aerolens.operators.outliers import percentile_outliers, zsum_outliers
 from aerolens.operators.statistics import exact_quantiles, settled
 from aerolens.plans.store import Store
 from aerolens.schema import STREAM_FEATURES
+from aerolens.session import materialized
 from aerolens.sources.tables import append_readings
 
 MODEL_VERSION = "online-sgd-v1"
 SOURCE = "ingest"
+MIN_FOREST_ROWS = 20
 
 
-def process_batch(store: Store, batch: DataFrame, batch_id: int, before: int = 0, started: float | None = None) -> int:
+def detect_batch(batch: DataFrame, rows: int, baseline: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Score and flag a batch.
+
+    With a ``baseline``, the node tables of a PM2.5 and a CO2 forest, the most isolated two percent are
+    flagged; without one, or on a small batch, rows with a large sum of z-scores.
+    """
+    if baseline is None or rows < MIN_FOREST_ROWS:
+        return zsum_outliers(batch)
+    scored = materialized(stream_forest_scores(batch, *baseline), "scores")
+    return percentile_outliers(scored)
+
+
+def process_batch(
+    store: Store,
+    batch: DataFrame,
+    batch_id: int,
+    *,
+    before: int = 0,
+    started: float | None = None,
+    baseline: tuple[DataFrame, DataFrame] | None = None,
+) -> int:
     """Everything that happens to one micro-batch; returns its number of readings.
 
     Each table gets the batch under its own ``batch_id``, and the model is updated from the state
@@ -36,7 +59,7 @@ def process_batch(store: Store, batch: DataFrame, batch_id: int, before: int = 0
     append_readings(batch, store.path("readings"), batch_id)
     latency_ms = (time.monotonic() - begun) * 1000.0
 
-    flagged = zsum_outliers(batch)
+    flagged = detect_batch(batch, rows, baseline)
     alerts = batch_outlier_alerts(flagged).select(*ALERT_COLUMNS).unionByName(
         threshold_alerts(batch).select(*ALERT_COLUMNS)
     )
@@ -48,7 +71,7 @@ def process_batch(store: Store, batch: DataFrame, batch_id: int, before: int = 0
     judged = score_aqi(
         flagged, state, medians=medians, version=MODEL_VERSION, keep=("pm25", "is_anomaly", "aqi_bucket")
     )
-    store.upsert_predictions(judged)
+    store.append_predictions(judged, batch_id)
 
     minutes = max((time.monotonic() - (begun if started is None else started)) / 60.0, 1e-6)
     run_figures = store.spark.sql(
@@ -68,8 +91,12 @@ def run_ingest_stream(
     *,
     lateness: str = "2 minutes",
     trigger: dict | None = None,
+    baseline: tuple[DataFrame, DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Start the stream. Copies of a reading that arrive within ``lateness`` are dropped."""
+    """Start the stream. Copies of a reading that arrive within ``lateness`` are dropped.
+
+    ``baseline`` takes two forests fitted on earlier readings; without it batches are judged by z-scores.
+    """
     started = time.monotonic()
     progress = {"rows": 0}
 
@@ -77,7 +104,9 @@ def run_ingest_stream(
         # The batch feeds many steps; without this each would read and de-duplicate it again.
         kept = batch.persist()
         try:
-            progress["rows"] += process_batch(store, kept, batch_id, progress["rows"], started)
+            progress["rows"] += process_batch(
+                store, kept, batch_id, before=progress["rows"], started=started, baseline=baseline
+            )
         finally:
             kept.unpersist()
 

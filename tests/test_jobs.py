@@ -185,6 +185,50 @@ def test_dashboard(monitored):
     assert page.metrics().count() == 12
 
 
+def test_simple_profile(spark, small):
+    store = Store(spark, scratch_path(spark, "simple"), "day")
+    write_partitioned(small.readings, store.path("readings"))
+    report = run_cycle(
+        spark, store, cycle=1, outlier_window=2 * WEEK, ml_window=2 * WEEK, profile=monitor.SIMPLE, trees=20
+    )
+    assert report.errors == {} and report.outliers > 0 and report.predictions > 50
+    assert {r.detection_method for r in store.alerts().collect()} == {"IsolationForest"}
+    assert {r.severity for r in store.alerts().collect()} <= {"Critical", "High"}
+
+
+def test_stations_are_added_once(spark, small):
+    store = Store(spark, scratch_path(spark, "stations"))
+    places = small.stations.where("station_id < 6 and latitude is not null").withColumn("status", F.lit("Active"))
+    for batch_id in (0, 0, 1):
+        store.add_stations(places, batch_id)
+    assert store.stations().count() == places.count()
+
+
+def test_monitor_replaces_streamed_predictions(spark, ingested):
+    _, _, store = ingested
+    target = Store(spark, scratch_path(spark, "both"), "day")
+    streamed = store.predictions()
+    target.append_predictions(streamed, 0)
+    target.upsert_predictions(streamed.where("record_id < 10").withColumn("aqi_pred", F.lit("New")))
+    assert target.predictions().count() == streamed.count()
+    assert {r.record_id for r in target.predictions().where("aqi_pred = 'New'").collect()} == set(range(10))
+
+
+def test_forest_baseline(spark, small):
+    from aerolens.operators.forest import fit_isolation_forest
+    from aerolens.streaming.ingest import detect_batch
+
+    batch = small.readings.where("pm25 is not null and co2_ppm is not null")
+    baseline = tuple(fit_isolation_forest(batch, [c], trees=20) for c in ("pm25", "co2_ppm"))
+    rows_in = batch.count()
+    flagged = detect_batch(batch, rows_in, baseline)
+    # Strictly above the interpolated 98th percentile lie at most this many rows.
+    most = rows_in - 1 - int((rows_in - 1) * 0.98)
+    assert 0 < flagged.where("is_anomaly").count() <= most
+    assert flagged.agg(F.max("anomaly_score")).first()[0] < 1
+    assert detect_batch(batch, 19, baseline).agg(F.max("anomaly_score")).first()[0] > 1
+
+
 def test_failing_step_does_not_stop_the_cycle(spark, monitored, monkeypatch):
     _, store, _ = monitored
 

@@ -128,6 +128,17 @@ def test_missing_key_is_a_violation(frame):
     assert column(quality.validate_readings(rows), "violations") == [["station_id_missing"]]
 
 
+def test_long_text_is_a_violation(frame):
+    rows = frame({}).withColumn("status", F.lit("x" * 21))
+    assert column(quality.validate_readings(rows), "violations") == [["status_length"]]
+
+
+def test_open_alerts_reads_both_layouts(spark):
+    older = spark.createDataFrame([(1, False), (2, True)], "alert_id int, is_resolved boolean")
+    assert [r.alert_id for r in filters.open_alerts(older).collect()] == [1]
+    assert filters.open_alerts(older.select("alert_id")).count() == 2
+
+
 def test_conform(spark):
     older = spark.sql("select 7L as reading_id, 1.005D as pm25, 1e12D as co2_ppm, 33.335D as humidity_percent")
     row = quality.conform_readings(older).first()
