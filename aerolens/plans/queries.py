@@ -913,7 +913,7 @@ def run_ingest_stream_query(t):
     """Alerts of the ingest stream; the events file arrives as one micro-batch."""
     store = Store(t.spark, scratch_path(t.spark, "ingest"), "day")
     stream = readings_from_events(streamed_events(t))
-    run_ingest_stream(t.spark, stream, store, trigger={"availableNow": True}).awaitTermination()
+    run_ingest_stream(t.spark, stream, store, trigger={"availableNow": True}, max_files=8).awaitTermination()
     columns = ["record_id", "station_id", "alert_type", "severity", "message", "anomaly_score"]
     return rounded(store.alerts().select(*columns), "anomaly_score")
 

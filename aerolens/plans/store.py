@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from aerolens.operators.keyed import absent_rows, retain_latest_metrics
 from aerolens.operators.model import STATE
@@ -47,6 +47,10 @@ class Store:
             self.spark, self.path("readings"), minutes=minutes, as_of=as_of, columns=columns
         )
 
+    def readings_of_batch(self, batch_id: int, schema: T.StructType) -> DataFrame:
+        """The readings one batch has appended; only its own folder is listed."""
+        return read_table(self.spark, f"{self.path('readings')}/batch_id={batch_id}", schema)
+
     def latest(self) -> dt.datetime | None:
         """Time of the newest reading."""
         return latest_ts(read_table(self.spark, self.path("readings"), READINGS, f"{MONTH} int"))

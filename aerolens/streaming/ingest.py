@@ -52,12 +52,15 @@ def process_batch(
     ``before`` and ``started`` are the readings and the time since the run began.
     """
     batch = with_aqi_bucket(batch)
-    rows = batch.count()
-    if not rows:  # a batch that only moves the watermark
-        return 0
     begun = time.monotonic()
     append_readings(batch, store.path("readings"), batch_id)
     latency_ms = (time.monotonic() - begun) * 1000.0
+    # The many steps that follow read the stored rows: they are de-duplicated once, survive lost
+    # executors, and are planned like any table, with the number of tasks fitted to their size.
+    batch = store.readings_of_batch(batch_id, batch.schema)
+    rows = batch.count()
+    if not rows:  # a batch that only moves the watermark
+        return 0
 
     flagged = detect_batch(batch, rows, baseline)
     alerts = batch_outlier_alerts(flagged).select(*ALERT_COLUMNS).unionByName(
@@ -92,23 +95,23 @@ def run_ingest_stream(
     lateness: str = "2 minutes",
     trigger: dict | None = None,
     baseline: tuple[DataFrame, DataFrame] | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Start the stream. Copies of a reading that arrive within ``lateness`` are dropped.
 
     ``baseline`` takes two forests fitted on earlier readings; without it batches are judged by z-scores.
+    ``max_files`` keeps small batches from being written as one file per shuffle partition; leave it
+    out when every partition fills a file.
     """
     started = time.monotonic()
     progress = {"rows": 0}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # The batch feeds many steps; without this each would read and de-duplicate it again.
-        kept = batch.persist()
-        try:
-            progress["rows"] += process_batch(
-                store, kept, batch_id, before=progress["rows"], started=started, baseline=baseline
-            )
-        finally:
-            kept.unpersist()
+        if max_files is not None:
+            batch = batch.coalesce(max_files)
+        progress["rows"] += process_batch(
+            store, batch, batch_id, before=progress["rows"], started=started, baseline=baseline
+        )
 
     return (
         readings.withWatermark("ts", lateness)
