@@ -66,14 +66,19 @@ def _quantile_ends(df: DataFrame, columns: list[str], brackets: DataFrame, proba
             f"""named_struct(
                 'floor_value', min(value) filter (where place = {place} and upto > floor(rank)),
                 'ceil_value', min(value) filter (where place = {place} and upto > ceil(rank)),
-                'part', max(rank - floor(rank)) filter (where place = {place})) as {c}"""
+                'part', max(rank - floor(rank)) filter (where place = {place}),
+                'below', count_if(place = {place} and value is null and upto > floor(rank)),
+                'known', count_if(place = {place})) as {c}"""
             for place, c in enumerate(columns)
         ],
     )
 
 
 def _between(c: str) -> str:
-    return f"({c}.floor_value + ({c}.ceil_value - {c}.floor_value) * {c}.part)"
+    """The interpolated quantile. A bracket that does not enclose it would be an error, never a wrong value."""
+    missed = f"{c}.below > 0 or ({c}.known > 0 and {c}.ceil_value is null)"
+    value = f"{c}.floor_value + ({c}.ceil_value - {c}.floor_value) * {c}.part"
+    return f"if({missed}, raise_error('the bracket misses the quantile of {c}'), {value})"
 
 
 def exact_quantiles(

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolens.operators.aggregates import cycle_metrics
+from aerolens.operators.aggregates import cycle_metrics, recent_prediction_count
 from aerolens.operators.alerts import ALERT_COLUMNS, anomaly_alerts, anomaly_alerts_simple
 from aerolens.operators.derive import with_aqi_bucket, with_derived_features
 from aerolens.operators.filters import quality_gate, training_gate
@@ -23,6 +23,7 @@ from aerolens.session import materialized
 from aerolens.sources.tables import append_batch, read_table, timestamp_literal
 
 SOURCE = "monitor"
+RECENT_MINUTES = 5
 CYCLE_LOG = "run_id string, cycle bigint, outliers bigint, predictions bigint, seconds double"
 COLUMNS = ["record_id", "station_id", "ts", "data_quality_score", *MONITOR_FEATURES]
 
@@ -111,7 +112,10 @@ def detect_step(
 def train_and_score_step(
     store: Store, as_of: dt.datetime, cycle: int, minutes: int, profile: Profile = FULL
 ) -> int:
-    """Update the classifier on the window and upsert a prediction for each of its readings."""
+    """Update the classifier on the window and upsert a prediction for each of its readings.
+
+    Returns the number of predictions made in the last minutes, by the ingest stream too.
+    """
     scoring = quality_gate(store.readings(minutes, as_of, COLUMNS), require=profile.require)
     # Rows to train on are among the rows to score.
     scoring = materialized(with_derived_features(with_aqi_bucket(scoring)), "window")
@@ -129,7 +133,8 @@ def train_and_score_step(
         predicted_at=timestamp_literal(as_of),
     )
     store.upsert_predictions(scored)
-    return scoring.count()
+    made = store.predictions(as_of - dt.timedelta(minutes=minutes + RECENT_MINUTES))
+    return recent_prediction_count(made, timestamp_literal(as_of), RECENT_MINUTES).first()[0]
 
 
 def report_step(store: Store, as_of: dt.datetime, run_id: str, report: CycleReport) -> None:

@@ -12,7 +12,7 @@ DATA = Path(os.environ.get("TEST_DATA", "/root/testdata"))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("aerolens-tests")
@@ -24,8 +24,6 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     from aerolens.session import configure
 
     yield configure(session)
