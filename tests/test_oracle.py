@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from aerolens.plans.queries import ORACLE, QUERIES
 from tests.conftest import DATA
 from tests.oracle import compare, duck
 
@@ -14,14 +15,14 @@ def connection():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_sql(spark, connection, name):
-    assert compare(queries()[name](spark, SF), connection, oracle_sql()[name]) is None
+    assert compare(QUERIES[name](spark, SF), connection, ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_runs(spark, name):
-    assert queries()[name](spark, SF).count() > 0
+    assert QUERIES[name](spark, SF).count() > 0
 
 
 def test_entry(spark):
@@ -29,4 +30,4 @@ def test_entry(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLE) <= set(QUERIES)
