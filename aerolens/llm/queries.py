@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolens.llm.common import documents
 from aerolens.llm.line_dedup import line_dedup
+from aerolens.llm.token_counts import token_prefixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +52,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+#: Documents of more tokens are over the limit.
+TOKEN_LIMIT = 2048
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text: the last entries of its prefix table."""
+    counts = token_prefixes(documents(spark, sf_dir), keep_prefixes=False)
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
