@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolens.llm.common import documents
+from aerolens.llm.language_id import held_out, language_id
 from aerolens.llm.line_dedup import line_dedup
 from aerolens.llm.token_counts import token_prefixes
 
@@ -63,3 +64,9 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text: the last entries of its prefix table."""
     counts = token_prefixes(documents(spark, sf_dir), keep_prefixes=False)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language_id(documents(spark, sf_dir)).withColumn("held_out", held_out())
