@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from aerolens.llm.common import documents
 from aerolens.llm.language_id import held_out, language_id
 from aerolens.llm.line_dedup import line_dedup
+from aerolens.llm.quality_rules import quality_rules
 from aerolens.llm.token_counts import token_prefixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,9 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return language_id(documents(spark, sf_dir)).withColumn("held_out", held_out())
+
+
+@query()
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return quality_rules(documents(spark, sf_dir))
