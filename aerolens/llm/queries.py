@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolens.llm.common import documents
+from aerolens.llm.fingerprints import fingerprints
 from aerolens.llm.language_id import held_out, language_id
 from aerolens.llm.line_dedup import line_dedup
 from aerolens.llm.quality_rules import quality_rules
@@ -77,3 +78,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality_rules(documents(spark, sf_dir))
+
+
+@query()
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash of every text and of its edited text."""
+    return fingerprints(documents(spark, sf_dir))
