@@ -10,6 +10,7 @@ from aerolens.llm.common import documents
 from aerolens.llm.fingerprints import fingerprints
 from aerolens.llm.language_id import held_out, language_id
 from aerolens.llm.line_dedup import line_dedup
+from aerolens.llm.ngram_jaccard import ngram_jaccard
 from aerolens.llm.quality_rules import quality_rules
 from aerolens.llm.token_counts import token_prefixes
 
@@ -84,3 +85,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MinHash of every text and of its edited text."""
     return fingerprints(documents(spark, sf_dir))
+
+
+@query()
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents by four-word shingles, at a Jaccard similarity of 85 percent."""
+    return ngram_jaccard(documents(spark, sf_dir), words=4, percent=85)
