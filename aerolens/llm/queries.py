@@ -12,6 +12,7 @@ from aerolens.llm.language_id import held_out, language_id
 from aerolens.llm.line_dedup import line_dedup
 from aerolens.llm.ngram_jaccard import ngram_jaccard
 from aerolens.llm.quality_rules import quality_rules
+from aerolens.llm.suffix_dedup import suffix_dedup
 from aerolens.llm.token_counts import token_prefixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +92,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents by four-word shingles, at a Jaccard similarity of 85 percent."""
     return ngram_jaccard(documents(spark, sf_dir), words=4, percent=85)
+
+
+@query()
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of repeated 200-byte strings."""
+    found = suffix_dedup(documents(spark, sf_dir))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")

@@ -27,6 +27,8 @@ PLACE = np.uint64((1 << 21) - 1)
 TRANSFORM_BYTES = 1 << 19
 #: Different contexts below one anchor from which they are cut up before they are compared.
 HOT = 2000
+#: Bytes of an anchor. Long ones are seldom found in lines and phrases that are shorter than a window.
+GRAM = 100
 #: Windows of a cut context.
 CUT = 16
 #: Bits of the map that keeps most anchors found once from being handed on.
@@ -277,7 +279,7 @@ def _compared(texts: DataFrame, length: int) -> DataFrame:
     return texts.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(work, schema)
 
 
-def _cut_up(texts: DataFrame, length: int) -> DataFrame:
+def _cut_up(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """The same for anchors with very many contexts, without bringing an anchor's contexts together.
 
     Contexts are cut into groups of ``CUT`` windows. All windows of a group hold the group's core, so groups
@@ -293,7 +295,7 @@ def _cut_up(texts: DataFrame, length: int) -> DataFrame:
             for anchor, context, data in zip(*(c.to_pylist() for c in batch.columns)):
                 windows = len(data) - length + 1
                 whole = np.frombuffer(data, dtype=np.uint8)
-                grams = _grams(whole, GRAM)
+                grams = _grams(whole, gram)
                 place = int(np.flatnonzero(grams.view(np.int64) == anchor)[0])
                 # Groups are counted from the anchor, so that equal windows are in equal groups.
                 at = 0
@@ -326,9 +328,6 @@ def _cut_up(texts: DataFrame, length: int) -> DataFrame:
     )
 
 
-GRAM = 100
-
-
 def suffix_dedup(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", length: int = 200, gram: int = GRAM
 ) -> DataFrame:
@@ -356,7 +355,7 @@ def suffix_dedup(
     wanted = distinct.join(sizes, "anchor").select("anchor", "context", "many", "one.*")
     usual = _compared(_texts_of(rows, wanted.where(F.col("many") <= HOT), length), length)
     hot = wanted.where(F.col("many") > HOT)
-    found = usual.unionByName(_cut_up(_texts_of(rows, hot, length), length)) if hot.limit(1).count() else usual
+    found = usual.unionByName(_cut_up(_texts_of(rows, hot, length), length, gram)) if hot.limit(1).count() else usual
     copies = distinct.where("n > 1").selectExpr("anchor", "context", "array(0L, one.windows) as runs")
     runs = materialized(found.unionByName(copies), "runs")
     spans = (
