@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from aerolens.llm.chat_format import chat_windows, read_back
 from aerolens.llm.common import documents
 from aerolens.llm.fingerprints import fingerprints
 from aerolens.llm.language_id import held_out, language_id
 from aerolens.llm.line_dedup import line_dedup
+from aerolens.llm.mixing import mix
 from aerolens.llm.ngram_jaccard import ngram_jaccard
+from aerolens.llm.packing import pack
 from aerolens.llm.quality_rules import quality_rules
 from aerolens.llm.suffix_dedup import suffix_dedup
 from aerolens.llm.token_counts import token_prefixes
@@ -99,3 +102,120 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the bytes of repeated 200-byte strings."""
     found = suffix_dedup(documents(spark, sf_dir))
     return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+#: The tree of op3: a source's domain is its first four characters.
+LEVELS = {"domain": "substring(source, 1, 4)", "lang": "lang", "source": "source"}
+WEIGHTS = {"domain": {"src0": 2}, "lang": {"en": 3, "de": 2}}
+MIX_PERCENT, MIX_EPOCHS = 60, 2
+N_TOKENS_SQL = "len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as n_tokens"
+
+
+def _mixing_sql() -> str:
+    names = list(LEVELS)
+    parts = [
+        f"rows as (select doc_id, {', '.join(f'{sql} as {n}' for n, sql in LEVELS.items())}, {N_TOKENS_SQL} from documents)",
+        f"leaves as (select {', '.join(names)}, sum(n_tokens)::hugeint as supply from rows group by all)",
+        f"given0 as (select least(sum(supply) * {MIX_PERCENT} // 100, sum(supply) * {MIX_EPOCHS})::hugeint as budget from leaves)",
+    ]
+    for k, name in enumerate(names, 1):
+        path, parent = ", ".join(names[:k]), names[: k - 1]
+        inside = f"partition by {', '.join(parent)}" if parent else ""
+        same = " and ".join(f"a.{c} is not distinct from u.{c}" for c in parent) or "true"
+        weight = " ".join(f"when {name} = '{v}' then {w}" for v, w in WEIGHTS.get(name, {}).items())
+        weight = f"case {weight} else 1 end" if weight else "1"
+        order = f"{inside} order by capacity::double / weight::double, {name} nulls first rows between"
+        parts += [
+            f"a{k} as (select {path}, sum(supply) * {MIX_EPOCHS} as capacity, ({weight})::hugeint as weight from leaves group by {path})",
+            f"b{k} as (select a.*, u.budget as given from a{k} a join given{k - 1} u on {same})",
+            f"""c{k} as (select *, coalesce(sum(capacity) over ({order} unbounded preceding and 1 preceding), 0) as full_before,
+              sum(weight) over ({order} current row and unbounded following) as weight_left from b{k})""",
+            f"""d{k} as (select *, max((capacity * weight_left > weight * (given - full_before))::int)
+              over ({order} unbounded preceding and current row) as open from c{k})""",
+            f"""e{k} as (select *, given - sum(case when open = 0 then capacity else 0 end) over ({inside}) as rest,
+              sum(case when open = 1 then weight else 0 end) over ({inside}) as shared from d{k})""",
+            f"f{k} as (select *, case when open = 1 then (weight * rest) // shared else capacity end as share from e{k})",
+            f"""given{k} as (select {path}, (share + case when open = 1 and row_number() over (
+              partition by {', '.join([*parent, 'open'])} order by {name} nulls first
+              ) <= given - sum(share) over ({inside}) then 1 else 0 end)::hugeint as budget from f{k})""",
+        ]
+    same = " and ".join(f"{{0}}.{c} is not distinct from g.{c}" for c in names)
+    parts += [
+        f"""plan as (select g.*, coalesce(g.budget // nullif(l.supply, 0), 0) as full_epochs,
+          g.budget - coalesce(g.budget // nullif(l.supply, 0), 0) * l.supply as rest
+          from given{len(names)} g join leaves l on {same.format('l')})""",
+        f"""drawn as (select r.*, g.budget, g.full_epochs, g.rest,
+          md5('1:' || g.full_epochs::varchar || ':' || r.doc_id::varchar) as draw
+          from rows r join plan g on {same.format('r')})""",
+        f"""totals as (select *, sum(n_tokens) over (partition by {', '.join(names)} order by draw, n_tokens
+          rows between unbounded preceding and current row) as total from drawn)""",
+    ]
+    return f"""with {', '.join(parts)}
+      select doc_id, {', '.join(names)}, n_tokens, budget::bigint as budget,
+        (full_epochs + (total <= rest)::int)::bigint as copies from totals"""
+
+
+@query(_mixing_sql())
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document enters a mixture of 60 percent of all words."""
+    return mix(
+        documents(spark, sf_dir), levels=LEVELS, weights=WEIGHTS, percent=MIX_PERCENT, epochs=MIX_EPOCHS
+    ).drop("row")
+
+
+BUCKETS, BATCH_TOKENS = 8, 16_384
+
+
+def _packing_sql() -> str:
+    step = "(1::bigint << greatest(0, len(bin(n_tokens)) - 8)::int)"
+    parts = [
+        f"rows as (select doc_id, {N_TOKENS_SQL} from documents)",
+        f"rounded as (select *, ((n_tokens + {step} - 1) // {step}) * {step} as bound from rows)",
+        """shape as (select bound, row_number() over (order by bound) as j, sum(count(*)) over (order by bound) as many,
+          sum(sum(n_tokens)) over (order by bound) as inside from rounded group by bound
+          union all select -1, 0, 0, 0)""",
+        "best0 as (select 0::bigint as j, 0::hugeint as best)",
+    ]
+    for k in range(1, BUCKETS + 1):
+        # The least cost and, among equals, the least split.
+        parts += [
+            f"""step{k} as (select c.j, min((p.best + c.bound * (c.many - q.many) - (c.inside - q.inside))::hugeint * 1000000 + q.j)
+              as choice from shape c join shape q on q.j < c.j join best{k - 1} p on p.j = q.j group by c.j)""",
+            f"best{k} as (select j, choice // 1000000 as best from step{k} union all select 0, 0)",
+        ]
+    parts.append("cut8 as (select max(j) as j from shape)")
+    for k in range(BUCKETS, 0, -1):
+        parts.append(
+            f"cut{k - 1} as (select coalesce((select choice % 1000000 from step{k} where j = (select j from cut{k})), 0) as j)"
+        )
+    found = " union ".join(f"select j from cut{k}" for k in range(1, BUCKETS + 1))
+    parts += [
+        f"""buckets as (select bound as bucket_tokens, row_number() over (order by bound) as bucket,
+          coalesce(lag(bound) over (order by bound), -1) as low, greatest(1, {BATCH_TOKENS} // greatest(1, bound)) as size
+          from shape where j > 0 and j in ({found}))""",
+        """numbered as (select r.doc_id, r.n_tokens, b.bucket, b.bucket_tokens, b.size, row_number() over (
+          partition by b.bucket order by md5('1:' || r.doc_id::varchar), r.n_tokens) - 1 as place
+          from rounded r join buckets b on r.bound > b.low and r.bound <= b.bucket_tokens)""",
+    ]
+    return f"""with {', '.join(parts)}
+      select doc_id, n_tokens, bucket::bigint as bucket, bucket_tokens::bigint as bucket_tokens,
+        (place // size)::bigint as batch, (place % size)::bigint as slot from numbered"""
+
+
+@query(_packing_sql())
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of every document."""
+    return pack(documents(spark, sf_dir), buckets=BUCKETS, budget=BATCH_TOKENS)
+
+
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query()
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one full of control strings, formatted and read back."""
+    given = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame(
+        [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], given.schema
+    )
+    return read_back(chat_windows(given.unionByName(own)))
