@@ -183,19 +183,21 @@ def predict(
     """
     prepared(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # The text goes to Python once, and comes back only if it is carried.
+    others = [c for c in carry if c != text_column]
     given = docs.select(
-        F.col(id_column).alias("_id"), F.col(text_column).alias("_text"),
-        *(F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)),
+        F.col(text_column).alias("_text"), F.col(id_column).alias("_id"),
+        *(F.col(c).alias(f"_carry_{i}") for i, c in enumerate(others)),
     )
-    schema = given.select(
-        "*", F.lit("").alias("_lang"), F.lit(0.0).alias("_score")
-    ).schema
+    back = given if text_column in carry else given.drop("_text")
+    schema = back.select("*", F.lit("").alias("_lang"), F.lit(0.0).alias("_score")).schema
+    skipped = 0 if text_column in carry else 1
 
     def judge(arrived):
         model = shared.value
         for batch in arrived:
             langs, scores = [], []
-            for text in batch.column(1):
+            for text in batch.column(0):
                 known = shares(text.as_py() or "", model) if model.languages else None
                 lang, score = UNKNOWN, 0.0
                 if known is not None:
@@ -204,13 +206,14 @@ def predict(
                 langs.append(lang)
                 scores.append(score)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names, "_lang", "_score"],
+                [*batch.columns[skipped:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                [*batch.schema.names[skipped:], "_lang", "_score"],
             )
 
+    names = {c: f"_carry_{i}" for i, c in enumerate(others)} | {text_column: "_text"}
     return given.mapInArrow(judge, schema).select(
         F.col("_id").alias(id_column), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"),
-        *(F.col(f"_carry_{i}").alias(c) for i, c in enumerate(carry)),
+        *(F.col(names[c]).alias(c) for c in carry),
     )
 
 
