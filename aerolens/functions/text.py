@@ -5,8 +5,8 @@ from __future__ import annotations
 
 def fixed_decimals(value: str, digits: int) -> str:
     """Decimal text with ``digits`` places, half rounded up; ``nan`` when missing."""
-    # Reading the value at two places first keeps binary noise out of the rounding.
-    rounded = f"round(cast({value} as decimal(20,2)), {digits})"
+    # The shortest decimal text of the value is rounded, once. What is beyond the range is shown as missing.
+    rounded = f"round(try_cast({value} as decimal(38,18)), {digits})"
     return f"coalesce(cast(cast({rounded} as decimal(20,{digits})) as string), 'nan')"
 
 

@@ -12,6 +12,7 @@ ALERT_COLUMNS = [
     "detection_method", "created_at",
 ]
 
+# The thresholds, scores and message texts of all rules below.
 PM25 = fixed_decimals("pm25", 1)
 CO2 = fixed_decimals("co2_ppm", 0)
 TEMPERATURE = fixed_decimals("temperature_c", 1)

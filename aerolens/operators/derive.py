@@ -21,7 +21,7 @@ def with_derived_features(df: DataFrame) -> DataFrame:
 
 def metric_display(metrics: DataFrame) -> DataFrame:
     """Metric rows as shown on cards: title, value with unit, time text."""
-    value = "cast(cast(round(cast(metric_value as decimal(20,6)), 2) as decimal(20,2)) as string)"
+    value = "cast(cast(round(try_cast(metric_value as decimal(38,6)), 2) as decimal(20,2)) as string)"
     return metrics.selectExpr(
         "metric_id",
         f"{text.title_case('metric_name')} as title",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -9,7 +11,10 @@ def as_of_column(df: DataFrame, as_of=None, time_column: str = "ts") -> Column:
     """The reference time: given, or the newest time in ``df`` as a scalar subquery."""
     if as_of is None:
         return df.select(F.max(time_column)).scalar()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of)
+    if isinstance(as_of, Column):
+        return as_of
+    # A naive time is UTC, whatever the time zone of this process.
+    return F.expr(f"timestamp_micros({(as_of - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)}L)")
 
 
 def recent(df: DataFrame, minutes: int, as_of=None, time_column: str = "ts") -> DataFrame:

@@ -1,7 +1,6 @@
 """Dashboard joins.
 
-``limit`` rows are a proven bound, so a newest-N result may be sent to all tasks; dimension
-tables are left to Spark's own size check.
+Newest-N results and dimension tables are sent to all tasks if Spark's own size check allows it.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ def with_predictions(
     rows. So the bounded keys first cut the predictions down where they are read.
     """
     matching = predictions.select("record_id", *columns).join(
-        F.broadcast(newest.select("record_id")), "record_id", "left_semi"
+        newest.select("record_id"), "record_id", "left_semi"
     )
     return df.join(matching, "record_id", "left")
 

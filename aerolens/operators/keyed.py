@@ -16,12 +16,13 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def absent_rows(existing: DataFrame, new: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The rows an insert that skips known keys would add.
+    """The rows an insert that skips known keys would add. A row with a NULL in its key clashes with none.
 
     The large existing table is first cut down to the keys that also occur in the batch; a small
     batch is sent to its tasks by Spark's own size check, so the table is not shuffled.
     """
-    batch = first_per_key(new, keys, order)
+    whole = " and ".join(f"{key} is not null" for key in keys)
+    batch = first_per_key(new.where(whole), keys, order).unionByName(new.where(f"not ({whole})"))
     known = existing.select(*keys).join(batch.select(*keys), keys, "left_semi")
     return batch.join(known, keys, "left_anti")
 
@@ -50,9 +51,10 @@ def retain_latest_metrics(metrics: DataFrame, keep: int = 1000) -> DataFrame:
 
 
 def expired_metrics(metrics: DataFrame, keep: int = 1000) -> DataFrame:
-    """The rows that retention removes; the kept ids are bounded by ``keep``."""
+    """The rows that retention removes."""
     kept = retain_latest_metrics(metrics, keep).select("metric_id")
-    return metrics.join(F.broadcast(kept), "metric_id", "left_anti")
+    # Spark sends the kept ids to all tasks if they are few enough.
+    return metrics.join(kept, "metric_id", "left_anti")
 
 
 def cascade_delete(deleted: DataFrame, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -11,16 +11,56 @@ from aerolens.schema import DECIMALS, DEFAULTS, LENGTHS, RANGES, RENAMED
 def conform_readings(df: DataFrame) -> DataFrame:
     """Canonical names, declared precision and defaults.
 
-    A value that does not fit its declared precision becomes NULL instead of failing the job.
+    A value that does not fit its declared precision becomes NULL instead of failing the job; check rows
+    with ``checked_readings`` before, which reports such values.
     """
-    renamed = df.withColumnsRenamed(RENAMED)
+    named = with_defaults(df)
     changes = {
         name: F.expr(f"try_cast({name} as decimal({precision},{scale}))")
         for name, (precision, scale) in DECIMALS.items()
-        if name in renamed.columns
+        if name in named.columns
+    }
+    return named.withColumns(changes)
+
+
+def with_defaults(df: DataFrame) -> DataFrame:
+    """Canonical names, and the declared defaults of columns that are left out."""
+    renamed = df.withColumnsRenamed(RENAMED)
+    return renamed.withColumns({name: F.lit(value) for name, value in DEFAULTS.items() if name not in renamed.columns})
+
+
+def checked_readings(df: DataFrame, stations: DataFrame | None = None) -> DataFrame:
+    """Rows with canonical names and defaults, and in ``violations`` all that a database would reject them for.
+
+    Besides the checks of ``validate_readings`` these are values beyond their declared precision, and, with
+    ``stations``, a station that is not among them.
+    """
+    validated = validate_readings(with_defaults(df))
+    beyond = [
+        f"if({name} is not null and try_cast({name} as decimal({precision},{scale})) is null, '{name}_overflow', null)"
+        for name, (precision, scale) in DECIMALS.items()
+        if name in validated.columns
+    ]
+    found = f"concat(violations, array_compact(array({', '.join(beyond)})))" if beyond else "violations"
+    checked = validated.withColumn("violations", F.expr(found))
+    if stations is None:
+        return checked
+    known = stations.select(F.col("station_id").alias("_station")).distinct()
+    orphan = "station_id is not null and _station is null"
+    return checked.join(known, F.col("station_id") == F.col("_station"), "left").withColumn(
+        "violations", F.expr(f"if({orphan}, array_append(violations, 'station_id_orphan'), violations)")
+    ).drop("_station")
+
+
+def as_declared(checked: DataFrame) -> DataFrame:
+    """Rows without violations, rounded to the declared precision and kept as doubles to compute with."""
+    good = good_rows(checked)
+    changes = {
+        name: F.expr(f"cast(cast({name} as decimal({precision},{scale})) as double)")
+        for name, (precision, scale) in DECIMALS.items()
+        if name in good.columns
     }
-    omitted = {name: F.lit(value) for name, value in DEFAULTS.items() if name not in renamed.columns}
-    return renamed.withColumns(changes | omitted)
+    return good.withColumns(changes)
 
 
 def violation_codes(columns: list[str], not_null: tuple[str, ...] = ("record_id", "station_id", "ts")) -> str:

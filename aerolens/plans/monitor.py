@@ -19,7 +19,7 @@ from aerolens.operators.outliers import zscore_outliers
 from aerolens.operators.statistics import exact_quantiles, imputed_moments, medians_of, settled
 from aerolens.plans.store import Store
 from aerolens.schema import DERIVED_FEATURES, FOREST_FEATURES, MONITOR_FEATURES, TRAINING_FEATURES
-from aerolens.session import materialized
+from aerolens.session import materialized, scratch_removed
 from aerolens.sources.tables import append_batch, read_table, timestamp_literal
 
 SOURCE = "monitor"
@@ -147,7 +147,7 @@ def report_step(store: Store, as_of: dt.datetime, run_id: str, report: CycleRepo
     log = read_table(spark, store.path("cycle_log"), entry.schema, "batch_id bigint")
     metrics = cycle_metrics(log.where(F.col("run_id") == run_id)).where(F.col("cycle") == report.cycle)
     store.append_metrics(metrics.drop("run_id", "cycle"), SOURCE, report.cycle, timestamp_literal(as_of))
-    store.retain_metrics(SOURCE)
+    store.retain_metrics()
 
 
 def run_cycle(
@@ -178,13 +178,14 @@ def run_cycle(
         try:
             return action() or 0
         except Exception as error:  # a cycle goes on whatever one step runs into
-            report.errors[name] = str(error).splitlines()[0]
+            report.errors[name] = (str(error).splitlines() or [type(error).__name__])[0]
             return 0
 
-    report.outliers = step(
-        "detect", lambda: detect_step(store, as_of, cycle, outlier_window, profile, contamination, trees)
-    )
-    report.predictions = step("score", lambda: train_and_score_step(store, as_of, cycle, ml_window, profile))
-    report.seconds = time.monotonic() - begun
-    step("report", lambda: report_step(store, as_of, run_id, report))
+    with scratch_removed(spark):
+        report.outliers = step(
+            "detect", lambda: detect_step(store, as_of, cycle, outlier_window, profile, contamination, trees)
+        )
+        report.predictions = step("score", lambda: train_and_score_step(store, as_of, cycle, ml_window, profile))
+        report.seconds = time.monotonic() - begun
+        step("report", lambda: report_step(store, as_of, run_id, report))
     return report

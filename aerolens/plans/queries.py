@@ -16,16 +16,16 @@ from aerolens.operators.statistics import exact_quantiles, impute_median
 from aerolens.plans.monitor import detect_anomalies, run_cycle
 from aerolens.plans.store import Store
 from aerolens.schema import (
-    ALERT_STATUSES, AQI_LABELS, FOREST_FEATURES, MONITOR_FEATURES, SENSOR_STATUSES, SEVERITIES, STREAM_FEATURES,
+    AQI_LABELS, FOREST_FEATURES, MONITOR_FEATURES, READINGS, SENSOR_STATUSES, SEVERITIES, STREAM_FEATURES,
     TRAINING_FEATURES,
 )
 from aerolens.session import materialized, scratch_path
 from aerolens.sources.tables import (
-    MONTH, append_readings, partition_column, read_table, scan_readings, stream_readings, upsert_partitions,
+    BULK, append_readings, partition_column, read_table, scan_readings, stream_readings, upsert_partitions,
     with_partition, write_partitioned,
 )
 from aerolens.sources.testviews import EVENTS, TestTables, readings_from_events, with_views
-from aerolens.streaming.ingest import run_ingest_stream
+from aerolens.streaming.ingest import admit_batch, run_ingest_stream
 from aerolens.streaming.zones import stream_zone_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,9 +73,9 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 # --- sources and sinks ------------------------------------------------------------------------
 
 
-def stored_readings(t: TestTables) -> str:
+def stored_readings(t: TestTables, unit: str = "day") -> str:
     path = scratch_path(t.spark, "readings")
-    write_partitioned(t.readings, path)
+    write_partitioned(t.readings, path, unit=unit)
     return path
 
 
@@ -95,8 +95,9 @@ def scan_readings_query(t):
        from readings group by 1"""
 )
 def write_partitioned_query(t):
-    back = read_table(t.spark, stored_readings(t), t.readings.schema, f"{MONTH} int")
-    return back.groupBy(MONTH).agg(
+    back = read_table(t.spark, stored_readings(t, "month"), t.readings.schema, "ts_month int", "batch_id bigint")
+    back = back.where(F.col("batch_id") == BULK)
+    return back.groupBy("ts_month").agg(
         F.expr("count(*) as n"), F.expr("count(pm25) as pm25_known"), F.expr("round(sum(pm25), 4) as pm25_sum"),
         F.expr("min(ts) as first_ts"), F.expr("max(ts) as last_ts"), F.expr("sum(record_id) as ids"),
     )
@@ -132,7 +133,7 @@ def append_readings_query(t):
     path = scratch_path(t.spark, "appended")
     for batch_id in (0, 1, 2, 1):  # batch 1 comes twice, as after a restart
         append_readings(t.readings.where(F.col("record_id") % 3 == batch_id), path, batch_id)
-    back = read_table(t.spark, path, t.readings.schema, "batch_id bigint")
+    back = read_table(t.spark, path, t.readings.schema, "ts_day int", "batch_id bigint")
     return back.select("record_id", "station_id", "sensor_id", "ts", "pm25", "co2_ppm", "batch_id")
 
 
@@ -762,8 +763,8 @@ def percentile_outliers(t):
     return outliers.percentile_outliers(gated_week(t).select("record_id", "pm25"), "pm25")
 
 
-ANOMALY_TEXT = """'PM2.5=' || cast(round(cast(pm25 as decimal(20,2)),1) as varchar) || '{unit}, CO2='
-         || cast(round(cast(co2_ppm as decimal(20,2)),0) as varchar) || 'ppm'"""
+ANOMALY_TEXT = """'PM2.5=' || cast(round(cast(cast(pm25 as varchar) as decimal(38,18)),1) as varchar) || '{unit}, CO2='
+         || cast(round(cast(cast(co2_ppm as varchar) as decimal(38,18)),0) as varchar) || 'ppm'"""
 
 
 @query(
@@ -773,7 +774,7 @@ ANOMALY_TEXT = """'PM2.5=' || cast(round(cast(pm25 as decimal(20,2)),1) as varch
               when pm25 > 55 or co2_ppm > 600 then 'Moderate' else 'Low' end as severity,
          'Anomaly detected at station ' || cast(station_id as varchar) || ': '
            || {ANOMALY_TEXT.format(unit="μg/m³")} || ', Temp='
-           || coalesce(cast(round(cast(temperature_c as decimal(20,2)),1) as varchar), 'nan') || '°C' as message,
+           || coalesce(cast(round(cast(cast(temperature_c as varchar) as decimal(38,18)),1) as varchar), 'nan') || '°C' as message,
          round(cast(least(1.0, case when fo then 0.8 else 0.6 end + case when st then 0.2 else 0 end) as double), 3) as anomaly_score,
          concat_ws('|', case when st then 'Statistical' end, case when fo then 'IsolationForest' end) as detection_method,
          ts as created_at
@@ -807,8 +808,8 @@ def anomaly_alerts_simple(t):
     f""", {ZSUM}
        select record_id, station_id, 'Outlier Detected' as alert_type,
          case when anomaly_score > 5 then 'High' else 'Moderate' end as severity,
-         'Anomaly: PM2.5=' || cast(round(cast(pm25 as decimal(20,2)),1) as varchar) || ', CO₂='
-           || cast(round(cast(co2_ppm as decimal(20,2)),0) as varchar) || ' ppm' as message,
+         'Anomaly: PM2.5=' || cast(round(cast(cast(pm25 as varchar) as decimal(38,18)),1) as varchar) || ', CO₂='
+           || cast(round(cast(cast(co2_ppm as varchar) as decimal(38,18)),0) as varchar) || ' ppm' as message,
          round(anomaly_score, 6) as anomaly_score, 'BatchOutlier' as detection_method, ts as created_at
        from z where anomaly_score > cast(2.5 as double)""",
     "w",
@@ -831,7 +832,7 @@ def threshold_alerts(t):
 @query(
     """select record_id, station_id, 'PM2.5 High' as alert_type,
          case when pm25 > 100 then 'Critical' when pm25 > 75 then 'High' else 'Moderate' end as severity, 'Open' as status,
-         'PM2.5 level ' || cast(round(cast(pm25 as decimal(20,2)),1) as varchar) || ' μg/m³ exceeds safe threshold' as message,
+         'PM2.5 level ' || cast(round(cast(cast(pm25 as varchar) as decimal(38,18)),1) as varchar) || ' μg/m³ exceeds safe threshold' as message,
          ts as created_at
        from readings where pm25 > 50"""
 )
@@ -850,10 +851,8 @@ def training_rows(t: TestTables) -> DataFrame:
 def train_aqi_model(t):
     """Accuracy of a full training run on the rows it was trained on."""
     training = training_rows(t)
-    scored = model.score_aqi(training, model.train_aqi_model(training, TRAINING_FEATURES))
-    return aggregates.model_accuracy(
-        scored.join(training.select("record_id", "aqi_bucket"), "record_id"), "aqi_pred", "aqi_bucket"
-    )
+    scored = model.score_aqi(training, model.train_aqi_model(training, TRAINING_FEATURES), keep=("aqi_bucket",))
+    return aggregates.model_accuracy(scored, "aqi_pred", "aqi_bucket")
 
 
 @query()
@@ -896,24 +895,57 @@ def model_accuracy(t):
 # --- streaming and monitoring -----------------------------------------------------------------
 
 
+def ingested(t: TestTables) -> Store:
+    """A store after four micro-batches, each with a quarter of the events of all times."""
+    landing = scratch_path(t.spark, "landing")
+    for part in range(4):
+        t.events.where(f"event_id % 4 = {part}").coalesce(1).write.mode("append").parquet(landing)
+    store = Store(t.spark, scratch_path(t.spark, "ingest"), "day")
+    stream = readings_from_events(stream_readings(t.spark, landing, EVENTS, files_per_batch=1))
+    run_ingest_stream(t.spark, stream, store, trigger={"availableNow": True}).awaitTermination()
+    return store
+
+
+@query("select record_id, station_id, sensor_id, ts, pm25, co2_ppm, temperature_c, humidity, aqi_bucket from labelled",
+       "readings labelled")
+def ingest_readings(t):
+    """What the stream has stored: every reading once."""
+    return read_table(t.spark, ingested(t).path("readings"), READINGS, "ts_day int", "batch_id bigint").select(
+        "record_id", "station_id", "sensor_id", "ts", "pm25", "co2_ppm", "temperature_c", "humidity", "aqi_bucket"
+    )
+
+
+@query(f""", {DRIFTED} select record_id, concat_ws(',', nullif(violations, ''),
+           case when station_id not in (select station_id from stations where is_active) then 'station_id_orphan' end) as violations
+         from checked join drifted using (record_id)
+         where violations <> '' or station_id not in (select station_id from stations where is_active)""",
+       "readings stations")
+def quarantine_readings(t):
+    """What the ingest rejects of drifted readings when only stations in use are known, as it is stored."""
+    store = Store(t.spark, scratch_path(t.spark, "quarantine"))
+    filters.active_stations(t.stations).withColumn("status", F.lit("Active")).withColumn("batch_id", F.lit(0)).write.partitionBy(
+        "batch_id"
+    ).parquet(store.path("stations"))
+    admit_batch(store, drifted(t), 1)
+    return store.quarantine().select("record_id", "violations")
+
+
 @query(
     """, z as (select *,
-         abs((pm25 - (select avg(pm25) from readings)) / ((select stddev_samp(pm25) from readings) + cast(1e-6 as double)))
-         + abs((co2_ppm - (select avg(co2_ppm) from readings)) / ((select stddev_samp(co2_ppm) from readings) + cast(1e-6 as double)))
-           as anomaly_score from readings)
+         abs((pm25 - avg(pm25) over b) / (stddev_samp(pm25) over b + cast(1e-6 as double)))
+         + abs((co2_ppm - avg(co2_ppm) over b) / (stddev_samp(co2_ppm) over b + cast(1e-6 as double)))
+           as anomaly_score from readings window b as (partition by record_id % 4))
        select record_id, station_id, alert_type, severity, message, round(anomaly_score, 6) as anomaly_score from threshold
        union all
        select record_id, station_id, 'Outlier Detected', 'High',
-         'Anomaly: PM2.5=' || cast(round(cast(pm25 as decimal(20,2)),1) as varchar) || ', CO₂='
-           || cast(round(cast(co2_ppm as decimal(20,2)),0) as varchar) || ' ppm', round(anomaly_score, 6)
+         'Anomaly: PM2.5=' || cast(round(cast(cast(pm25 as varchar) as decimal(38,18)),1) as varchar) || ', CO₂='
+           || cast(round(cast(cast(co2_ppm as varchar) as decimal(38,18)),0) as varchar) || ' ppm', round(anomaly_score, 6)
        from z where anomaly_score > 5""",
     "threshold",
 )
 def run_ingest_stream_query(t):
-    """Alerts of the ingest stream; the events file arrives as one micro-batch."""
-    store = Store(t.spark, scratch_path(t.spark, "ingest"), "day")
-    stream = readings_from_events(streamed_events(t))
-    run_ingest_stream(t.spark, stream, store, trigger={"availableNow": True}, max_files=8).awaitTermination()
+    """Alerts of the ingest stream; the events arrive in four micro-batches, out of order."""
+    store = ingested(t)
     columns = ["record_id", "station_id", "alert_type", "severity", "message", "anomaly_score"]
     return rounded(store.alerts().select(*columns), "anomaly_score")
 
@@ -925,16 +957,16 @@ def run_monitor_cycle(t):
     write_partitioned(t.readings, store.path("readings"))
     as_of = store.latest()
     for cycle, day in enumerate((as_of - dt.timedelta(days=1), as_of), start=1):
-        run_cycle(
-            t.spark, store, cycle=cycle, as_of=day, outlier_window=WEEK, ml_window=WEEK, trees=100
-        )
+        report = run_cycle(t.spark, store, cycle=cycle, as_of=day, outlier_window=WEEK, ml_window=WEEK)
+        if report.errors:
+            raise RuntimeError(f"cycle {cycle}: {report.errors}")
     return store.metrics().select("metric_id", "metric_name", "metric_value", "metric_unit", "recorded_at")
 
 
 @query()
 def monitor_anomalies(t):
     """Both detectors of the monitor and the alerts they lead to."""
-    return alerts.anomaly_alerts(detect_anomalies(gated_week(t), trees=100))
+    return alerts.anomaly_alerts(detect_anomalies(gated_week(t)))
 
 
 ZONE_WINDOWS = """, steps as (select s.city_zone, date_trunc('minute', r.ts) as step, count(*) as n, sum(r.pm25) as p,

@@ -1,7 +1,8 @@
 """The stored tables of one deployment: where they lie and how they are read.
 
-Each writer (the ingest stream, the monitor) appends below its own ``source=`` folder, batch by
-batch, so writers never touch each other's files and a repeated batch replaces only itself.
+Each writer (the ingest stream, the monitor) appends below its own ``source=`` folder, by day and batch
+by batch, so writers never touch each other's files and a repeated batch replaces only itself. Readings and
+streamed predictions have one writer besides bulk loads, which are a batch of their own.
 """
 
 from __future__ import annotations
@@ -13,15 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from aerolens.operators.keyed import absent_rows, retain_latest_metrics
 from aerolens.operators.model import STATE
 from aerolens.schema import ALERTS, PREDICTIONS, READINGS, SENSORS, STATIONS, SYSTEM_METRICS, fields
-from aerolens.session import configure, scratch_path
+from aerolens.session import configure
+from aerolens.sources import folders
 from aerolens.sources.tables import (
-    MONTH, append_batch, latest_ts, partition_column, read_table, scan_readings, since, upsert_partitions, with_columns,
-    with_partition,
+    DAY, append_batch, finish_upsert, latest_ts, partition_column, read_table, scan_readings, since,
+    upsert_partitions, with_columns, with_partition,
 )
 
 # Predictions also carry the time of their reading, so a time window prunes them like readings.
 STORED_PREDICTIONS = with_columns(PREDICTIONS, "ts timestamp")
-SOURCES = ["ingest", "monitor"]
+KEPT_MODELS = 10
+QUARANTINE = "record_id bigint, station_id bigint, ts timestamp, violations string, reading string"
 
 
 class Store:
@@ -48,12 +51,32 @@ class Store:
         )
 
     def readings_of_batch(self, batch_id: int, schema: T.StructType) -> DataFrame:
-        """The readings one batch has appended; only its own folder is listed."""
-        return read_table(self.spark, f"{self.path('readings')}/batch_id={batch_id}", schema)
+        """The readings one batch has appended; only its own folders are listed."""
+        found = folders.matching(self.spark, f"{self.path('readings')}/*/batch_id={batch_id}")
+        if not found:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path("readings")).parquet(*found).select(
+            *schema.fieldNames()
+        )
+
+    def keys_of_days(self, days: list[int], but_batch: int) -> DataFrame:
+        """Keys stored for some days by other batches; no other day's folders are listed."""
+        found = [
+            folder for day in days
+            for folder in folders.matching(self.spark, f"{self.path('readings')}/{DAY}={day}/batch_id=*")
+            if not folder.endswith(f"batch_id={but_batch}")
+        ]
+        if not found:
+            return self.spark.createDataFrame([], fields("record_id bigint"))
+        return self.spark.read.schema(fields("record_id bigint")).parquet(*found)
+
+    def quarantine(self) -> DataFrame:
+        """Rejected readings with the codes of their violations, and the whole row as JSON."""
+        return read_table(self.spark, self.path("quarantine"), fields(QUARANTINE), "batch_id bigint")
 
     def latest(self) -> dt.datetime | None:
         """Time of the newest reading."""
-        return latest_ts(read_table(self.spark, self.path("readings"), READINGS, f"{MONTH} int"))
+        return latest_ts(read_table(self.spark, self.path("readings"), READINGS, f"{DAY} int", "batch_id bigint"))
 
     def stations(self) -> DataFrame:
         return read_table(self.spark, self.path("stations"), STATIONS).select(*STATIONS.fieldNames())
@@ -64,7 +87,7 @@ class Store:
     def alerts(self, start: dt.datetime | None = None) -> DataFrame:
         """All alerts, or those of readings from ``start`` on."""
         table = read_table(
-            self.spark, self.path("alerts"), ALERTS, "source string", "batch_id bigint", f"{MONTH} int"
+            self.spark, self.path("alerts"), ALERTS, "source string", f"{DAY} int", "batch_id bigint"
         )
         return table if start is None else since(table, start, "created_at")
 
@@ -73,10 +96,12 @@ class Store:
 
         The monitor's predictions replace those of the ingest stream, which only ever appends.
         """
-        span = f"{partition_column(self.prediction_unit)} int"
+        column = partition_column(self.prediction_unit)
+        span = f"{column} int"
+        finish_upsert(self.spark, self.path("predictions"), STORED_PREDICTIONS, column)
         upserted = read_table(self.spark, self.path("predictions"), STORED_PREDICTIONS, span)
         streamed = read_table(
-            self.spark, self.path("predictions_streamed"), STORED_PREDICTIONS, "batch_id bigint", span
+            self.spark, self.path("predictions_streamed"), STORED_PREDICTIONS, span, "batch_id bigint"
         )
         if start is not None:
             upserted, streamed = since(upserted, start), since(streamed, start)
@@ -105,9 +130,25 @@ class Store:
         append_batch(rows, self.path("predictions_streamed"), batch_id, (partition_column(self.prediction_unit),))
 
     def append_alerts(self, alerts: DataFrame, source: str, batch_id: int) -> None:
-        """Append alerts, which are open, with the month of their reading."""
-        rows = with_partition(alerts.withColumn("status", F.lit("Open")), "month", "created_at")
-        append_batch(rows, self.path("alerts", source), batch_id, (MONTH,))
+        """Append alerts, which are open, with the day of their reading.
+
+        An alert's id is a hash of its reading and rule, so it is the same when the batch is repeated.
+        """
+        opened = alerts.withColumns({
+            "status": F.lit("Open"),
+            "alert_id": F.xxhash64("record_id", "alert_type", "detection_method", F.lit(source)),
+        })
+        rows = with_partition(opened, "day", "created_at")
+        append_batch(rows, self.path("alerts", source), batch_id, (DAY,))
+
+    def append_quarantine(self, rejected: DataFrame, batch_id: int) -> None:
+        """Keep rejected rows whole, as text, so that no type can stop them."""
+        columns = [c for c in rejected.columns if c != "violations"]
+        rows = rejected.select(
+            "record_id", "station_id", "ts", F.array_join("violations", ",").alias("violations"),
+            F.to_json(F.struct(*columns)).alias("reading"),
+        )
+        append_batch(rows, self.path("quarantine"), batch_id)
 
     def upsert_predictions(self, scored: DataFrame) -> None:
         """Insert or replace predictions by record; only the time spans of the given readings are rewritten."""
@@ -117,37 +158,39 @@ class Store:
         )
 
     def append_metrics(self, metrics: DataFrame, source: str, batch_id: int, recorded_at: Column) -> None:
-        """Append named values. Ids repeat when a batch is repeated; a batch has at most 499 names."""
-        first = batch_id * 1000 + 500 * SOURCES.index(source)
-        names = metrics.agg(F.expr("array_sort(collect_set(metric_name))")).scalar()
-        rows = metrics.withColumn("_names", names).withColumn("recorded_at", recorded_at).selectExpr(
-            f"{first}L + array_position(_names, metric_name) as metric_id",
+        """Append named values. An id is a hash of writer, batch and name, so a repeated batch has the same ids."""
+        rows = metrics.withColumn("recorded_at", recorded_at).selectExpr(
+            f"xxhash64('{source}', {batch_id}L, metric_name) as metric_id",
             "metric_name", "cast(metric_value as double) as metric_value", "metric_unit", "recorded_at",
         )
         append_batch(rows.coalesce(1), self.path("system_metrics", source), batch_id)
 
-    def retain_metrics(self, source: str, keep: int = 1000) -> None:
-        """Rewrite a writer's metrics with its newest ``keep`` rows; staged first, so it can be repeated.
+    def retain_metrics(self, keep: int = 1000) -> None:
+        """Remove the batches of all writers that have no row among the newest ``keep``.
 
-        The newest ``keep`` rows of all writers together are among what their folders keep.
+        Nothing is rewritten, so a run that fails loses nothing and can be repeated. The batch in which the
+        newest rows begin stays whole.
         """
-        staged = scratch_path(self.spark, "metrics")
-        mine = self.metrics().where(F.col("source") == source).drop("source")
-        # At most ``keep`` rows, so one file.
-        retain_latest_metrics(mine, keep).coalesce(1).write.parquet(staged)
-        self.spark.read.parquet(staged).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("batch_id").parquet(self.path("system_metrics", source))
+        kept = retain_latest_metrics(self.metrics(), keep).select("source", "batch_id").distinct().collect()
+        kept_folders = {f"source={row['source']}/batch_id={row['batch_id']}" for row in kept}
+        for folder in folders.matching(self.spark, f"{self.path('system_metrics')}/source=*/batch_id=*"):
+            if "/".join(folder.split("/")[-2:]) not in kept_folders:
+                folders.remove(self.spark, folder)
 
     def save_model(self, state: DataFrame, source: str, version: int) -> None:
         append_batch(state.coalesce(1), self.path("model", source), version)
 
     def model_before(self, source: str, version: int) -> DataFrame | None:
-        """The newest model state older than ``version``; ``None`` when there is none."""
-        states = read_table(
-            self.spark, self.path("model", source), fields(STATE), "batch_id bigint"
-        )
-        newest = states.where(F.col("batch_id") < version).agg(F.max("batch_id")).first()[0]
-        if newest is None:
-            return None
-        return states.where(F.col("batch_id") == newest).drop("batch_id")
+        """The newest model state older than ``version``; ``None`` when there is none.
+
+        Found by the folders' names, so only the file of one state is opened. The older of the kept states
+        are removed: a repeated batch needs the one before it.
+        """
+        found = {
+            int(folder.rpartition("=")[2]): folder
+            for folder in folders.matching(self.spark, f"{self.path('model', source)}/batch_id=*")
+        }
+        older = sorted(v for v in found if v < version)
+        for stale in older[:-KEPT_MODELS]:
+            folders.remove(self.spark, found[stale])
+        return read_table(self.spark, found[older[-1]], fields(STATE)) if older else None

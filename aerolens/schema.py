@@ -88,7 +88,7 @@ LENGTHS = {
     "detection_method": 50, "model_version": 20, "metric_name": 100, "metric_unit": 20,
 }
 
-# Columns of the older table layout and their canonical names.
+# Columns of the older table layout and their canonical names.
 RENAMED = {
     "reading_id": "record_id",
     "timestamp": "ts",
@@ -96,10 +96,10 @@ RENAMED = {
     "wind_speed_ms": "wind_speed",
 }
 
-# A DEFAULT fills a column that a writer leaves out; an explicit NULL stays NULL.
+# Fixed values. A DEFAULT fills a column that a writer leaves out; an explicit NULL stays NULL.
 DEFAULTS = {"status": "Normal", "data_quality_score": 1.0}
 
-# Feature sets of the detectors and classifiers.
+# Feature sets of the detectors and classifiers.
 MONITOR_FEATURES = [
     "co2_ppm", "pm25", "pm10", "no2_ppm", "o3_ppm",
     "temperature_c", "humidity", "wind_speed", "atmospheric_pressure",

@@ -5,6 +5,9 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 from pathlib import Path
 
@@ -62,6 +65,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/aerolens/{name}-{uuid.uuid4().hex}"
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``materialized`` writes inside this block, for jobs that store their results elsewhere."""
+    from aerolens.sources.folders import remove
+
+    outer = _made.set([])
+    try:
+        yield
+    finally:
+        for path in _made.get() or []:
+            remove(spark, path)
+        _made.reset(outer)
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -69,5 +89,8 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     the columns they need.
     """
     path = scratch_path(df.sparkSession, name)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aerolens.operators.keyed import upsert
 from aerolens.schema import READINGS, fields
-from aerolens.session import scratch_path
+from aerolens.sources import folders
 
-MONTH = "ts_month"
+#: Stored tables are cut by day first and by batch below, so a window lists the folders of its days only.
+DAY = "ts_day"
+#: The batch of rows that were loaded in bulk.
+BULK = -1
 
 # Time partition columns and their text patterns; the values are integers such as 2024010123.
 PARTITIONS = {"month": "yyyyMM", "day": "yyyyMMdd", "hour": "yyyyMMddHH"}
@@ -26,24 +29,27 @@ def partition_column(unit: str) -> str:
     return f"ts_{unit}"
 
 
-def with_partition(df: DataFrame, unit: str = "month", time_column: str = "ts") -> DataFrame:
+def with_partition(df: DataFrame, unit: str = "day", time_column: str = "ts") -> DataFrame:
     """Add a time partition column."""
     text = f"cast(date_format({time_column}, '{PARTITIONS[unit]}') as int)"
     return df.withColumn(partition_column(unit), F.expr(text))
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write readings by month.
+def write_partitioned(
+    df: DataFrame, path: str, mode: str = "overwrite", unit: str = "day", batch_id: int = BULK
+) -> None:
+    """Write readings in bulk, by day and as one batch, so that streams can append to the same table.
 
-    Rows are ranged by time, so a busy month or station is spread over many tasks and each
+    Rows are ranged by time, so a busy day or station is spread over many tasks and each
     file covers a short time span; inside a file they are sorted by station for row-group skipping.
     """
     (
-        with_partition(df)
+        with_partition(df, unit)
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .repartitionByRange("ts", "record_id")
-        .sortWithinPartitions(MONTH, "station_id", "ts")
+        .sortWithinPartitions(partition_column(unit), "station_id", "ts")
         .write.mode(mode)
-        .partitionBy(MONTH)
+        .partitionBy(partition_column(unit), "batch_id")
         .parquet(path)
     )
 
@@ -52,15 +58,15 @@ EPOCH = dt.datetime(1970, 1, 1)
 
 
 def latest_ts(readings: DataFrame) -> dt.datetime | None:
-    """Newest time in a month-partitioned table; reads the times of the newest month only.
+    """Newest time in a day-partitioned table; reads the times of the newest day only.
 
-    Looking up the newest month still opens every file, so regular jobs should pass their own time.
+    Looking up the newest day still opens every file, so regular jobs should pass their own time.
     """
-    newest = readings.agg(F.max(MONTH)).first()[0]
+    newest = readings.agg(F.max(DAY)).first()[0]
     if newest is None:
         return None
     # Epoch microseconds, so the result does not depend on the Python process's time zone.
-    micros = readings.where(F.col(MONTH) == newest).agg(F.expr("unix_micros(max(ts))")).first()[0]
+    micros = readings.where(F.col(DAY) == newest).agg(F.expr("unix_micros(max(ts))")).first()[0]
     return EPOCH + dt.timedelta(microseconds=micros)
 
 
@@ -99,7 +105,7 @@ def scan_readings(
 
     ``as_of`` is a naive UTC time, by default the newest one stored.
     """
-    table = read_table(spark, path, schema, f"{MONTH} int")
+    table = read_table(spark, path, schema, f"{DAY} int", "batch_id bigint")
     as_of = as_of or latest_ts(table)
     if as_of is None:
         window = table.where("false")
@@ -120,23 +126,25 @@ def stream_readings(
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Append one batch under its own ``batch_id`` partition.
+    """Append one batch: its own ``batch_id`` folder below each of the ``partition_by`` folders it has rows for.
 
-    Writing the same batch again replaces exactly the partitions it wrote, so a replay after a
-    lost executor or driver adds nothing. ``batch_id`` leads the layout: one batch is one folder.
+    Writing a batch again first removes all its folders, so a replay replaces the whole batch also
+    if it has other or fewer rows, and one after a lost executor or driver adds nothing.
     """
+    spark = df.sparkSession
+    for folder in folders.matching(spark, "/".join([path, *["*"] * len(partition_by), f"batch_id={batch_id}"])):
+        folders.remove(spark, folder)
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", *partition_by)
+        .write.mode("append")
+        .partitionBy(*partition_by, "batch_id")
         .parquet(path)
     )
 
 
 def append_readings(df: DataFrame, path: str, batch_id: int) -> None:
     """Append readings; their keys travel with the rows, so no ids are read back."""
-    append_batch(with_partition(df), path, batch_id, partition_by=(MONTH,))
+    append_batch(with_partition(df), path, batch_id, partition_by=(DAY,))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, *partitions: str) -> DataFrame:
@@ -156,10 +164,11 @@ def upsert_partitions(
 ) -> None:
     """Upsert ``new`` into a table partitioned by ``partition``, rewriting touched partitions only.
 
-    A key must always fall into the same partition. The merged rows are first written to the shared
-    folder and only then replace the partitions: the table is never read while it is overwritten,
-    and a failed run can be repeated.
+    A key must always fall into the same partition. The merged rows are first staged beside the table
+    and only then replace the partitions, so the table is never read while it is overwritten. A run that
+    failed while it replaced them is finished by the next one, or by ``finish_upsert``.
     """
+    finish_upsert(spark, path, schema, partition, new.schema[partition].dataType.simpleString())
     touched = [row[0] for row in new.select(partition).distinct().collect()]
     if not touched:
         return
@@ -171,14 +180,28 @@ def upsert_partitions(
         keys,
         order,
     )
-    staged = scratch_path(spark, "upsert")
     # Rebalancing gives each partition few files, and splits one that is too large for a task.
-    merged.hint("rebalance", partition).write.partitionBy(partition).parquet(staged)
-    (
-        read_table(spark, staged, schema, field)
-        .hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    merged.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(f"{path}/{STAGE}")
+    finish_upsert(spark, path, schema, partition, new.schema[partition].dataType.simpleString())
+
+
+#: Spark does not read folders that begin with an underscore as part of a table.
+STAGE = "_staged"
+
+
+def finish_upsert(spark: SparkSession, path: str, schema: T.StructType, partition: str, kind: str = "int") -> None:
+    """Replace the partitions of a completely staged upsert, if there is one.
+
+    A stage without Spark's mark of success was not complete, and the table had not been touched.
+    """
+    staged = f"{path}/{STAGE}"
+    if folders.exists(spark, f"{staged}/_SUCCESS"):
+        (
+            read_table(spark, staged, schema, f"{partition} {kind}")
+            .hint("rebalance", partition)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
+        folders.remove(spark, staged)

@@ -11,13 +11,15 @@ from aerolens.operators.aggregates import batch_metrics, metric_rows
 from aerolens.operators.alerts import ALERT_COLUMNS, batch_outlier_alerts, threshold_alerts
 from aerolens.operators.derive import with_aqi_bucket
 from aerolens.operators.forest import stream_forest_scores
+from aerolens.operators.keyed import first_per_key
 from aerolens.operators.model import score_aqi, update_aqi_model
 from aerolens.operators.outliers import percentile_outliers, zsum_outliers
+from aerolens.operators.quality import as_declared, checked_readings, quarantine_rows
 from aerolens.operators.statistics import exact_quantiles, settled
 from aerolens.plans.store import Store
 from aerolens.schema import STREAM_FEATURES
-from aerolens.session import materialized
-from aerolens.sources.tables import append_readings
+from aerolens.session import materialized, scratch_removed
+from aerolens.sources.tables import DAY, append_readings, with_partition
 
 MODEL_VERSION = "online-sgd-v1"
 SOURCE = "ingest"
@@ -36,6 +38,23 @@ def detect_batch(batch: DataFrame, rows: int, baseline: tuple[DataFrame, DataFra
     return percentile_outliers(scored)
 
 
+def admit_batch(store: Store, arrived: DataFrame, batch_id: int, check_stations: bool = True) -> DataFrame:
+    """The rows of a batch that are new and pass all checks, as declared; the others are quarantined or known.
+
+    A reading is new if no other batch has stored its key for its day, however late or early the row arrives. Only
+    the keys of the days in the batch are read. Stations are checked once there are any.
+    """
+    stations = store.stations()
+    if not check_stations or stations.limit(1).count() == 0:
+        stations = None
+    checked = materialized(checked_readings(arrived, stations), "checked")
+    store.append_quarantine(quarantine_rows(checked), batch_id)
+    good = with_partition(first_per_key(as_declared(checked), ["record_id"], [F.asc("ts"), F.asc("station_id")]))
+    days = [row[0] for row in good.select(DAY).distinct().collect()]
+    known = store.keys_of_days(days, but_batch=batch_id)
+    return good.drop(DAY).join(known, "record_id", "left_anti").select(*good.drop(DAY).columns)
+
+
 def process_batch(
     store: Store,
     batch: DataFrame,
@@ -44,6 +63,7 @@ def process_batch(
     before: int = 0,
     started: float | None = None,
     baseline: tuple[DataFrame, DataFrame] | None = None,
+    check_stations: bool = True,
 ) -> int:
     """Everything that happens to one micro-batch; returns its number of readings.
 
@@ -51,15 +71,17 @@ def process_batch(
     before this batch. So a replay of the batch writes the same rows to the same places.
     ``before`` and ``started`` are the readings and the time since the run began.
     """
-    batch = with_aqi_bucket(batch)
     begun = time.monotonic()
+    batch = with_aqi_bucket(admit_batch(store, batch, batch_id, check_stations))
     append_readings(batch, store.path("readings"), batch_id)
     latency_ms = (time.monotonic() - begun) * 1000.0
-    # The many steps that follow read the stored rows: they are de-duplicated once, survive lost
+    # The many steps that follow read the stored rows: they are checked once, survive lost
     # executors, and are planned like any table, with the number of tasks fitted to their size.
     batch = store.readings_of_batch(batch_id, batch.schema)
     rows = batch.count()
-    if not rows:  # a batch that only moves the watermark
+    if not rows:
+        # What an earlier try may have written goes too.
+        store.append_alerts(batch_outlier_alerts(zsum_outliers(batch)).select(*ALERT_COLUMNS), SOURCE, batch_id)
         return 0
 
     flagged = detect_batch(batch, rows, baseline)
@@ -92,31 +114,27 @@ def run_ingest_stream(
     readings: DataFrame,
     store: Store,
     *,
-    lateness: str = "2 minutes",
     trigger: dict | None = None,
     baseline: tuple[DataFrame, DataFrame] | None = None,
-    max_files: int | None = None,
+    check_stations: bool = True,
 ) -> StreamingQuery:
-    """Start the stream. Copies of a reading that arrive within ``lateness`` are dropped.
+    """Start the stream. Every reading that passes the checks is stored exactly once, however late it is.
 
-    ``baseline`` takes two forests fitted on earlier readings; without it batches are judged by z-scores.
-    ``max_files`` keeps small batches from being written as one file per shuffle partition; leave it
-    out when every partition fills a file.
+    ``baseline`` takes two forests fitted on earlier readings; without it batches are judged by z-scores. With
+    ``check_stations`` readings of stations the store does not know are quarantined, once it knows any.
     """
     started = time.monotonic()
     progress = {"rows": 0}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if max_files is not None:
-            batch = batch.coalesce(max_files)
-        progress["rows"] += process_batch(
-            store, batch, batch_id, before=progress["rows"], started=started, baseline=baseline
-        )
+        with scratch_removed(spark):
+            progress["rows"] += process_batch(
+                store, batch, batch_id, before=progress["rows"], started=started, baseline=baseline,
+                check_stations=check_stations,
+            )
 
     return (
-        readings.withWatermark("ts", lateness)
-        .dropDuplicatesWithinWatermark(["record_id"])
-        .writeStream.foreachBatch(handle)
+        readings.writeStream.foreachBatch(handle)
         .option("checkpointLocation", store.path("_checkpoints/ingest"))
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()

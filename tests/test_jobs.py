@@ -105,9 +105,9 @@ def test_scan_prunes_months(spark, frame):
     )
     assert sorted(r.record_id for r in scanned.collect()) == [5]
     plan = scanned._jdf.queryExecution().executedPlan().toString()
-    assert "(ts_month#" in plan.split("PartitionFilters")[1].split("]")[0] and "GreaterThanOrEqual(ts," in plan
+    assert "(ts_day#" in plan.split("PartitionFilters")[1].split("]")[0] and "GreaterThanOrEqual(ts," in plan
     assert scan_readings(spark, path, minutes=1, schema=many.schema).count() == 1  # from the newest reading back
-    assert spark.read.parquet(path).select("ts_month").distinct().count() == 6
+    assert spark.read.parquet(path).select("ts_day").distinct().count() == 6
 
 
 def test_upsert_rewrites_touched_partitions_only(spark, small):
