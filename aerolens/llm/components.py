@@ -1,8 +1,10 @@
-"""Connected components of a link table, by rounds of least labels and pointer jumps."""
+"""Links inside groups of candidates without all their pairs, and connected components of links."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from aerolens.session import materialized
 
@@ -33,3 +35,59 @@ def components(links: DataFrame) -> DataFrame:
         labels = step.select("node", F.col("to").alias("component"))
         if not step.where(F.col("to") != F.col("was")).limit(1).count():
             return labels
+
+
+def ordered_pair(left: str, right: str) -> list[Column]:
+    x, y = F.col(f"{left}.id"), F.col(f"{right}.id")
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def links_in_groups(
+    members: DataFrame,
+    keys: Sequence[str],
+    centre: Sequence[str],
+    possible: Callable[[str, str], Column],
+    verified: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Links ``a, b`` that give the same components as all links between members of one group.
+
+    ``members`` has the ``keys`` of a group and a member's ``id``; ``possible`` says by the columns of two aliased members
+    whether they may be linked, ``verified`` keeps the linked ones of pairs ``a, b``. First each member is compared with
+    its group's centre, the least by the ``centre`` columns: one row per member, which joins groups of near
+    copies. Only groups whose members are then still in several components go on, and there only pairs across
+    components are compared. ``members`` must be stored, as it is read several times.
+    """
+    keys = list(keys)
+    others = [c for c in members.columns if c not in (*centre, "id")]
+    centres = materialized(
+        members.groupBy(*keys).agg(F.min(F.struct(*centre, "id", *others)).alias("c"), F.count("*").alias("size"))
+        .where("size > 1").select(*keys, "c"), "centres",
+    )
+    near = members.alias("m").join(centres, keys).select(F.struct("m.*").alias("m"), "c")
+    star = near.where((F.col("m.id") != F.col("c.id")) & possible("m", "c")).select(*ordered_pair("m", "c"))
+    star = materialized(star.distinct(), "star")
+    links = materialized(verified(star), "links")
+
+    held = members.join(centres.select(*keys), keys, "left_semi").join(
+        components(links).withColumnRenamed("node", "id"), "id", "left"
+    ).withColumn("component", F.coalesce("component", "id"))
+    still = held.groupBy(*keys).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
+    ).where("low <> high and size > 2")
+    rest = materialized(held.join(materialized(still.select(*keys), "open"), keys), "rest")
+    x, y = rest.alias("x"), rest.alias("y")
+    same = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in keys]
+    across = x.join(y, [*same, F.col("x.id") < F.col("y.id")]).where(
+        (F.col("x.component") != F.col("y.component")) & possible("x", "y")
+    )
+    across = across.select(*ordered_pair("x", "y")).distinct().join(star, ["a", "b"], "left_anti")
+    return links.union(materialized(verified(materialized(across, "across")), "links"))
+
+
+def verified_by_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets (``id, tokens``) are similar: ``100 * both >= percent * either``."""
+    with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("tokens_b")), "b")
+    both = with_b.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("tokens_a")), "a")
+    shared = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("bigint")
+    counted = both.select("a", "b", shared.alias("same"), (F.size("tokens_a") + F.size("tokens_b")).alias("total"))
+    return counted.where(100 * F.col("same") >= percent * (F.col("total") - F.col("same"))).select("a", "b")

@@ -9,8 +9,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from aerolens.llm.common import WORD, fold_ascii, prepared
+from aerolens.llm.common import WORD, fold_ascii, id_key, prepared
+from aerolens.llm.components import components, links_in_groups, verified_by_sets
 from aerolens.llm.shingles import mixed, shingles
+from aerolens.session import materialized
 
 PERMUTATIONS = 128
 WORDS = 5
@@ -131,3 +133,49 @@ def fingerprints(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
         work, "id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double",
     ).withColumnRenamed("id", id_column)
+
+
+#: Entries of a signature in one band: sets of similarity 0.8 share one of 32 such bands with a chance of 0.99999.
+BAND = 4
+
+
+def near_duplicates(
+    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", percent: int = 80
+) -> DataFrame:
+    """``id, component_id`` of every document: the smallest id that links of similar documents lead to.
+
+    Documents that share a band of their signatures are candidates, found by a join on the band; a link is verified on
+    the exact sets of five-word shingles. Equal sets are put together first, and ``links_in_groups`` keeps groups of near
+    copies from becoming all their pairs. A text without words is linked with nothing, a null id is one id.
+    """
+    prepared(docs.sparkSession)
+    texts = docs.select(id_key(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    names = ["id", "digest", "bands", "tokens"]
+
+    def work(arrived):
+        for batch in arrived:
+            out = []
+            for key, text in zip(*(c.to_pylist() for c in batch.columns)):
+                tokens = shingles(WORD.findall(fold_ascii(text)), WORDS)
+                bits = signature(text).tobytes()
+                bands = [bytes([i]) + bits[2 * BAND * i : 2 * BAND * (i + 1)] for i in range(PERMUTATIONS // BAND)]
+                out.append((key, hashlib.sha256(tokens.tobytes()).digest(), bands if len(tokens) else [], tokens.view(np.int64)))
+            kinds = [pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 4, kinds)], names)
+
+    signed = materialized(
+        texts.mapInArrow(work, "id bigint, digest binary, bands array<binary>, tokens array<bigint>"), "signatures"
+    )
+    first = signed.where("size(bands) > 0").groupBy("digest").agg(F.min("id").alias("first"))
+    leaders = signed.join(first, "digest").where("id = first").dropDuplicates(["id", "digest"])
+    members = materialized(leaders.select("id", F.explode("bands").alias("band")).distinct(), "members")
+    sets = materialized(leaders.select("id", "tokens"), "sets")
+    links = links_in_groups(
+        members, ["band"], [], lambda x, y: F.lit(True), lambda pairs: verified_by_sets(pairs, sets, percent)
+    )
+    copies = signed.join(first, "digest").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    found = components(links.union(copies).distinct())
+    ids = signed.select("id").distinct()
+    return ids.join(found, ids["id"] == found["node"], "left").select(
+        F.when(F.col("id") != 2**63 - 1, F.col("id")).alias(id_column), F.coalesce("component", "id").alias("component_id")
+    )
