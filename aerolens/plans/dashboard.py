@@ -10,6 +10,10 @@ from aerolens.operators import aggregates, joins, series
 from aerolens.plans.store import Store
 
 
+#: Days looked at for the newest alerts, before all are.
+ALERT_DAYS = (1, 30)
+
+
 class Dashboard:
     """What the monitoring page shows. ``as_of`` defaults to the newest reading."""
 
@@ -30,6 +34,13 @@ class Dashboard:
         )
 
     def alerts(self, limit: int = 200) -> DataFrame:
+        """Newest alerts with a station. Older days are read only if the newest do not have enough."""
+        for days in ALERT_DAYS if self.as_of else ():
+            newest = joins.alerts_with_station(
+                self.store.alerts(self.as_of - dt.timedelta(days=days)), self.store.stations(), limit
+            )
+            if newest.count() == limit:
+                return newest
         return joins.alerts_with_station(self.store.alerts(), self.store.stations(), limit)
 
     def metrics(self, limit: int = 100) -> DataFrame:
