@@ -16,8 +16,8 @@ from aerolens.session import materialized
 
 PERMUTATIONS = 128
 WORDS = 5
-#: Shingles that all permutations go over at once.
-BLOCK = 4096
+#: Shingles that all permutations go over at once: half a megabyte of hashes.
+BLOCK = 512
 _RANDOM = np.random.default_rng(20240229)
 FACTORS = _RANDOM.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
@@ -33,9 +33,9 @@ def signature(text: str | None) -> np.ndarray:
         return EMPTY
     least = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for begin in range(0, len(found), BLOCK):
-        values = found[begin : begin + BLOCK]
-        for i in range(PERMUTATIONS):
-            least[i] = min(least[i], (values * FACTORS[i] + SHIFTS[i]).min())
+        hashed = found[begin : begin + BLOCK, None] * FACTORS
+        hashed += SHIFTS
+        np.minimum(least, hashed.min(axis=0), out=least)
     bits = (mixed(least) >> np.uint64(48)).astype(">u2")
     # What stands for an empty text is never the fingerprint of another.
     bits[0] &= 0xFFFE
@@ -85,7 +85,8 @@ def in_order(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     placed = dealt.select("*", F.posexplode("_to").alias("_place", "_bucket")).select(
         F.col("_bucket").alias("bucket"), (F.col("_place") > 0).alias("guest"), "_key", "_tie", "id", "text"
     )
-    return placed.repartition(count, "bucket").sortWithinPartitions(
+    # A bucket for each partition; by hash some would get several.
+    return placed.repartitionById(count, F.col("bucket")).sortWithinPartitions(
         "bucket", "guest", F.desc("_key"), F.desc("_tie")
     ).select("bucket", "guest", "id", "text")
 
