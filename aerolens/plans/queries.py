@@ -738,6 +738,19 @@ def isolation_forest_fit(t):
     )
 
 
+@query("select cast(t as int) as tree_id, true as is_binary, true as is_whole from range(200) r(t)")
+def isolation_forest_shape(t):
+    """Every tree has one more leaf than splits, and its nodes are numbered without gaps."""
+    nodes = forest.fit_isolation_forest(gated_week(t), MONITOR_FEATURES, trees=200, max_samples=1000)
+    counted = nodes.groupBy("tree_id").agg(
+        F.expr("count_if(feature < 0)").alias("leaves"), F.count("*").alias("nodes"), F.max("node_id").alias("last")
+    )
+    return counted.select(
+        "tree_id", (F.col("nodes") == 2 * F.col("leaves") - 1).alias("is_binary"),
+        (F.col("last") == F.col("nodes") - 1).alias("is_whole"),
+    )
+
+
 @query()
 def isolation_forest_score(t):
     window = gated_week(t).select("record_id", "station_id", *FOREST_FEATURES)
@@ -868,6 +881,39 @@ def score_aqi(t):
     return model.score_aqi(window, model.train_aqi_model(training_rows(t))).drop("ts")
 
 
+_STATE_VALUES = {c: f"coalesce({c}, (select median({c}) from train))" for c in STREAM_FEATURES}
+
+
+@query(
+    """, train as (select * from labelled where data_quality_score > cast(0.8 as double) and pm25 is not null
+         and co2_ppm is not null and aqi_bucket is not null)
+    """ + " union all ".join(
+        f"select '{c}' as feature, 2.0::double * count(*) as n, round(avg({x}), 6) as mean, round(2 * var_pop({x}) * count(*), 3) as m2"
+        " from train" for c, x in _STATE_VALUES.items()
+    ),
+    "labelled",
+)
+def model_state_moments(t):
+    """Count, mean and squared deviations that the model state has after two steps on the same rows."""
+    training = training_rows(t)
+    state = model.update_aqi_model(training, STREAM_FEATURES, model.update_aqi_model(training, STREAM_FEATURES))
+    return state.where(F.col("feature").isin(STREAM_FEATURES)).select(
+        "feature", "n", F.round("mean", 6).alias("mean"), F.round("m2", 3).alias("m2")
+    )
+
+
+@query("select record_id, true as sums_to_one, true as is_likeliest from w", "w")
+def score_aqi_consistent(t):
+    """Probabilities of every scored reading add up to one, and the label has the largest of them."""
+    state = model.update_aqi_model(training_rows(t), STREAM_FEATURES)
+    chances = [f"proba_{name.lower()}" for name in AQI_LABELS]
+    of_label = F.expr("case aqi_pred " + " ".join(f"when '{n}' then proba_{n.lower()}" for n in AQI_LABELS) + " end")
+    return model.score_aqi(gated_week(t), state).select(
+        "record_id", (F.abs(F.expr(" + ".join(chances)) - 1) < 1e-9).alias("sums_to_one"),
+        ((of_label == F.greatest(*chances)) & (F.col("confidence_score") == of_label)).alias("is_likeliest"),
+    )
+
+
 @query(
     """select record_id, station_id, 'Good' as aqi_pred, cast(0.25 as double) as proba_good,
          cast(0.25 as double) as proba_moderate, cast(0.25 as double) as proba_unhealthy,
@@ -950,9 +996,8 @@ def run_ingest_stream_query(t):
     return rounded(store.alerts().select(*columns), "anomaly_score")
 
 
-@query()
-def run_monitor_cycle(t):
-    """Metrics written by two monitoring cycles over the stored readings."""
+def monitored(t: TestTables) -> Store:
+    """A store after two monitoring cycles a day apart."""
     store = Store(t.spark, scratch_path(t.spark, "monitor"), "day")
     write_partitioned(t.readings, store.path("readings"))
     as_of = store.latest()
@@ -960,7 +1005,27 @@ def run_monitor_cycle(t):
         report = run_cycle(t.spark, store, cycle=cycle, as_of=day, outlier_window=WEEK, ml_window=WEEK)
         if report.errors:
             raise RuntimeError(f"cycle {cycle}: {report.errors}")
-    return store.metrics().select("metric_id", "metric_name", "metric_value", "metric_unit", "recorded_at")
+    return store
+
+
+@query()
+def run_monitor_cycle(t):
+    """Metrics written by two monitoring cycles over the stored readings."""
+    return monitored(t).metrics().select("metric_id", "metric_name", "metric_value", "metric_unit", "recorded_at")
+
+
+@query(
+    f"""select c.cycle, 'predictions_generated' as metric_name, count(r.record_id)::double as metric_value
+        from (values (1::bigint, 1), (2::bigint, 0)) c(cycle, back) left join labelled r
+          on r.ts >= (select max(ts) from readings) - to_days(c.back) - interval '7' day
+          and r.data_quality_score > cast(0.7 as double) and r.pm25 is not null and r.co2_ppm is not null group by c.cycle
+        union all select cycle, 'total_cycles', cycle::double from (values (1::bigint), (2::bigint)) c(cycle)""",
+    "readings labelled",
+)
+def monitor_cycle_counts(t):
+    """Predictions and cycles that two monitoring cycles have counted."""
+    found = monitored(t).metrics().where(F.col("metric_name").isin("predictions_generated", "total_cycles"))
+    return found.select(F.col("batch_id").alias("cycle"), "metric_name", "metric_value")
 
 
 @query()
