@@ -224,25 +224,50 @@ def _contexts(rows: DataFrame, repeated: DataFrame, length: int, gram: int) -> D
     return materialized(rows.mapInArrow(work, schema).join(repeated, "anchor", "left_semi"), "contexts")
 
 
-def _texts_of(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``anchor, context, place, data``: the bytes of one occurrence of each wanted context."""
-    lists = wanted.groupBy("id", "row").agg(
-        *(F.collect_list(c).alias(c) for c in ("anchor", "context", "start", "windows"))
-    )
-    schema = "anchor bigint, context bigint, data binary"
+TEXTS = "hot bigint, anchor bigint, context bigint, at bigint, windows bigint, core bigint, data binary"
+
+
+def _texts_of(rows: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
+    """The bytes of one occurrence of each wanted context, and those of hot anchors already cut up.
+
+    So the texts are shuffled once for both. See ``_cut_up`` for ``at, windows, core``.
+    """
+    names = ("anchor", "context", "start", "windows", "hot")
+    lists = wanted.groupBy("id", "row").agg(*(F.collect_list(c).alias(c) for c in names))
 
     def work(arrived):
         for batch in arrived:
-            columns = [batch.column(i) for i in range(5)]
+            columns = [batch.column(i) for i in range(6)]
             out = []
             for value, *parts in zip(*columns):
-                data = _bytes(value)
-                for anchor, context, start, windows in zip(*(p.as_py() for p in parts)):
-                    out.append((anchor, context, data[start : start + windows + length - 1]))
-            yield _batch(out, schema)
+                text = _bytes(value)
+                for anchor, context, start, windows, hot in zip(*(p.as_py() for p in parts)):
+                    data = text[start : start + windows + length - 1]
+                    if hot:
+                        out.extend((1, anchor, context, *part) for part in _groups(data, anchor, length, gram))
+                    else:
+                        out.append((0, anchor, context, 0, windows, 0, data))
+            yield _batch(out, TEXTS)
 
-    found = rows.join(lists, ["id", "row"]).select("text", "anchor", "context", "start", "windows")
-    return found.mapInArrow(work, schema)
+    return materialized(rows.join(lists, ["id", "row"]).select("text", *names).mapInArrow(work, TEXTS), "texts")
+
+
+def _groups(data: bytes, anchor: int, length: int, gram: int):
+    """``at, windows, core, data`` of each group of ``CUT`` windows, counted from the anchor.
+
+    So equal windows are in equal groups. The core is what all windows of a whole group hold.
+    """
+    windows = len(data) - length + 1
+    hashes = _grams(np.frombuffer(data, dtype=np.uint8), gram)
+    place = int(np.flatnonzero(hashes.view(np.int64) == anchor)[0])
+    at = 0
+    while at < windows:
+        group = (place - at) // CUT
+        latest = place - group * CUT
+        stop = min(windows, latest + 1)
+        core = xxhash.xxh3_64_intdigest(data[latest : latest - (CUT - 1) + length], seed=group & 0xFFFF)
+        yield at, stop - at, _signed(core), data[at : stop - 1 + length]
+        at = stop
 
 
 def _compared(texts: DataFrame, length: int) -> DataFrame:
@@ -279,35 +304,15 @@ def _compared(texts: DataFrame, length: int) -> DataFrame:
     return texts.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(work, schema)
 
 
-def _cut_up(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def _cut_up(groups: DataFrame, length: int) -> DataFrame:
     """The same for anchors with very many contexts, without bringing an anchor's contexts together.
 
-    Contexts are cut into groups of ``CUT`` windows. All windows of a group hold the group's core, so groups
+    Contexts come cut into groups of ``CUT`` windows. All windows of a group hold the group's core, so groups
     whose core is found once have no repeated window; this drops what differs between the contexts. The windows of
     the others are counted by their hashes.
     """
-    cores = "anchor bigint, context bigint, at bigint, windows bigint, core bigint, data binary"
     hashes = "anchor bigint, context bigint, at bigint, h1 bigint, h2 bigint"
 
-    def cut(arrived):
-        for batch in arrived:
-            out = []
-            for anchor, context, data in zip(*(c.to_pylist() for c in batch.columns)):
-                windows = len(data) - length + 1
-                whole = np.frombuffer(data, dtype=np.uint8)
-                grams = _grams(whole, gram)
-                place = int(np.flatnonzero(grams.view(np.int64) == anchor)[0])
-                # Groups are counted from the anchor, so that equal windows are in equal groups.
-                at = 0
-                while at < windows:
-                    group = (place - at) // CUT
-                    stop = min(windows, place - group * CUT + 1)
-                    core = data[place - group * CUT : place - group * CUT - (CUT - 1) + length]
-                    digest = xxhash.xxh3_64_intdigest(core, seed=group & 0xFFFF)
-                    out.append((anchor, context, at, stop - at, _signed(digest), data[at : stop - 1 + length]))
-                    at = stop
-            yield _batch(out, cores)
-
     def split(arrived):
         for batch in arrived:
             out = []
@@ -317,7 +322,6 @@ def _cut_up(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     out.append((anchor, context, at + i, _signed(digest >> 64), _signed(digest & (2**64 - 1))))
             yield _batch(out, hashes)
 
-    groups = materialized(texts.mapInArrow(cut, cores), "cores")
     shared = materialized(groups.groupBy("anchor", "core").count().where("count > 1").drop("count"), "shared-cores")
     some = groups.join(shared, ["anchor", "core"]).select("anchor", "context", "at", "windows", "data")
     windows = materialized(some.mapInArrow(split, hashes), "windows")
@@ -352,10 +356,11 @@ def suffix_dedup(
     sizes = materialized(
         distinct.groupBy("anchor").agg(F.count("*").alias("many")).where("many > 1"), "mixed"
     )
-    wanted = distinct.join(sizes, "anchor").select("anchor", "context", "many", "one.*")
-    usual = _compared(_texts_of(rows, wanted.where(F.col("many") <= HOT), length), length)
-    hot = wanted.where(F.col("many") > HOT)
-    found = usual.unionByName(_cut_up(_texts_of(rows, hot, length), length, gram)) if hot.limit(1).count() else usual
+    hot = (F.col("many") > HOT).cast("bigint").alias("hot")
+    wanted = distinct.join(sizes, "anchor").select("anchor", "context", hot, "one.*")
+    texts = _texts_of(rows, wanted, length, gram)
+    usual = _compared(texts.where("hot = 0").select("anchor", "context", "data"), length)
+    found = usual.unionByName(_cut_up(texts.where("hot = 1").drop("hot"), length))
     copies = distinct.where("n > 1").selectExpr("anchor", "context", "array(0L, one.windows) as runs")
     runs = materialized(found.unionByName(copies), "runs")
     spans = (
