@@ -67,7 +67,7 @@ def pack(
     a null id is one id. A document above the budget is a batch of its own. Running numbers are
     added up by ranges of the order, so a bucket with a third of all rows is spread over tasks.
     """
-    spark = prepared(docs.sparkSession)
+    prepared(docs.sparkSession)
     text = F.col(text_column)
     rows = materialized(
         docs.select(
@@ -82,15 +82,12 @@ def pack(
         .orderBy("bound").toPandas()
     )
     limits = bounds(*(shape[c].to_numpy(np.int64) for c in ("bound", "n", "tokens")), buckets)
-    low = [-1, *limits[:-1]]
-    table = spark.createDataFrame(
-        [(i + 1, a, b, max(1, budget // max(1, b))) for i, (a, b) in enumerate(zip(low, limits))],
-        "bucket bigint, _low bigint, bucket_tokens bigint, _size bigint",
-    )
-    # At most ``buckets`` rows.
-    placed = rows.withColumn("_bound", rounded).join(
-        F.broadcast(table), (F.col("_bound") > F.col("_low")) & (F.col("_bound") <= F.col("bucket_tokens"))
-    )
+    # At most ``buckets`` numbers; without rows any will do.
+    upper = F.array(*(F.lit(limit).cast("bigint") for limit in limits or [0]))
+    below = F.size(F.filter(upper, lambda limit: limit < F.col("_bound")))
+    placed = rows.withColumn("_bound", rounded).withColumn("_below", below).withColumns({
+        "bucket": (F.col("_below") + 1).cast("bigint"), "bucket_tokens": F.get(upper, F.col("_below")),
+    }).withColumn("_size", F.expr(f"greatest(1L, {budget}L div greatest(1L, bucket_tokens))"))
     drawn = placed.withColumn(
         "_draw", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_id").cast("string")))
     ).withColumn("_one", F.lit(1).cast("bigint"))
