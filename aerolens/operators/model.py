@@ -64,6 +64,15 @@ def train_aqi_model(
     return pipeline.fit(prepared)
 
 
+def save_aqi_model(model: PipelineModel, path: str) -> None:
+    """Store a fully trained model, with its features, in place of an older one."""
+    model.write().overwrite().save(path)
+
+
+def load_aqi_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def model_features(model: PipelineModel | DataFrame) -> list[str]:
     """The features a model was trained on, in order."""
     if isinstance(model, DataFrame):

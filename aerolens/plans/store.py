@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from aerolens.operators.keyed import absent_rows, retain_latest_metrics
-from aerolens.operators.model import STATE
+from aerolens.operators.model import STATE, load_aqi_model, save_aqi_model
 from aerolens.schema import ALERTS, PREDICTIONS, READINGS, SENSORS, STATIONS, SYSTEM_METRICS, fields
 from aerolens.session import configure
 from aerolens.sources import folders
@@ -177,6 +178,21 @@ class Store:
             if "/".join(folder.split("/")[-2:]) not in kept_folders:
                 folders.remove(self.spark, folder)
 
+    def save_full_model(self, model: PipelineModel, name: str, version: int) -> None:
+        """Keep a fully trained model as one version; the newest loads, so a failed save changes nothing."""
+        save_aqi_model(model, f"{self.path('full_model', name)}/version={version}")
+
+    def full_model(self, name: str) -> PipelineModel | None:
+        """The newest completely saved model; ``None`` when there is none."""
+        found = {
+            int(mark.split("version=")[1].split("/")[0]): mark.removesuffix("/metadata/_SUCCESS")
+            for mark in folders.matching(self.spark, f"{self.path('full_model', name)}/version=*/metadata/_SUCCESS")
+        }
+        for version in sorted(found, reverse=True):
+            if folders.matching(self.spark, f"{found[version]}/stages/*/data/_SUCCESS"):
+                return load_aqi_model(found[version])
+        return None
+
     def save_model(self, state: DataFrame, source: str, version: int) -> None:
         append_batch(state.coalesce(1), self.path("model", source), version)
 

@@ -129,6 +129,27 @@ def test_no_labels_leave_the_state(training):
     state = model.update_aqi_model(training)
     assert model.update_aqi_model(training.where("false"), state=state) is state
     assert model.train_aqi_model(training.where("false")) is None
+
+
+def test_full_model_is_saved_and_loaded(spark, small):
+    from aerolens.operators import filters
+    from aerolens.operators.derive import with_aqi_bucket
+    from aerolens.plans.store import Store
+    from aerolens.session import scratch_path
+
+    training = filters.training_gate(with_aqi_bucket(small.readings))
+    store = Store(spark, scratch_path(spark, "models"))
+    assert store.full_model("aqi") is None
+    store.save_full_model(model.train_aqi_model(training, max_iter=1), "aqi", 1)
+    newest = model.train_aqi_model(training)
+    store.save_full_model(newest, "aqi", 2)
+    store.save_full_model(newest, "aqi", 2)  # again, as after a failure
+    loaded = store.full_model("aqi")
+    assert model.model_features(loaded) == model.model_features(newest)
+    chances = ["record_id", "aqi_pred", "confidence_score"]
+    assert model.score_aqi(training, loaded).select(*chances).exceptAll(
+        model.score_aqi(training, newest).select(*chances)
+    ).count() == 0
     assert model.update_aqi_model(training.where("false")).count() == 0
 
 
