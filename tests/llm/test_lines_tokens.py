@@ -1,6 +1,5 @@
 """Line dedup and token counts against plain Python."""
 
-import hashlib
 from collections import defaultdict
 
 from hypothesis import given, settings, strategies as st
@@ -52,11 +51,10 @@ def test_tokens_equal_the_tokenizer(edges, small_docs):
     for docs in (edges, small_docs):
         texts = [text or "" for _, text in pairs(docs)]
         expected = sorted(
-            (hashlib.md5(t.encode()).hexdigest()[:0], len(t.encode()), len(e.ids))
-            for t, e in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False))
+            (len(t.encode()), len(e.ids)) for t, e in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False))
         )
         got = token_prefixes(docs, keep_prefixes=False).collect()
-        assert sorted(("", r["n_bytes"], r["n_tokens"]) for r in got) == expected
+        assert sorted((r["n_bytes"], r["n_tokens"]) for r in got) == expected
 
 
 def test_every_prefix_is_exact(spark, nothing):
