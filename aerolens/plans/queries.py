@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aerolens.functions import ladders
 from aerolens.operators import aggregates, alerts, derive, filters, forest, joins, keyed, model, outliers, quality, series
-from aerolens.operators.statistics import exact_quantiles, impute_median
+from aerolens.operators.statistics import impute_median
 from aerolens.plans.monitor import detect_anomalies, run_cycle
 from aerolens.plans.store import Store
 from aerolens.schema import (
