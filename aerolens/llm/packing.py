@@ -17,7 +17,7 @@ def bounds(lengths: np.ndarray, counts: np.ndarray, tokens: np.ndarray, buckets:
     """Upper bounds of at most ``buckets`` buckets with the least padding, by dynamic programming.
 
     ``lengths`` are the possible bounds in rising order, with the number of documents at each and their tokens.
-    Of equal choices the one with the shorter last bucket's predecessors wins: the smallest split.
+    Of equal choices the one with the smallest split wins.
     """
     size = len(lengths)
     if not size:
