@@ -92,10 +92,10 @@ def build(languages: list[str], pairs: list[tuple[int, np.ndarray]]) -> Model:
     return Model(languages, masks, filled)
 
 
-def shares(text: str, model: Model) -> np.ndarray | None:
-    """The share of a text's n-grams each language knows, without the false positives to be expected.
+def shares(text: str, model: Model) -> tuple[np.ndarray | None, int]:
+    """The share of a text's n-grams each language knows, without the false positives to be expected, and their number.
 
-    ``None`` if the text has no letter.
+    ``None`` and 0 if the text has no letter.
     """
     total, hits = 0, np.zeros(len(model.languages))
     size, kind = len(model.masks), model.masks.dtype.type
@@ -107,9 +107,9 @@ def shares(text: str, model: Model) -> np.ndarray | None:
         for i in range(len(hits)):
             hits[i] += np.count_nonzero(found[:, i // 64] & (kind(1) << kind(i % 64)))
     if not total:
-        return None
+        return None, 0
     wrong = model.filled**HASHES
-    return np.clip((hits / total - wrong) / (1 - wrong), 0.0, 1.0)
+    return np.clip((hits / total - wrong) / (1 - wrong), 0.0, 1.0), total
 
 
 def fit(
@@ -177,8 +177,8 @@ def predict(
 ) -> DataFrame:
     """The language whose filter knows most n-grams of each text; one row per input row.
 
-    Returns the id, ``lang_pred``, ``score`` (the share known, 0 to 1) and the ``carry`` columns. A text that
-    is null or has no letter is ``und`` with score 0, as is every text if nothing was learned. Of equal
+    Returns the id, ``lang_pred``, ``score`` (the share known, 0 to 1), ``n_grams`` (how many were looked up) and the
+    ``carry`` columns. A text that is null or has no letter is ``und`` with score 0, as is every text if nothing was learned. Of equal
     shares the language learned from more documents wins. Whole texts are read, nothing is shuffled.
     """
     prepared(docs.sparkSession)
@@ -190,29 +190,31 @@ def predict(
         *(F.col(c).alias(f"_carry_{i}") for i, c in enumerate(others)),
     )
     back = given if text_column in carry else given.drop("_text")
-    schema = back.select("*", F.lit("").alias("_lang"), F.lit(0.0).alias("_score")).schema
+    schema = back.select("*", F.lit("").alias("_lang"), F.lit(0.0).alias("_score"), F.lit(0).cast("bigint").alias("_grams")).schema
     skipped = 0 if text_column in carry else 1
 
     def judge(arrived):
         model = shared.value
         for batch in arrived:
-            langs, scores = [], []
+            langs, scores, sizes = [], [], []
             for text in batch.column(0):
-                known = shares(text.as_py() or "", model) if model.languages else None
+                known, size = shares(text.as_py() or "", model) if model.languages else (None, 0)
                 lang, score = UNKNOWN, 0.0
                 if known is not None:
                     best = int(known.argmax())
                     lang, score = model.languages[best], float(known[best])
                 langs.append(lang)
                 scores.append(score)
+                sizes.append(size)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[skipped:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names[skipped:], "_lang", "_score"],
+                [*batch.columns[skipped:], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(sizes, pa.int64())],
+                [*batch.schema.names[skipped:], "_lang", "_score", "_grams"],
             )
 
     names = {c: f"_carry_{i}" for i, c in enumerate(others)} | {text_column: "_text"}
     return given.mapInArrow(judge, schema).select(
         F.col("_id").alias(id_column), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"),
+        F.col("_grams").alias("n_grams"),
         *(F.col(names[c]).alias(c) for c in carry),
     )
 

@@ -76,7 +76,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
-    return language_id(documents(spark, sf_dir)).withColumn("held_out", held_out())
+    return language_id(documents(spark, sf_dir)).drop("n_grams").withColumn("held_out", held_out())
 
 
 @query()
