@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -87,10 +87,12 @@ def mix(
     seed: int = 1,
     id_column: str = "doc_id",
     text_column: str = "text",
+    tokens: Callable[[Column], Column] = word_count,
 ) -> DataFrame:
     """How often each document enters a mixture of ``percent`` of all tokens with the given weights.
 
-    ``levels`` names the tree's levels from the top, each a SQL expression over the documents; a token is a word here.
+    ``levels`` names the tree's levels from the top, each a SQL expression over the documents. ``tokens`` gives the
+    tokens of a text column: ``token_counts.token_count`` those of a tokenizer, ``word_count`` words.
     A leaf is taken whole as often as its budget allows, at most ``epochs`` times. For the rest its documents are
     put in an order drawn from the seed and the epoch, and those are taken whose running total fits.
     Returns one row per input row: the id, ``row`` (the hash of its text), the levels, ``n_tokens``,
@@ -107,7 +109,7 @@ def mix(
     rows = materialized(
         docs.select(
             id_key(id_column).alias("_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_row"),
-            *(F.expr(sql).alias(name) for name, sql in levels.items()), word_count(text).alias("n_tokens"),
+            *(F.expr(sql).alias(name) for name, sql in levels.items()), tokens(text).alias("n_tokens"),
         ), "mix-rows",
     )
     leaves = materialized(rows.groupBy(*names).agg(F.sum("n_tokens").alias("supply")), "leaves")

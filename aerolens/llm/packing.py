@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from aerolens.llm.common import id_key, prepared, ranked
 from aerolens.llm.mixing import word_count
@@ -54,8 +56,9 @@ def pack(
     seed: int = 1,
     id_column: str = "doc_id",
     text_column: str = "text",
+    tokens: Callable[[Column], Column] = word_count,
 ) -> DataFrame:
-    """Bucket, batch and slot of every document; a token is a word here.
+    """Bucket, batch and slot of every document. ``tokens`` gives the tokens of a text column, as in ``mix``.
 
     The histogram of all lengths is global. Bounds are lengths rounded up to ``BITS`` leading bits, so the driver
     gets at most 128 rows per doubling of the length however many documents there are. All documents of
@@ -72,7 +75,7 @@ def pack(
     rows = materialized(
         docs.select(
             id_key(id_column).alias("_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_row"),
-            word_count(text).alias("n_tokens"),
+            tokens(text).alias("n_tokens"),
         ), "pack-rows",
     )
     step = f"shiftleft(1L, cast(greatest(0, length(bin(n_tokens)) - {BITS}) as int))"

@@ -3,8 +3,12 @@
 import pytest
 
 import corpus_pipeline
+from aerolens.llm.mixing import mix
+from aerolens.llm.packing import pack
+from aerolens.llm.token_counts import token_count, token_prefixes
 from tests.conftest import DATA
 from tests.llm.conftest import SF
+from tests.llm.test_lines_tokens import encode
 
 COLUMNS = corpus_pipeline.COLUMNS
 
@@ -19,3 +23,20 @@ def test_documents_in_an_unlearned_language_go(spark, foreign):
     clean = {r["doc_id"] for r in own.where("text rlike '[a-z]'").select("doc_id").collect()}
     assert len(strange) > 50 and len(strange & kept) <= 0.02 * len(strange)
     assert len(clean - kept) <= 0.002 * len(clean)
+
+
+def test_budgets_are_in_tokens(spark, edges):
+    counted = sorted(r["n_tokens"] for r in token_prefixes(edges, keep_prefixes=False).collect())
+    assert counted == sorted(r[0] for r in edges.select(token_count(edges["text"])).collect())
+    packed = pack(edges, tokens=token_count).collect()
+    mixed = mix(edges, levels={"lang": "lang"}, tokens=token_count).collect()
+    assert sorted(r["n_tokens"] for r in packed) == sorted(r["n_tokens"] for r in mixed) == counted
+    # Texts without blanks are as long as they are.
+    docs = spark.createDataFrame([(i, f"{i}ab9" * 3000, "en", "src0", 0) for i in range(9)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    sizes = {f: encode(f"{f}ab9" * 3000) for f in range(9)}
+    batches = {}
+    for r in corpus_pipeline.pack_batches(spark, docs, SF).collect():
+        batches.setdefault((r["bucket"], r["batch"]), []).append(sizes[r["doc_id"]])
+    assert all(len(b) == 1 or len(b) * max(b) <= corpus_pipeline.BATCH_TOKENS for b in batches.values())
+    taken = [sizes[r["doc_id"]] for r in corpus_pipeline.mix_sources(spark, docs, SF).collect()]
+    assert sum(sizes.values()) * 75 // 100 - max(sizes.values()) <= sum(taken) <= sum(sizes.values()) * 75 // 100
