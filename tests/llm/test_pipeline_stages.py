@@ -40,3 +40,19 @@ def test_budgets_are_in_tokens(spark, edges):
     assert all(len(b) == 1 or len(b) * max(b) <= corpus_pipeline.BATCH_TOKENS for b in batches.values())
     taken = [sizes[r["doc_id"]] for r in corpus_pipeline.mix_sources(spark, docs, SF).collect()]
     assert sum(sizes.values()) * 75 // 100 - max(sizes.values()) <= sum(taken) <= sum(sizes.values()) * 75 // 100
+
+
+def test_every_text_is_a_node_of_its_own(spark):
+    def text(n, last="end"):
+        return " ".join(f"w{n}x{i}" for i in range(60)) + " " + last
+
+    rows = [
+        (1, text(1)), (None, text(1, "near")), (None, text(2)), (None, text(3)), (2, text(2, "near")), (3, text(3, "near")),
+        (None, text(4)), (None, text(4)), (5, text(5)), (5, text(5)), (5, text(6)), (None, text(7)), (6, ""),
+    ]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted([
+        (1, text(1)), (2, text(2, "near")), (3, text(3, "near")), (None, text(4)), (5, text(5)), (5, text(6)), (None, text(7)), (6, ""),
+    ], key=repr)
+    assert kept.columns == COLUMNS
