@@ -8,12 +8,16 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from aerolens.llm.common import WORD, id_key, prepared
+from aerolens.session import materialized
 
-#: Turns that are looked at together; windows do not reach over their ends.
+#: Turns whose windows are written together; windows and history reach over their ends.
 BLOCK_TURNS = 256
+#: Code points of a text by which turns of equal number and role are dealt out.
+HEAD_CHARS = 64
 #: Tokens of a turn's marks.
 MARKS = 3
 TURN = re.compile(r"### ([^:]*): ([^<]*)</turn>\n")
@@ -42,14 +46,17 @@ def words(text: str) -> int:
     return len(WORD.findall(text))
 
 
-def spans(tokens: np.ndarray, fixed: int, budget: int, history: int, history_budget: int) -> list[tuple[int, int, int]]:
+def spans(
+    tokens: np.ndarray, fixed: int, budget: int, history: int, history_budget: int, begin: int = 0, whole: bool = True
+) -> list[tuple[int, int, int]]:
     """``(first repeated, first new, end)`` of each window, from prefix sums of the turns' tokens.
 
     A window repeats up to ``history`` turns of at most ``history_budget`` tokens and goes on with as many new turns
     as fit beside them and ``fixed`` tokens; one new turn at least, so that a longer turn has a window alone.
+    The first new turn is ``begin``. If more turns are to come, not ``whole``, a window that they may go on is left out.
     """
     total = np.concatenate([[0], np.cumsum(tokens)])
-    found, begin = [], 0
+    found = []
     while begin < len(tokens):
         back = max(begin - history, int(np.searchsorted(total, total[begin] - history_budget)))
         room = budget - fixed - (total[begin] - total[back])
@@ -57,41 +64,127 @@ def spans(tokens: np.ndarray, fixed: int, budget: int, history: int, history_bud
         if end <= begin:  # without history there may be room
             back = begin
             end = max(begin + 1, int(np.searchsorted(total, total[begin] + budget - fixed, side="right")) - 1)
+        if end == len(tokens) and not whole:
+            break
         found.append((back, begin, end))
         begin = end
     return found
 
 
-def windows(turns: list[tuple[str, str]], system: str | None, rules: dict) -> list[tuple]:
-    """``text, new_from, starts, ends`` of each window of a block of turns.
+def window(repeated: list[tuple[str, str]], new: list[tuple[str, str]]) -> tuple:
+    """``text, new_from, starts, ends`` of one window."""
+    parts, starts, ends = [render(role, text)[0] for role, text in repeated], [], []
+    size = new_from = sum(map(len, parts))
+    for role, text in new:
+        turn, start, stop = render(role, text)
+        if role == "assistant":
+            starts.append(size + start)
+            ends.append(size + stop)
+        parts.append(turn)
+        size += len(turn)
+    return "".join(parts), new_from, starts, ends
 
-    ``system`` is the text of a system turn before the block. A system turn that opens the block is repeated too.
+
+def numbered(rows: DataFrame, count: Callable[[str], int]) -> DataFrame:
+    """``conv, block, place, role, text, tokens``: the turns of each conversation numbered from 0, in blocks.
+
+    Turns are dealt out by ranges of their order, so a long conversation is spread over tasks whatever its turn numbers
+    are. Each range counts its own; only the first conversation of a range goes on from earlier ones.
     """
-    count = rules["count"]
-    if system is None and turns[0][0] == "system":
-        system, opens = turns[0][1], True
-    else:
-        opens = False
-    tokens = np.array([count(text) + MARKS for _, text in turns])
-    fixed = 0 if system is None else count(system) + MARKS
-    out = []
-    for back, begin, end in spans(tokens, fixed, rules["budget"], rules["history"], rules["history_budget"]):
-        repeated = [] if system is None or (opens and begin == 0) else [("system", system)]
-        repeated += turns[max(back, int(opens)) : begin]
-        parts, starts, ends, size = [], [], [], 0
-        for role, text in repeated:
-            parts.append(render(role, text)[0])
-            size += len(parts[-1])
-        new_from = size
-        for role, text in turns[begin:end]:
-            turn, start, stop = render(role, text)
-            if role == "assistant":
-                starts.append(size + start)
-                ends.append(size + stop)
-            parts.append(turn)
-            size += len(turn)
-        out.append(("".join(parts), new_from, starts, ends))
-    return out
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def work(arrived):
+        part, current, place = TaskContext.get().partitionId(), None, 0
+        for batch in arrived:
+            places, sizes = [], []
+            for conv, text in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+                place = place + 1 if conv == current else 0
+                current = conv
+                places.append(place)
+                sizes.append(count(text) + MARKS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([part] * len(places), pa.int64()), pa.array(places, pa.int64()),
+                 batch.column(2), batch.column(3), pa.array(sizes, pa.int64())],
+                ["conv", "part", "local", "role", "text", "tokens"],
+            )
+
+    order = ["conv", F.asc_nulls_first("turn"), "role"]
+    dealt = rows.repartitionByRange(parts, *order, F.substring("text", 1, HEAD_CHARS)).sortWithinPartitions(*order, "text")
+    turns = materialized(
+        dealt.mapInArrow(work, "conv bigint, part bigint, local bigint, role string, text string, tokens bigint"), "turns"
+    )
+    earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = turns.groupBy("conv", "part").agg(F.count("*").alias("n"))
+    later = sizes.select(F.col("conv").alias("_conv"), F.col("part").alias("_part"), F.sum("n").over(earlier).alias("before"))
+    later = materialized(later.where("before > 0"), "later")
+    # At most one row for each range.
+    joined = turns.join(F.broadcast(later), (F.col("conv") == F.col("_conv")) & (F.col("part") == F.col("_part")), "left")
+    place = F.col("local") + F.coalesce("before", F.lit(0))
+    return joined.select(
+        "conv", F.floor(place / BLOCK_TURNS).cast("bigint").alias("block"), place.alias("place"), "role", "text", "tokens"
+    )
+
+
+def planned(turns: DataFrame, budget: int, history: int, history_budget: int) -> DataFrame:
+    """What each block's windows need: ``conv, source, to, low, high, plan``.
+
+    The turns from ``low`` to before ``high`` of block ``source`` go to block ``to``, in which the windows begin. ``plan`` is
+    1 if a system turn opens the conversation, else 0, then three places of each window; once for each block.
+    Where a window begins follows from all before it, so a conversation's token counts pass through one task,
+    ``BLOCK_TURNS`` numbers a row, of which it holds those of the open window; no text does.
+    """
+    lengths = turns.groupBy("conv", "block").agg(
+        F.sort_array(F.collect_list(F.struct("place", "tokens"))).alias("counts"),
+        F.max((F.col("place") == 0) & (F.col("role") == "system")).alias("opens"),
+    ).select("conv", "block", F.transform("counts", lambda c: c["tokens"]).alias("tokens"), "opens")
+    schema = "conv bigint, source bigint, to bigint, low bigint, high bigint, plan array<bigint>"
+    names = [part.split()[0] for part in schema.split(", ")]
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
+
+    def work(arrived):
+        out: list[tuple] = []
+        current, opens, fixed, base, begin, held, ready = None, 0, 0, 0, 0, np.zeros(0, np.int64), []
+
+        def flush():
+            if ready:
+                block, low, high = ready[0][1] // BLOCK_TURNS, min(w[0] for w in ready), ready[-1][2]
+                for source in range(low // BLOCK_TURNS, (high - 1) // BLOCK_TURNS + 1):
+                    plan = [opens, *(place for w in ready for place in w)] if source == block else None
+                    out.append((current, source, block, low, high, plan))
+                if opens and low > 0:
+                    out.append((current, 0, block, 0, 1, None))
+                ready.clear()
+
+        def advance(whole):
+            nonlocal base, begin, held
+            for places in spans(held, fixed, budget, history, history_budget, begin - base, whole):
+                back, begin, end = (base + place for place in places)
+                if ready and ready[0][1] // BLOCK_TURNS != begin // BLOCK_TURNS:
+                    flush()
+                ready.append((back, begin, end))
+                begin = end
+            keep = max(base, begin - history)
+            held, base = held[keep - base :], keep
+
+        def close():
+            if current is not None:
+                advance(True)
+                flush()
+
+        for batch in arrived:
+            for conv, _, tokens, first in zip(*(c.to_pylist() for c in batch.columns)):
+                if conv != current:
+                    close()
+                    current, opens, fixed, base, begin, held = conv, int(first), tokens[0] if first else 0, 0, 0, held[:0]
+                held = np.concatenate([held, np.array(tokens, np.int64)])
+                advance(False)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 6, kinds)], names)
+            out.clear()
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 6, kinds)], names)
+
+    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lengths.repartition(parts, "conv").sortWithinPartitions("conv", "block").mapInArrow(work, schema)
 
 
 def chat_windows(
@@ -111,58 +204,47 @@ def chat_windows(
     points to be learned, which are the texts of new ``assistant`` turns. So each turn is new, and each target is
     learned, in exactly one window. A longer turn than the budget has a window alone with the system turn.
 
-    Conversations are dealt out by blocks of ``BLOCK_TURNS`` turn numbers, so a very long one is spread over
-    tasks, and a task holds one block at a time, of at most as many turns. History does not reach over blocks.
+    Only the order of turn numbers counts, not their gaps. A window belongs to the ``block`` of ``BLOCK_TURNS`` turns in which
+    it begins, and is numbered there; it may end in a later block and repeat turns of an earlier one, which are
+    handed to its block. So a very long conversation is spread over tasks, and a task holds the turns of one
+    block's windows at a time.
     """
     spark = prepared(conversations.sparkSession)
     rows = conversations.select(
         id_key("conv_id").alias("conv"), F.col("turn").cast("bigint").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(2**62))).cast("bigint"))
-    opening = rows.groupBy("conv").agg(F.min(F.struct("block", "turn", "role", "text")).alias("first"))
-    # A null turn sorts before all others in a struct as well.
-    opening = opening.where("first.role = 'system'").select(
-        F.col("conv").alias("_conv"), F.col("first.text").alias("system"), F.col("first.block").alias("_block")
     )
-    # Only later blocks need the opening turn; a conversation of one block has none.
-    later = rows.join(
-        opening, (F.col("conv") == F.col("_conv")) & (F.col("block") > F.col("_block")), "left"
-    ).select("conv", "block", "turn", "role", "text", "system")
-    rules = {"budget": budget, "history": history, "history_budget": history_budget, "count": count}
+    turns = numbered(rows, count)
+    needs = materialized(planned(turns, budget, history, history_budget), "needs")
+    wanted = needs.select(F.col("conv").alias("_conv"), "source", "to", "low", "high")
+    given = turns.join(wanted, (F.col("conv") == F.col("_conv")) & (F.col("block") == F.col("source"))).where(
+        "place >= low and place < high"
+    ).select("conv", "to", "place", "role", "text", F.lit(None).cast("array<bigint>").alias("plan"))
+    plans = needs.where("plan is not null").select("conv", "to", F.lit(-1).cast("bigint"), F.lit(""), F.lit(""), "plan")
     names = [part.split()[0] for part in WINDOWS.split(", ")]
     kinds = [pa.int64()] * 3 + [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def work(arrived):
-        current, held, system, number, opened = None, [], None, 0, None
-        out: list[tuple] = []
-
-        def close():
-            nonlocal number, opened
-            if held:
-                if number == 0:
-                    opened = held[0][1] if system is None and held[0][0] == "system" else None
-                before = system if system is not None else (opened if number else None)
-                for window in windows(held, before, rules):
-                    out.append((None if current[0] == 2**63 - 1 else current[0], current[1], number, *window))
-                    number += 1
-                held.clear()
-
+        opens, todo, number, held = 0, [], 0, {}
         for batch in arrived:
-            for conv, block, _, role, text, before in zip(*(c.to_pylist() for c in batch.columns)):
-                if (conv, block) != current or len(held) >= BLOCK_TURNS:
-                    close()
-                    if (conv, block) != current:
-                        current, system, number, opened = (conv, block), before, 0, None
-                held.append((role, text))
+            out: list[tuple] = []
+            for conv, block, place, role, text, plan in zip(*(c.to_pylist() for c in batch.columns)):
+                if plan is not None:
+                    opens, number, held = plan[0], 0, {}
+                    todo = list(zip(plan[1::3], plan[2::3], plan[3::3]))
+                    continue
+                held[place] = (role, text)
+                if place == todo[number][2] - 1:
+                    back, begin, end = todo[number]
+                    repeated = [held[0]] if opens and begin else []
+                    repeated += [held[i] for i in range(max(back, opens), begin)]
+                    made = window(repeated, [held[i] for i in range(begin, end)])
+                    out.append((None if conv == 2**63 - 1 else conv, block, number, *made))
+                    number += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 7, kinds)], names)
-            out.clear()
-        close()
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 7, kinds)], names)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = later.repartition(parts, "conv", "block").sortWithinPartitions(
-        "conv", "block", F.asc_nulls_first("turn"), "role", "text"
-    )
+    dealt = given.union(plans).repartition(parts, "conv", "to").sortWithinPartitions("conv", "to", "place")
     return dealt.mapInArrow(work, WINDOWS)
 
 

@@ -1,8 +1,10 @@
 """Stages of the pipeline on planted documents."""
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
+from aerolens.llm.chat_format import MARKS, chat_windows, render, spans, words
 from aerolens.llm.mixing import mix
 from aerolens.llm.packing import pack
 from aerolens.llm.token_counts import token_count, token_prefixes
@@ -56,3 +58,18 @@ def test_every_text_is_a_node_of_its_own(spark):
         (1, text(1)), (2, text(2, "near")), (3, text(3, "near")), (None, text(4)), (5, text(5)), (5, text(6)), (None, text(7)), (6, ""),
     ], key=repr)
     assert kept.columns == COLUMNS
+
+
+@pytest.mark.parametrize("step, opened", [(1, False), (1, True), (1000, True)])
+def test_windows_reach_over_blocks(spark, step, opened):
+    turns = [("system" if opened and i == 0 else ("user", "assistant")[i % 2], f"turn {i} " + "w " * (i * 7 % 60)) for i in range(800)]
+    rows = [(1, step * i, *turn) for i, turn in enumerate(turns)] + [(2, 0, "user", "a"), (None, 5, "assistant", "b")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    tokens = np.array([words(text) + MARKS for _, text in turns])
+    expected = []
+    for back, begin, end in spans(tokens, int(tokens[0]) if opened else 0, 512, 2, 128):
+        repeated = ([turns[0]] if opened and begin else []) + turns[max(back, int(opened)) : begin]
+        before = "".join(render(*turn)[0] for turn in repeated)
+        expected.append((before + "".join(render(*turn)[0] for turn in turns[begin:end]), len(before)))
+    got = sorted(chat_windows(frame).where("conv_id = 1").collect(), key=lambda r: (r["block"], r["window"]))
+    assert [(r["text"], r["new_from"]) for r in got] == expected
