@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolens.llm.chat_format import chat_windows, read_back
 from aerolens.llm.common import documents
+from aerolens.llm.conversation_repair import repair_report
 from aerolens.llm.fingerprints import fingerprints
 from aerolens.llm.language_id import held_out, language_id
 from aerolens.llm.line_dedup import line_dedup
 from aerolens.llm.mixing import mix
 from aerolens.llm.ngram_jaccard import ngram_jaccard
+from aerolens.llm.odd_sketches import odd_sketch_components
 from aerolens.llm.packing import pack
+from aerolens.llm.periodic_runs import periodic_runs
 from aerolens.llm.quality_rules import quality_rules
 from aerolens.llm.suffix_dedup import suffix_dedup
 from aerolens.llm.token_counts import token_prefixes
@@ -219,3 +223,64 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], given.schema
     )
     return read_back(chat_windows(given.unionByName(own)))
+
+
+@query()
+def op11_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents by two-word shingles, at a Jaccard similarity of 80 percent."""
+    return odd_sketch_components(documents(spark, sf_dir), words=2, percent=80)
+
+
+def planted_period(key: int | None, words: list[str]) -> list[str]:
+    """The words of a document, of which a tenth by id repeat a part of their end over and over; never without an id."""
+    h = zlib.crc32(str(key).encode()) if key is not None else 1
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (n // p + 1))[: n - a]
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, the strongest of them, and digests of all and of what is left."""
+    found = periodic_runs(documents(spark, sf_dir), change=planted_period)
+    lines = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')")
+    # Ratios are compared as products of whole numbers.
+    best = F.expr(
+        "aggregate(runs, runs[0], (x, r) -> if(x.length * r.period < r.length * x.period, r, x))"
+    )
+    return found.withColumn("best", F.when(F.size("runs") > 0, best)).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated or given to the user, each a twentieth by id and turn."""
+    blank = F.lit(" ")
+    place = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")))
+    kind, role, text = F.crc32(place) % 20, F.coalesce("role", blank), F.coalesce("text", blank)
+    rows = conversations.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.expr("sequence(1, 2)")).alias("copy"), kind.alias("kind"),
+    )
+    return rows.where("kind <> 0 and (copy = 1 or kind = 3)").select("conv_id", "turn", "role", "text")
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with each damaged conversation, and the cheapest edits that repair it."""
+    given = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair_report(damaged(given)).withColumnRenamed("conv_id", "found_id")
+    ids = given.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # Of some conversations every row was dropped.
+    return ids.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )

@@ -19,4 +19,4 @@ def test_equals_sql(spark, name):
 
 
 def test_names():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
