@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from aerolens.llm.common import WORD, fold_ascii, id_key, prepared
-from aerolens.llm.components import components, links_in_groups, verified_by_sets
+from aerolens.llm.components import components, links_in_groups
 from aerolens.llm.shingles import mixed, shingles
 from aerolens.session import materialized
 
@@ -169,10 +169,13 @@ def near_duplicates(
     )
     first = signed.where("size(bands) > 0").groupBy("digest").agg(F.min("id").alias("first"))
     leaders = signed.join(first, "digest").where("id = first").dropDuplicates(["id", "digest"])
-    members = materialized(leaders.select("id", F.explode("bands").alias("band")).distinct(), "members")
+    hashed = F.transform("bands", lambda b: F.xxhash64(b))
+    members = leaders.select("id", F.size("tokens").cast("bigint").alias("n"), F.explode(hashed).alias("band"))
+    members = materialized(members.distinct(), "members")
     sets = materialized(leaders.select("id", "tokens"), "sets")
     links = links_in_groups(
-        members, ["band"], [], lambda x, y: F.lit(True), lambda pairs: verified_by_sets(pairs, sets, percent)
+        members, ["band"], [], lambda x, y: F.lit(True), lambda group: lambda i, near: near,
+        lambda ids: sets.join(ids, "id", "left_semi"), percent,
     )
     copies = signed.join(first, "digest").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     found = components(links.union(copies).distinct())

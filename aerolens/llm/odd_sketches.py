@@ -10,7 +10,6 @@ their full sets.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aerolens.llm.common import NULL_ID, WORD, fold_ascii, id_key, prepared
-from aerolens.llm.components import components, ordered_pair, verified_by_sets
+from aerolens.llm.components import block_links, components, ordered_pair, stored_sets, verified_by_sets, with_partner
 from aerolens.llm.shingles import mixed, shingles
 from aerolens.session import materialized
 
@@ -32,9 +31,6 @@ SKETCH = [f"s{i}" for i in range(BITS // 64)]
 DEVIATIONS = 6.0
 #: Stars of one band have one of so many different centres, so that several join a group of near copies.
 CENTRES = 4
-#: Most sets, and about how many shingles, that one task compares with as many others.
-BLOCK_SETS = 1024
-BLOCK_SHINGLES = 1 << 21
 #: Shingles that all permutations go over at once.
 AT_ONCE = 1024
 _RANDOM = np.random.default_rng(20240711)
@@ -134,116 +130,23 @@ def _odd_bits(left: str, right: str) -> Column:
     return sum((F.bit_count(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))) for s in SKETCH), F.lit(0))
 
 
-def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Deal the rows of each band to pairs of blocks, ``band, x, y``, each small enough for a task.
+def _fits(limit: int, first_band: bool):
+    """Similar sketches; with ``first_band`` a pair is looked at in the first band it shares only."""
 
-    A band of few rows is one block. A larger one has blocks by a hash of the id; a row goes to all pairs of its block.
-    """
-    parts = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    sizes = rows.groupBy("band").agg(parts.alias("parts"))
-    spread = rows.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = spread.withColumn("other", other).select(
-        *rows.columns, "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
-    )
-    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(count, "band", "x", "y").sortWithinPartitions("band", "x", "y", "id")
-
-
-def _groups(arrived: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each ``band, x, y``, which come one after the other but over the ends of batches."""
-    held: list[pa.RecordBatch] = []
-    current = None
-    for batch in arrived:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("band", "x", "y")], axis=1)
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-        for begin, end in zip(cuts, cuts[1:]):
-            if held and tuple(keys[begin]) != current:
-                yield pa.Table.from_batches(held)
-                held = []
-            current = tuple(keys[begin])
-            held.append(batch.slice(begin, end - begin))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _candidates(group: pa.Table, percent: int, limit: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row the later rows that it may be linked to: of another component, similar size and similar sketch."""
-    sketches = np.stack([group[s].to_numpy().view(np.uint64) for s in SKETCH], axis=1)
-    component, size, block = (group[c].to_numpy() for c in ("component", "n", "block"))
-    across = block[0] if (block == block[0]).all() else None
-    x, y = group["x"][0].as_py(), group["y"][0].as_py()
-    if x != y and across is not None:
-        return
-    for i in range(len(component) - 1):
-        rest = slice(i + 1, None)
-        fits = component[rest] != component[i]
-        if x != y:
-            fits &= block[rest] != block[i]
-        fits &= 100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i])
-        near = np.flatnonzero(fits) + i + 1
-        if len(near):
-            odd = np.bitwise_count(sketches[near] ^ sketches[i]).sum(axis=1)
-            near = near[odd <= limit]
-            if len(near):
-                yield i, near
-
-
-def _with_partner(rows: DataFrame, percent: int, limit: int) -> DataFrame:
-    """The ``band, id`` that have a possible partner of another component in their band."""
-
-    def work(arrived):
-        for group in _groups(arrived):
-            marked = np.zeros(group.num_rows, dtype=bool)
-            for i, near in _candidates(group, percent, limit):
-                marked[i] = True
-                marked[near] = True
-            if marked.any():
-                found = group.select(["band", "id"]).filter(pa.array(marked)).combine_chunks()
-                yield from found.to_batches()
+    def of(group: pa.Table):
+        sketches = np.stack([group[s].to_numpy().view(np.uint64) for s in SKETCH], axis=1)
+        bands = np.stack([b.values.to_numpy() for b in group["bands"]]) if first_band else None
+        band = group["band"][0].as_py()
 
-    return _in_blocks(rows).mapInArrow(work, "band bigint, id bigint").distinct()
+        def fitting(i, near):
+            near = near[np.bitwise_count(sketches[near] ^ sketches[i]).sum(axis=1) <= limit]
+            if first_band and len(near):
+                near = near[bands[i][(bands[near] == bands[i]).argmax(axis=1)] == band]
+            return near
 
+        return fitting
 
-def _links(rows: DataFrame, percent: int, limit: int) -> DataFrame:
-    """Links ``a, b`` that join the components of a band as all its links do, each checked on the full sets.
-
-    A pair is looked at in the first band it shares only, and not if earlier links of the task joined it already, so
-    a task hands on fewer links than it has rows.
-    """
-
-    def work(arrived):
-        for group in _groups(arrived):
-            ids, band = group["id"].to_numpy(), group["band"][0].as_py()
-            bands = np.stack(group["bands"].to_pylist())
-            tokens = [np.asarray(t.as_py(), dtype=np.int64) for t in group["tokens"]]
-            parent: dict[int, int] = {}
-
-            def root(label):
-                while parent.get(label, label) != label:
-                    parent[label] = parent.get(parent[label], parent[label])
-                    label = parent[label]
-                return label
-
-            component = group["component"].to_pylist()
-            found = []
-            for i, near in _candidates(group, percent, limit):
-                shared = bands[near] == bands[i]
-                first = bands[i][shared.argmax(axis=1)]
-                for j in near[first == band].tolist():
-                    left, right = root(component[i]), root(component[j])
-                    if left == right:
-                        continue
-                    both = len(np.intersect1d(tokens[i], tokens[j], assume_unique=True))
-                    if 100 * both >= percent * (len(tokens[i]) + len(tokens[j]) - both):
-                        parent[max(left, right)] = min(left, right)
-                        found.append((ids[i], ids[j]))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
-
-    return _in_blocks(rows).mapInArrow(work, "a bigint, b bigint")
+    return of
 
 
 def odd_sketch_components(
@@ -289,8 +192,8 @@ def odd_sketch_components(
     both = star.join(sketches.alias("x"), F.col("a") == F.col("x.id")).join(sketches.alias("y"), F.col("b") == F.col("y.id"))
     near = both.where(_similar_sizes(F.col("x.n"), F.col("y.n"), percent) & (_odd_bits("x", "y") <= limit))
     near = materialized(near.select(*ordered_pair("x", "y")).distinct(), "star")
-    ids = materialized(near.selectExpr("explode(array(a, b)) as id").distinct(), "ids")
-    links = materialized(verified_by_sets(near, materialized(_sets_of(texts, ids, words), "sets"), percent).distinct(), "links")
+    sets = stored_sets(near.selectExpr("explode(array(a, b)) as id"), lambda ids: _sets_of(texts, ids, words))
+    links = materialized(verified_by_sets(near, sets, percent).distinct(), "links")
 
     joined = components(links).withColumnRenamed("node", "id")
     held = members.join(joined, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
@@ -298,12 +201,11 @@ def odd_sketch_components(
     still = held.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     still = materialized(still.where("low <> high").select("band"), "open")
     rest = materialized(held.join(still, "band").join(sketches, "id"), "rest")
-    partners = materialized(_with_partner(rest, percent, limit), "partners")
-    ids = materialized(partners.select("id").distinct(), "ids")
-    sets = materialized(_sets_of(texts, ids, words), "sets")
+    partners = materialized(with_partner(rest, ["band"], percent, _fits(limit, False)), "partners")
+    sets = stored_sets(partners.select("id"), lambda ids: _sets_of(texts, ids, words))
     full = rest.join(partners, ["band", "id"], "left_semi").join(leaders.select("id", "n", "bands"), ["id", "n"]).join(sets, "id")
     # Of an id with several texts, each set goes with its own bands.
-    further = materialized(_links(full.where("size(tokens) = n"), percent, limit), "links")
+    further = materialized(block_links(full.where("size(tokens) = n"), ["band"], percent, _fits(limit, True)), "links")
 
     # An id with several texts joins the sets of all of them.
     own = nodes.where("first is not null").select("id", "first").distinct()

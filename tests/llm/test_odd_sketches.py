@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from aerolens.llm import odd_sketches
+from aerolens.llm import components
 from aerolens.llm.common import NULL_ID
 from aerolens.llm.odd_sketches import (
     BITS, SAMPLES, band_keys, most_odd_bits, odd_sketch, odd_sketch_components, samples, similarity,
@@ -85,10 +85,10 @@ def hard_groups(seed):
     return rows
 
 
-@pytest.mark.parametrize("block", [odd_sketches.BLOCK_SETS, 7])
+@pytest.mark.parametrize("block", [components.BLOCK_SETS, 7])
 @pytest.mark.parametrize("words, percent", [(2, 80), (5, 80)])
 def test_components_equal_all_pairs(spark, monkeypatch, words, percent, block):
-    monkeypatch.setattr(odd_sketches, "BLOCK_SETS", block)
+    monkeypatch.setattr(components, "BLOCK_SETS", block)
     rows = hard_groups(words) + [(k, t) for k, t, *_ in EDGES]
     docs = frame(spark, [(k if k is None else k + 1000 * (k < 12), t, "en", "s") for k, t in rows])
     assert found_of(odd_sketch_components(docs, words=words, percent=percent)) == components_by_hand(pairs(docs), words, percent)

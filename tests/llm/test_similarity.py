@@ -104,6 +104,29 @@ def test_frequent_tokens_change_no_link():
         assert set(a.tolist()) & set(b.tolist()) or set(pa.tolist()) & set(pb.tolist())
 
 
+@pytest.mark.parametrize("percent", [40, 50, 51, 60, 66, 70, 80, 85])
+def test_small_sets_lose_no_link(percent):
+    """All pairs of sets of up to eight tokens, all or some of them frequent."""
+    pool = np.arange(1, 9, dtype=np.uint64)
+    sets = [pool[[bool(m >> i & 1) for i in range(8)]] for m in range(1, 256)]
+    for frequent in (pool, pool[::2], pool[3:]):
+        made = []
+        for tokens in sets:
+            single, pairs, _ = prefix(tokens, frequent, percent)
+            made.append({("s", t) for t in single.tolist()} | {("p", t) for t in pairs.tolist()})
+        for i, left in enumerate(sets):
+            for j in range(i):
+                both = len(np.intersect1d(left, sets[j]))
+                if 100 * both >= percent * (len(left) + len(sets[j]) - both):
+                    assert made[i] & made[j], (left, sets[j])
+
+
+def test_components_of_few_frequent_words(spark):
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(["a b c", "a b", "a c", "b c"] * 9)])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_jaccard(docs, words=1, percent=60).collect()}
+    assert got == components_by_hand(pairs(docs), 1, 60)
+
+
 def test_bounds_of_sizes():
     for size in range(6, 40):
         for other in range(6, 40):
