@@ -170,12 +170,13 @@ def links_in_groups(
     fits: Fits,
     sets: Callable[[DataFrame], DataFrame],
     percent: int,
+    sketches: DataFrame | None = None,
 ) -> DataFrame:
     """Links ``a, b`` that give the same components as all links between members of one group.
 
     ``members`` has the ``keys`` of a group, a member's ``id`` and the size ``n`` of its set; ``possible`` says by the columns of
     two aliased members whether they may be linked, ``fits`` the same by the rows of a group, and ``sets`` gives the full
-    sets (``id, tokens``) of some ids. First each member is compared with its group's centre, the least by the ``centre``
+    sets (``id, tokens``) of some ids. ``sketches`` are further columns for ``fits``, by ``id`` and ``n``. First each member is compared with its group's centre, the least by the ``centre``
     columns: one row per member, which joins groups of near copies. Only groups whose members are then still in
     several components go on. They are compared in blocks inside the tasks, members with a possible partner on their
     sets, and hand on no more links than they have members. ``members`` must be stored, as it is read several times.
@@ -197,7 +198,8 @@ def links_in_groups(
     still = held.groupBy(*keys).agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
     ).where("low <> high and size > 2")
-    rest = materialized(held.join(materialized(still.select(*keys), "open"), keys), "rest")
+    rest = held.join(materialized(still.select(*keys), "open"), keys)
+    rest = materialized(rest if sketches is None else rest.join(sketches, ["id", "n"]), "rest")
     partners = materialized(with_partner(rest, keys, percent, fits), "partners")
     full = rest.join(partners, [*keys, "id"], "left_semi").join(stored_sets(partners.select("id"), sets), "id")
     return links.union(materialized(block_links(full, keys, percent, fits), "links"))
