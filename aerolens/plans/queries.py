@@ -956,7 +956,7 @@ def ingested(t: TestTables) -> Store:
        "readings labelled")
 def ingest_readings(t):
     """What the stream has stored: every reading once."""
-    return read_table(t.spark, ingested(t).path("readings"), READINGS, "ts_day int", "batch_id bigint").select(
+    return ingested(t).all_readings().select(
         "record_id", "station_id", "sensor_id", "ts", "pm25", "co2_ppm", "temperature_c", "humidity", "aqi_bucket"
     )
 

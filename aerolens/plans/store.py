@@ -17,14 +17,16 @@ from aerolens.operators.model import STATE, load_aqi_model, save_aqi_model
 from aerolens.schema import ALERTS, PREDICTIONS, READINGS, SENSORS, STATIONS, SYSTEM_METRICS, fields
 from aerolens.session import configure
 from aerolens.sources import folders
+from aerolens.sources.pieces import FAN, GRACE, Piece, compact, forget_index, known_keys, write_index
 from aerolens.sources.tables import (
-    DAY, append_batch, finish_upsert, latest_ts, partition_column, read_table, scan_readings, since,
-    upsert_partitions, with_columns, with_partition,
+    BULK, DAY, append_batch, append_readings, finish_upsert, latest_ts, partition_column, read_readings, read_table,
+    scan_readings, since, upsert_partitions, with_columns, with_partition, write_partitioned,
 )
 
 # Predictions also carry the time of their reading, so a time window prunes them like readings.
 STORED_PREDICTIONS = with_columns(PREDICTIONS, "ts timestamp")
 KEPT_MODELS = 10
+INGEST_LOG = "arrived bigint, rejected bigint, known bigint, stored bigint"
 QUARANTINE = "record_id bigint, station_id bigint, ts timestamp, violations string, reading string"
 
 
@@ -60,16 +62,9 @@ class Store:
             *schema.fieldNames()
         )
 
-    def keys_of_days(self, days: list[int], but_batch: int) -> DataFrame:
-        """Keys stored for some days by other batches; no other day's folders are listed."""
-        found = [
-            folder for day in days
-            for folder in folders.matching(self.spark, f"{self.path('readings')}/{DAY}={day}/batch_id=*")
-            if not folder.endswith(f"batch_id={but_batch}")
-        ]
-        if not found:
-            return self.spark.createDataFrame([], fields("record_id bigint"))
-        return self.spark.read.schema(fields("record_id bigint")).parquet(*found)
+    def known_keys(self, batch: DataFrame, days: list[int], but_batch: int) -> DataFrame | None:
+        """Keys of a batch that other batches have stored; ``None`` if there are none for sure."""
+        return known_keys(self.spark, self.path("readings"), READINGS, batch, days, but_batch)
 
     def quarantine(self) -> DataFrame:
         """Rejected readings with the codes of their violations, and the whole row as JSON."""
@@ -77,7 +72,15 @@ class Store:
 
     def latest(self) -> dt.datetime | None:
         """Time of the newest reading."""
-        return latest_ts(read_table(self.spark, self.path("readings"), READINGS, f"{DAY} int", "batch_id bigint"))
+        return latest_ts(self.spark, self.path("readings"))
+
+    def all_readings(self) -> DataFrame:
+        """Every stored reading with ``ts_day`` and ``batch_id``."""
+        return read_readings(self.spark, self.path("readings"))
+
+    def ingest_log(self) -> DataFrame:
+        """Rows that arrived with each batch, and how many were rejected, known before and stored."""
+        return read_table(self.spark, self.path("ingest_log"), fields(INGEST_LOG), "batch_id bigint")
 
     def stations(self) -> DataFrame:
         return read_table(self.spark, self.path("stations"), STATIONS).select(*STATIONS.fieldNames())
@@ -117,6 +120,31 @@ class Store:
 
     # --- writing ---
 
+    def append_readings(self, readings: DataFrame, batch_id: int) -> None:
+        """Append a batch and the index of its keys."""
+        path = self.path("readings")
+        append_readings(readings, path, batch_id)
+        written = folders.matching(self.spark, f"{path}/{DAY}=*/batch_id={batch_id}")
+        if written:
+            write_index(self.spark, path, READINGS, Piece(batch_id, batch_id, tuple(written)))
+
+    def load_readings(self, readings: DataFrame) -> None:
+        """Load a history in bulk, as one batch with an index of its keys."""
+        path = self.path("readings")
+        forget_index(self.spark, path, BULK)
+        write_partitioned(readings, path)
+        written = folders.matching(self.spark, f"{path}/{DAY}=*/batch_id={BULK}")
+        if written:
+            write_index(self.spark, path, READINGS, Piece(BULK, BULK, tuple(written)))
+
+    def compact(self, below: int, *, fan: int = FAN, grace: float = GRACE) -> None:
+        """Put together the readings of the batches below ``below``, which no stream may repeat any more."""
+        compact(self.spark, self.path("readings"), READINGS, below, fan=fan, grace=grace, index=True)
+
+    def append_ingest_log(self, arrived: int, rejected: int, stored: int, batch_id: int) -> None:
+        row = self.spark.createDataFrame([(arrived, rejected, arrived - rejected - stored, stored)], INGEST_LOG)
+        append_batch(row.coalesce(1), self.path("ingest_log"), batch_id)
+
     def add_stations(self, stations: DataFrame, batch_id: int) -> None:
         """Add the stations that are not at a known place yet."""
         place = ["city_zone", "latitude", "longitude"]
@@ -151,6 +179,10 @@ class Store:
         )
         append_batch(rows, self.path("quarantine"), batch_id)
 
+    def clear_quarantine(self, batch_id: int) -> None:
+        """Remove what an earlier try of a batch rejected."""
+        folders.remove(self.spark, f"{self.path('quarantine')}/batch_id={batch_id}")
+
     def upsert_predictions(self, scored: DataFrame) -> None:
         """Insert or replace predictions by record; only the time spans of the given readings are rewritten."""
         upsert_partitions(

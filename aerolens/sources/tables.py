@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from aerolens.operators.keyed import upsert
 from aerolens.schema import READINGS, fields
 from aerolens.sources import folders
+# Stored tables are cut by day first and by batch below, so a window lists the folders of its days only.
+from aerolens.sources.pieces import (
+    DAY, all_pieces, check_not_merged, forget_index, latest_time, live_pieces, merged_ranges, read_pieces,
+)
 
-#: Stored tables are cut by day first and by batch below, so a window lists the folders of its days only.
-DAY = "ts_day"
 #: The batch of rows that were loaded in bulk.
 BULK = -1
 
@@ -57,17 +59,20 @@ def write_partitioned(
 EPOCH = dt.datetime(1970, 1, 1)
 
 
-def latest_ts(readings: DataFrame) -> dt.datetime | None:
-    """Newest time in a day-partitioned table; reads the times of the newest day only.
-
-    Looking up the newest day still opens every file, so regular jobs should pass their own time.
-    """
-    newest = readings.agg(F.max(DAY)).first()[0]
-    if newest is None:
-        return None
-    # Epoch microseconds, so the result does not depend on the Python process's time zone.
-    micros = readings.where(F.col(DAY) == newest).agg(F.expr("unix_micros(max(ts))")).first()[0]
-    return EPOCH + dt.timedelta(microseconds=micros)
+def latest_ts(spark: SparkSession, path: str, schema: T.StructType = READINGS) -> dt.datetime | None:
+    """Newest time of the stored readings: from the index of their pieces, of the others from their newest day only."""
+    micros, others = latest_time(spark, path, live_pieces(all_pieces(spark, path)))
+    newest = micros
+    if others:
+        # Folders are named by day, so only the newest is opened.
+        rows = read_pieces(spark, path, schema, others)
+        if not any(p.merged for p in others):
+            last = max(int(folder.split("/")[-2].rpartition("=")[2]) for p in others for folder in p.paths)
+            rows = rows.where(F.col(DAY) == last)
+        # Epoch microseconds, so the result does not depend on the Python process's time zone.
+        found = rows.agg(F.expr("unix_micros(max(ts))")).first()[0]
+        newest = max((m for m in (micros, found) if m is not None), default=None)
+    return None if newest is None else EPOCH + dt.timedelta(microseconds=newest)
 
 
 def timestamp_literal(moment: dt.datetime):
@@ -92,6 +97,13 @@ def since(df: DataFrame, start: dt.datetime, time_column: str = "ts") -> DataFra
     return kept.where(F.col(time_column) >= timestamp_literal(start))
 
 
+def read_readings(spark: SparkSession, path: str, schema: T.StructType = READINGS, since_day: int | None = None) -> DataFrame:
+    """All stored readings with ``ts_day`` and ``batch_id``, also where batches have been put together."""
+    if not merged_ranges(spark, path):
+        return read_table(spark, path, schema, f"{DAY} int", "batch_id bigint")
+    return read_pieces(spark, path, schema, live_pieces(all_pieces(spark, path, since_day)))
+
+
 def scan_readings(
     spark: SparkSession,
     path: str,
@@ -105,12 +117,12 @@ def scan_readings(
 
     ``as_of`` is a naive UTC time, by default the newest one stored.
     """
-    table = read_table(spark, path, schema, f"{DAY} int", "batch_id bigint")
-    as_of = as_of or latest_ts(table)
+    as_of = as_of or latest_ts(spark, path, schema)
     if as_of is None:
-        window = table.where("false")
+        window = read_readings(spark, path, schema).where("false")
     else:
-        window = since(table, as_of - dt.timedelta(minutes=minutes))
+        start = as_of - dt.timedelta(minutes=minutes)
+        window = since(read_readings(spark, path, schema, partition_number(start, "day")), start)
     return window.select(*columns) if columns else window
 
 
@@ -144,6 +156,8 @@ def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[st
 
 def append_readings(df: DataFrame, path: str, batch_id: int) -> None:
     """Append readings; their keys travel with the rows, so no ids are read back."""
+    check_not_merged(df.sparkSession, path, batch_id)
+    forget_index(df.sparkSession, path, batch_id)
     append_batch(with_partition(df), path, batch_id, partition_by=(DAY,))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aerolens.operators.aggregates import batch_metrics, metric_rows
@@ -19,7 +19,8 @@ from aerolens.operators.statistics import exact_quantiles, settled
 from aerolens.plans.store import Store
 from aerolens.schema import STREAM_FEATURES
 from aerolens.session import materialized, scratch_removed
-from aerolens.sources.tables import DAY, append_readings, with_partition
+from aerolens.sources.pieces import FAN, KEY
+from aerolens.sources.tables import with_partition
 
 MODEL_VERSION = "online-sgd-v1"
 SOURCE = "ingest"
@@ -38,21 +39,36 @@ def detect_batch(batch: DataFrame, rows: int, baseline: tuple[DataFrame, DataFra
     return percentile_outliers(scored)
 
 
-def admit_batch(store: Store, arrived: DataFrame, batch_id: int, check_stations: bool = True) -> DataFrame:
+def admit_batch(
+    store: Store, arrived: DataFrame, batch_id: int, check_stations: bool = True, counts: dict | None = None
+) -> DataFrame:
     """The rows of a batch that are new and pass all checks, as declared; the others are quarantined or known.
 
-    A reading is new if no other batch has stored its key for its day, however late or early the row arrives. Only
-    the keys of the days in the batch are read. Stations are checked once there are any.
+    A reading is new if no other batch has stored its key, ``record_id`` and ``ts``, however late or early the row
+    arrives. Stored keys are looked up in the index of the pieces that hold the batch's days. Stations are checked once
+    there are any. One pass checks the rows, counts them into ``counts`` and names their days.
     """
     stations = store.stations()
     if not check_stations or stations.limit(1).count() == 0:
         stations = None
-    checked = materialized(checked_readings(arrived, stations), "checked")
-    store.append_quarantine(quarantine_rows(checked), batch_id)
-    good = with_partition(first_per_key(as_declared(checked), ["record_id"], [F.asc("ts"), F.asc("station_id")]))
-    days = [row[0] for row in good.select(DAY).distinct().collect()]
-    known = store.keys_of_days(days, but_batch=batch_id)
-    return good.drop(DAY).join(known, "record_id", "left_anti").select(*good.drop(DAY).columns)
+    seen = Observation()
+    checked = checked_readings(arrived, stations)
+    good = F.size("violations") == 0
+    checked = checked.observe(
+        seen, F.count("*").alias("arrived"), F.count_if(~good).alias("rejected"),
+        F.collect_set(F.when(good, F.expr("cast(date_format(ts, 'yyyyMMdd') as int)"))).alias("days"),
+    )
+    checked = materialized(checked, "checked")
+    found = seen.get
+    if counts is not None:
+        counts |= {name: found[name] for name in ("arrived", "rejected")}
+    if found["rejected"]:
+        store.append_quarantine(quarantine_rows(checked), batch_id)
+    else:
+        store.clear_quarantine(batch_id)
+    rows = first_per_key(as_declared(checked), KEY, [F.asc("station_id")])
+    known = store.known_keys(with_partition(as_declared(checked)), found["days"], but_batch=batch_id)
+    return rows if known is None else rows.join(known, KEY, "left_anti").select(*rows.columns)
 
 
 def process_batch(
@@ -72,13 +88,15 @@ def process_batch(
     ``before`` and ``started`` are the readings and the time since the run began.
     """
     begun = time.monotonic()
-    batch = with_aqi_bucket(admit_batch(store, batch, batch_id, check_stations))
-    append_readings(batch, store.path("readings"), batch_id)
+    counts: dict[str, int] = {}
+    batch = with_aqi_bucket(admit_batch(store, batch, batch_id, check_stations, counts))
+    store.append_readings(batch, batch_id)
     latency_ms = (time.monotonic() - begun) * 1000.0
     # The many steps that follow read the stored rows: they are checked once, survive lost
     # executors, and are planned like any table, with the number of tasks fitted to their size.
     batch = store.readings_of_batch(batch_id, batch.schema)
     rows = batch.count()
+    store.append_ingest_log(counts["arrived"], counts["rejected"], rows, batch_id)
     if not rows:
         # What an earlier try may have written goes too.
         store.append_alerts(batch_outlier_alerts(zsum_outliers(batch)).select(*ALERT_COLUMNS), SOURCE, batch_id)
@@ -117,9 +135,11 @@ def run_ingest_stream(
     trigger: dict | None = None,
     baseline: tuple[DataFrame, DataFrame] | None = None,
     check_stations: bool = True,
+    compact_every: int | None = FAN,
 ) -> StreamingQuery:
-    """Start the stream. Every reading that passes the checks is stored exactly once, however late it is.
+    """Start the stream. Every reading that passes the checks is stored exactly once by its ``record_id`` and ``ts``.
 
+    Every ``compact_every`` batches, those before are put together, so that the table keeps a bounded number of pieces.
     ``baseline`` takes two forests fitted on earlier readings; without it batches are judged by z-scores. With
     ``check_stations`` readings of stations the store does not know are quarantined, once it knows any.
     """
@@ -132,6 +152,9 @@ def run_ingest_stream(
                 store, batch, batch_id, before=progress["rows"], started=started, baseline=baseline,
                 check_stations=check_stations,
             )
+        # Only the last batch is ever repeated.
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            store.compact(batch_id, fan=compact_every)
 
     return (
         readings.writeStream.foreachBatch(handle)
