@@ -199,7 +199,7 @@ def index_rows(rows: DataFrame) -> DataFrame:
 def write_index(spark: SparkSession, path: str, schema: T.StructType, piece: Piece) -> None:
     rows = read_pieces(spark, path, schema, [piece]).select(DAY, *KEY)
     # Sorted, so that words can be skipped by row groups; a large piece's filter has several files.
-    index = index_rows(rows).repartitionByRange(DAY, "word").sortWithinPartitions(DAY, "word")
+    index = index_rows(rows).hint("rebalance").sortWithinPartitions(DAY, "word")
     index.write.mode("overwrite").parquet(f"{path}/{INDEX}/{piece.name}")
 
 

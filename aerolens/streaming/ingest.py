@@ -108,7 +108,7 @@ def process_batch(
     )
     store.append_alerts(alerts, SOURCE, batch_id)
 
-    medians = settled(exact_quantiles(batch, STREAM_FEATURES))
+    medians = settled(exact_quantiles(batch, STREAM_FEATURES, rows=rows))
     state = update_aqi_model(batch, STREAM_FEATURES, store.model_before(SOURCE, batch_id), medians=medians)
     store.save_model(state, SOURCE, batch_id)
     judged = score_aqi(

@@ -63,8 +63,10 @@ def test_good_and_quarantined_rows_are_all_rows(spark, frame):
         (10, "humidity_range"), (11, "pm25_overflow"), (12, "pm25_overflow"), (13, "ts_missing"),
         (None, "record_id_missing"), (14, "station_id_orphan"),
     }
-    # The stream goes on.
-    assert process_batch(store, frame(*[{"record_id": i} for i in range(3, 8)]), 1) == 3
+    # The stream goes on; two readings come again with their times.
+    at = dt.datetime(2024, 1, 1)
+    again = [{"record_id": i, "ts": at + dt.timedelta(minutes=i)} for i in range(3, 8)]
+    assert process_batch(store, frame(*again), 1) == 3
 
 
 def test_left_out_quality_score_passes_the_gate(spark, frame):

@@ -68,3 +68,13 @@ def test_all_missing(spark):
     assert exact_quantiles(df, ["a", "b"]).first()["a"] is None
     row = imputed_moments(df, ["a", "b"]).first()
     assert row["a"]["std"] is None and row["b"]["mean"] == 1.0
+
+
+def test_few_rows_take_one_pass(small):
+    from aerolens.operators.statistics import exact_quantiles
+
+    columns = ["pm25", "co2_ppm", "temperature_c"]
+    for probability in (0.5, 0.98):
+        given = [exact_quantiles(small.readings, columns, probability, rows=rows).first() for rows in (None, 1000, 10**9)]
+        for row in given[1:]:
+            assert all(abs(row[c] - given[0][c]) < 1e-9 for c in columns)
