@@ -17,6 +17,7 @@ from aerolens.operators.keyed import absent_rows
 from aerolens.operators.model import score_aqi, update_aqi_model
 from aerolens.operators.outliers import zscore_outliers
 from aerolens.operators.statistics import exact_quantiles, imputed_moments, medians_of, settled
+from aerolens.plans.deletes import finish_deletes
 from aerolens.plans.store import Store
 from aerolens.schema import DERIVED_FEATURES, FOREST_FEATURES, MONITOR_FEATURES, TRAINING_FEATURES
 from aerolens.session import materialized, scratch_removed
@@ -170,6 +171,7 @@ def run_cycle(
     """
     begun = time.monotonic()
     report = CycleReport(cycle)
+    finish_deletes(store)
     as_of = as_of or store.latest()
     if as_of is None:
         return report

@@ -14,7 +14,8 @@ from aerolens.functions import ladders
 from aerolens.operators import aggregates, alerts, derive, filters, forest, joins, keyed, model, outliers, quality, series
 from aerolens.operators.statistics import impute_median
 from aerolens.plans.monitor import detect_anomalies, run_cycle
-from aerolens.plans.store import Store
+from aerolens.plans.deletes import delete_stations
+from aerolens.plans.store import STORED_PREDICTIONS, Store
 from aerolens.schema import (
     AQI_LABELS, FOREST_FEATURES, MONITOR_FEATURES, READINGS, SENSOR_STATUSES, SEVERITIES, STREAM_FEATURES,
     TRAINING_FEATURES,
@@ -232,6 +233,58 @@ def cascade_delete(t):
     return result
 
 
+def store_of(t: TestTables) -> Store:
+    """The test tables as stored ones; of the readings some in bulk, some put together, some as they came."""
+    store = Store(t.spark, scratch_path(t.spark, "stored"), "day")
+    readings = t.readings.withColumn("sensor_id", F.col("sensor_id").cast("bigint"))
+    store.load_readings(readings.where("record_id % 3 = 0"))
+    for batch_id in range(5):
+        store.append_readings(readings.where(f"record_id % 3 > 0 and record_id % 5 = {batch_id}"), batch_id)
+    store.compact(5, fan=2, grace=0)
+    t.stations.withColumn("status", F.lit("Active")).write.parquet(store.path("stations"))
+    t.sensors.write.parquet(store.path("sensors"))
+    alerts_ = t.alerts.select(*alerts.ALERT_COLUMNS)
+    store.append_alerts(alerts_.where("record_id % 2 = 0"), "ingest", 0)
+    store.append_alerts(alerts_.where("record_id % 2 = 1"), "monitor", 7)
+    timed = t.predictions.join(t.readings.select("record_id", "ts"), "record_id")
+    known = set(timed.columns)
+    full = timed.select(*(F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name) for f in STORED_PREDICTIONS.fields))
+    full = full.join(t.readings.select("record_id", F.col("station_id").alias("_of")), "record_id").withColumn("station_id", F.col("_of"))
+    store.upsert_predictions(full.where("record_id % 2 = 0").select(*STORED_PREDICTIONS.fieldNames()))
+    store.append_predictions(full.where("record_id % 2 = 1"), 0)
+    return store
+
+
+@query(
+    """, gone as (select station_id from stations where not is_active)
+       select 'stations' as table_name, count(*) as remaining, cast(sum(station_id) as bigint) as ids
+         from stations where station_id not in (select * from gone)
+       union all select 'sensors', count(*), cast(sum(sensor_id) as bigint) from sensors where station_id not in (select * from gone)
+       union all select 'readings', count(*), cast(sum(record_id) as bigint) from readings where station_id not in (select * from gone)
+       union all select 'alerts', count(*), cast(sum(record_id) as bigint) from alerts where station_id not in (select * from gone)
+       union all select 'predictions', count(*), cast(sum(record_id) as bigint) from predictions
+         where station_id not in (select * from gone)""",
+    "stations sensors readings alerts predictions",
+)
+def stored_cascade_delete(t):
+    """What is left in the stored tables after the stations out of use were deleted from them."""
+    store = store_of(t)
+    delete_stations(store, store.stations().where(~F.col("is_active")))
+    left = {
+        "stations": (store.stations(), "station_id"), "sensors": (store.sensors(), "sensor_id"),
+        "readings": (store.all_readings(), "record_id"), "alerts": (store.alerts(), "record_id"),
+        "predictions": (store.predictions(), "record_id"),
+    }
+    frames = [
+        df.agg(F.count(F.lit(1)).alias("remaining"), F.sum(key).alias("ids")).select(F.lit(name).alias("table_name"), "remaining", "ids")
+        for name, (df, key) in left.items()
+    ]
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
+    return result
+
+
 @query(
     """select * from (
          select 'alerts' as table_name, count(*) as rows from alerts

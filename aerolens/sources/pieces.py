@@ -66,7 +66,7 @@ def _range(name: str) -> tuple[int, int]:
 
 def merged_ranges(spark: SparkSession, path: str) -> list[tuple[int, int]]:
     """The ranges of batches that are completely put together."""
-    return sorted(_range(mark.split("/")[-2]) for mark in folders.matching(spark, f"{path}/{MERGED}/*/_SUCCESS"))
+    return sorted(_range(mark.split("/")[-2]) for mark in folders.matching(spark, f"{path}/{MERGED}/range=*/_SUCCESS"))
 
 
 def all_pieces(spark: SparkSession, path: str, since_day: int | None = None, days: list[int] | None = None) -> list[Piece]:

@@ -16,6 +16,7 @@ from aerolens.operators.model import score_aqi, update_aqi_model
 from aerolens.operators.outliers import percentile_outliers, zsum_outliers
 from aerolens.operators.quality import as_declared, checked_readings, quarantine_rows
 from aerolens.operators.statistics import exact_quantiles, settled
+from aerolens.plans.deletes import finish_deletes
 from aerolens.plans.store import Store
 from aerolens.schema import STREAM_FEATURES
 from aerolens.session import materialized, scratch_removed
@@ -143,6 +144,7 @@ def run_ingest_stream(
     ``baseline`` takes two forests fitted on earlier readings; without it batches are judged by z-scores. With
     ``check_stations`` readings of stations the store does not know are quarantined, once it knows any.
     """
+    finish_deletes(store)
     started = time.monotonic()
     progress = {"rows": 0}
 

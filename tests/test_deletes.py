@@ -1,0 +1,111 @@
+"""Deleting stations from stored tables, also when a run is lost between any two steps."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from aerolens.operators import keyed
+from aerolens.plans import deletes
+from aerolens.plans.deletes import delete_stations, finish_deletes
+from aerolens.plans.queries import store_of
+from aerolens.sources import folders
+from aerolens.sources.pieces import MERGED, all_pieces, live_pieces
+from aerolens.sources.testviews import TestTables
+from tests.conftest import DATA
+
+
+@pytest.fixture(scope="module")
+def whole(spark):
+    tables = TestTables(spark, str(DATA / "sf0.001"))
+    store = store_of(tables)
+    return tables, store, state(store)
+
+
+def state(store):
+    frames = {
+        "stations": (store.stations(), "station_id"), "sensors": (store.sensors(), "sensor_id"),
+        "readings": (store.all_readings(), "record_id"), "alerts": (store.alerts(), "record_id"),
+        "predictions": (store.predictions(), "record_id"),
+    }
+    return {name: sorted(r[0] for r in df.select(key).collect()) for name, (df, key) in frames.items()}
+
+
+def expected_after(store, gone):
+    left = keyed.cascade_delete(gone, {
+        "stations": store.stations(), "sensors": store.sensors(), "readings": store.all_readings(),
+        "alerts": store.alerts(), "predictions": store.predictions(),
+    })
+    keys = {"stations": "station_id", "sensors": "sensor_id"}
+    return {name: sorted(r[0] for r in df.select(keys.get(name, "record_id")).collect()) for name, df in left.items()}
+
+
+def test_only_touched_partitions_are_written(spark, whole):
+    _, store, before = whole
+    path = store.path("readings")
+    assert any(p.merged for p in live_pieces(all_pieces(spark, path)))
+    counts = {r.station_id: r["count"] for r in store.all_readings().groupBy("station_id").count().collect()}
+    rare = min(counts, key=lambda s: (counts[s], s))
+    gone = spark.createDataFrame([(rare,), (None,), (10**9,)], "station_id bigint")
+    expected = expected_after(store, gone.where("station_id is not null"))
+    assert len(expected["readings"]) == len(before["readings"]) - counts[rare]
+
+    def written():
+        return {f: folders.modified(spark, f) for pattern in (f"{path}/ts_day=*/batch_id=*/*", f"{path}/{MERGED}/range=*/ts_day=*/*")
+                for f in folders.matching(spark, pattern)}
+
+    files = written()
+    delete_stations(store, gone)
+    assert state(store) == expected
+    after = written()
+    # A station with few readings is in few partitions.
+    assert len(set(files) & set(after)) >= len(files) - counts[rare] - len(files) // 10
+    assert folders.matching(spark, f"{path}/_without") == [] and folders.matching(spark, f"{store.path('_deletes')}/*") == []
+    # The index was written anew, and look-ups stay exact.
+    assert all(folders.exists(spark, f"{path}/_index/{p.name}/_SUCCESS") for p in live_pieces(all_pieces(spark, path)))
+    delete_stations(store, gone)
+    assert state(store) == expected
+
+
+@pytest.mark.parametrize("lost_at", ["intent", 1, 3, 5, 7, "replacing"])
+def test_a_delete_lost_at_any_step_is_finished(spark, whole, monkeypatch, lost_at):
+    _, store, _ = whole
+    before = state(store)
+    many = store.all_readings().groupBy("station_id").count().orderBy(F.desc("count"), "station_id").first().station_id
+    gone = spark.createDataFrame([(many,)], "station_id bigint")
+    expected = expected_after(store, gone)
+    calls = []
+
+    def lost(*_, **__):
+        raise RuntimeError("lost")
+
+    if lost_at == "intent":
+        monkeypatch.setattr(type(store), "sensors", lost)
+    elif lost_at == "replacing":
+        real = deletes._replace
+
+        def half(session, path, schema, partitions, before):
+            # The partitions are replaced, but emptied ones and the stage stay.
+            if path.endswith("alerts"):
+                monkeypatch.setattr(folders, "remove", lost)
+            real(session, path, schema, partitions, before)
+
+        monkeypatch.setattr(deletes, "_replace", half)
+    else:
+        real = deletes.rewrite_without
+
+        def some(*given):
+            calls.append(given)
+            if len(calls) == lost_at:
+                raise RuntimeError("lost")
+            real(*given)
+
+        monkeypatch.setattr(deletes, "rewrite_without", some)
+    with pytest.raises(RuntimeError):
+        delete_stations(store, gone)
+    monkeypatch.undo()
+    if lost_at == "intent":
+        # Nothing had been written down, so nothing was deleted.
+        assert finish_deletes(store) == 0 and state(store) == before
+        return
+    assert finish_deletes(store) == 1
+    assert state(store) == expected
+    assert finish_deletes(store) == 0
