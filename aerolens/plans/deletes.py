@@ -18,7 +18,7 @@ from aerolens.schema import ALERTS, READINGS, SENSORS, STATIONS, fields
 from aerolens.session import scratch_removed
 from aerolens.sources import folders
 from aerolens.sources.pieces import INDEX, MERGED, all_pieces, live_pieces, write_index
-from aerolens.sources.tables import DAY, partition_column, read_table
+from aerolens.sources.tables import DAY, finish_upsert, partition_column, read_table
 
 INTENTS = "_deletes"
 STAGE, TOUCHED = "_without", "_touched"
@@ -81,6 +81,8 @@ def _carry_out(store: Store, name: str) -> None:
         ("predictions", STORED_PREDICTIONS, [unit], ["station_id", "record_id"]),
         ("predictions_streamed", STORED_PREDICTIONS, [unit, "batch_id bigint"], ["station_id", "record_id"]),
     ]
+    # An upsert lost while it replaced partitions comes first, or it would bring rows back.
+    finish_upsert(spark, store.path("predictions"), STORED_PREDICTIONS, partition_column(store.prediction_unit))
     for table, schema, partitions, keys in plan:
         rewrite_without(spark, store.path(table), schema, partitions, {k: by[k] for k in keys})
     # Readings as they came, and those that were put together, whose batch is in the rows.

@@ -19,7 +19,7 @@ from aerolens.session import configure
 from aerolens.sources import folders
 from aerolens.sources.pieces import FAN, GRACE, Piece, compact, forget_index, known_keys, write_index
 from aerolens.sources.tables import (
-    BULK, DAY, append_batch, append_readings, finish_upsert, latest_ts, partition_column, read_readings, read_table,
+    BULK, DAY, append_batch, append_readings, latest_ts, partition_column, read_readings, read_table, read_upserted,
     scan_readings, since, upsert_partitions, with_columns, with_partition, write_partitioned,
 )
 
@@ -102,8 +102,7 @@ class Store:
         """
         column = partition_column(self.prediction_unit)
         span = f"{column} int"
-        finish_upsert(self.spark, self.path("predictions"), STORED_PREDICTIONS, column)
-        upserted = read_table(self.spark, self.path("predictions"), STORED_PREDICTIONS, span)
+        upserted = read_upserted(self.spark, self.path("predictions"), STORED_PREDICTIONS, column)
         streamed = read_table(
             self.spark, self.path("predictions_streamed"), STORED_PREDICTIONS, span, "batch_id bigint"
         )

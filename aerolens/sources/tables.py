@@ -219,3 +219,17 @@ def finish_upsert(spark: SparkSession, path: str, schema: T.StructType, partitio
             .parquet(path)
         )
         folders.remove(spark, staged)
+
+
+def read_upserted(spark: SparkSession, path: str, schema: T.StructType, partition: str, kind: str = "int") -> DataFrame:
+    """A table of ``upsert_partitions`` as it will be when the last upsert is finished; nothing is written.
+
+    While an upsert replaces partitions, or after it was lost there, these are read where they are staged whole.
+    """
+    field = f"{partition} {kind}"
+    table = read_table(spark, path, schema, field)
+    if not folders.exists(spark, f"{path}/{STAGE}/_SUCCESS"):
+        return table
+    spans = {folder.rpartition("=")[2] for folder in folders.matching(spark, f"{path}/{STAGE}/{partition}=*")}
+    staged = read_table(spark, f"{path}/{STAGE}", schema, field)
+    return table.where(~F.col(partition).cast("string").isin(sorted(spans))).unionByName(staged)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 from aerolens.operators import alerts, keyed
 from aerolens.operators.filters import quality_gate
 from aerolens.plans.monitor import run_cycle
-from aerolens.plans.store import Store
+from aerolens.plans.store import STORED_PREDICTIONS, Store
 from aerolens.schema import READINGS
 from aerolens.session import scratch_path, shared_folder
 from aerolens.sources import folders
@@ -114,6 +114,23 @@ def test_crash_between_stage_and_swap(spark, small):
     assert not folders.exists(spark, f"{path}/{STAGE}")
 
 
+def test_a_reader_does_not_finish_an_upsert(spark, small):
+    """It reads the staged partitions in the place of those the writer is about to replace, and writes nothing."""
+    store = Store(spark, scratch_path(spark, "store"), "day")
+    rows = small.predictions.join(small.readings.select("record_id", "ts"), "record_id").select("record_id", "aqi_pred", "ts")
+    full = rows.select(*(F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in STORED_PREDICTIONS.fields))
+    store.upsert_predictions(full)
+    path, count = store.path("predictions"), full.count()
+    day = with_partition(full).agg(F.min("ts_day")).first()[0]
+    whole = with_partition(full).where(F.col("ts_day") == day).withColumn("aqi_pred", F.lit("Staged"))
+    whole.write.partitionBy("ts_day").parquet(f"{path}/{STAGE}")
+    folders.remove(spark, f"{path}/ts_day={day}")
+    for _ in range(2):
+        assert store.predictions().count() == count
+        assert store.predictions().where("aqi_pred = 'Staged'").count() == whole.count()
+        assert folders.exists(spark, f"{path}/{STAGE}/_SUCCESS") and not folders.exists(spark, f"{path}/ts_day={day}")
+
+
 def test_metric_ids_do_not_collide_and_retention_covers_all_writers(spark):
     store = Store(spark, scratch_path(spark, "store"))
     for batch in range(2):
