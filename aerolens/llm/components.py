@@ -122,6 +122,32 @@ def with_partner(rows: DataFrame, keys: Sequence[str], percent: int, fits: Fits)
     return in_blocks(rows, keys).mapInArrow(work, schema).distinct()
 
 
+def candidate_pairs(rows: DataFrame, keys: Sequence[str], percent: int, fits: Fits) -> DataFrame:
+    """Pairs ``a, b`` that connect, inside each group, all rows that may be linked; fewer than the group has rows."""
+
+    def work(arrived):
+        for group in block_groups(arrived, keys):
+            ids, parent = group["id"].to_numpy(), list(range(group.num_rows))
+
+            def root(i):
+                while parent[i] != i:
+                    parent[i] = parent[parent[i]]
+                    i = parent[i]
+                return i
+
+            found = []
+            for i, near in block_candidates(group, percent, fits):
+                for j in near.tolist():
+                    left, right = root(i), root(j)
+                    if left != right:
+                        parent[max(left, right)] = min(left, right)
+                        found.append((ids[i], ids[j]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    return in_blocks(rows, keys).mapInArrow(work, "a bigint, b bigint").distinct()
+
+
 def block_links(rows: DataFrame, keys: Sequence[str], percent: int, fits: Fits) -> DataFrame:
     """Links ``a, b`` that join the components of each group as all its links do, checked on the full sets ``tokens``.
 
@@ -168,6 +194,7 @@ def links_in_groups(
     centre: Sequence[str],
     possible: Callable[[str, str], Column],
     fits: Fits,
+    fits_anywhere: Fits,
     sets: Callable[[DataFrame], DataFrame],
     percent: int,
     sketches: DataFrame | None = None,
@@ -175,11 +202,12 @@ def links_in_groups(
     """Links ``a, b`` that give the same components as all links between members of one group.
 
     ``members`` has the ``keys`` of a group, a member's ``id`` and the size ``n`` of its set; ``possible`` says by the columns of
-    two aliased members whether they may be linked, ``fits`` the same by the rows of a group, and ``sets`` gives the full
-    sets (``id, tokens``) of some ids. ``sketches`` are further columns for ``fits``, by ``id`` and ``n``. First each member is compared with its group's centre, the least by the ``centre``
+    two aliased members whether they may be linked, ``fits`` the same by the rows of a group, ``fits_anywhere`` by what does
+    not depend on the group, and ``sets`` gives the full sets (``id, tokens``) of some ids. ``sketches`` are further columns for ``fits``, by ``id`` and ``n``. First each member is compared with its group's centre, the least by the ``centre``
     columns: one row per member, which joins groups of near copies. Only groups whose members are then still in
-    several components go on. They are compared in blocks inside the tasks, members with a possible partner on their
-    sets, and hand on no more links than they have members. ``members`` must be stored, as it is read several times.
+    several components go on. They are compared in blocks inside the tasks, which hand on pairs that connect all members
+    that may be linked, fewer than there are members. What such pairs connect is a cluster, in which each member is once,
+    with its set; clusters are compared in blocks too. ``members`` must be stored, as it is read several times.
     """
     keys = list(keys)
     others = [c for c in members.columns if c not in (*centre, "id")]
@@ -192,17 +220,21 @@ def links_in_groups(
     star = materialized(star.distinct(), "star")
     links = materialized(verified_by_sets(star, stored_sets(star.selectExpr("explode(array(a, b)) as id"), sets), percent), "links")
 
-    held = members.join(centres.select(*keys), keys, "left_semi").join(
-        components(links).withColumnRenamed("node", "id"), "id", "left"
-    ).withColumn("component", F.coalesce("component", "id"))
+    joined = materialized(components(links).withColumnRenamed("node", "id"), "joined")
+    held = members.join(centres.select(*keys), keys, "left_semi").join(joined, "id", "left")
+    held = held.withColumn("component", F.coalesce("component", "id"))
     still = held.groupBy(*keys).agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
     ).where("low <> high and size > 2")
     rest = held.join(materialized(still.select(*keys), "open"), keys)
     rest = materialized(rest if sketches is None else rest.join(sketches, ["id", "n"]), "rest")
-    partners = materialized(with_partner(rest, keys, percent, fits), "partners")
-    full = rest.join(partners, [*keys, "id"], "left_semi").join(stored_sets(partners.select("id"), sets), "id")
-    return links.union(materialized(block_links(full, keys, percent, fits), "links"))
+    clusters = components(materialized(candidate_pairs(rest, keys, percent, fits), "pairs"))
+    clusters = materialized(clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "clusters")
+    more = [] if sketches is None else [c for c in sketches.columns if c not in ("id", "n")]
+    once = rest.join(clusters, "id").select("cluster", "id", "n", "component", *more).distinct()
+    # Of an id with several sets, each goes with its own size.
+    full = once.join(stored_sets(clusters.select("id"), sets), "id").where("size(tokens) = n")
+    return links.union(materialized(block_links(full, ["cluster"], percent, fits_anywhere), "links"))
 
 
 def stored_sets(ids: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:

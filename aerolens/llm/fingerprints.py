@@ -140,6 +140,10 @@ def fingerprints(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
 BAND = 4
 
 
+def _all(group: pa.Table):
+    return lambda i, near: near
+
+
 def near_duplicates(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", percent: int = 80
 ) -> DataFrame:
@@ -174,7 +178,7 @@ def near_duplicates(
     members = materialized(members.distinct(), "members")
     sets = materialized(leaders.select("id", "tokens"), "sets")
     links = links_in_groups(
-        members, ["band"], [], lambda x, y: F.lit(True), lambda group: lambda i, near: near,
+        members, ["band"], [], lambda x, y: F.lit(True), _all, _all,
         lambda ids: sets.join(ids, "id", "left_semi"), percent,
     )
     copies = signed.join(first, "digest").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
