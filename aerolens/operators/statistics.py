@@ -119,12 +119,16 @@ def _between(c: str) -> str:
     return f"if({missed}, raise_error('the bracket misses the quantile of {c}'), {value})"
 
 
+#: The built-in percentile holds so many distinct values of a column in one task at most: some megabytes.
+ONE_PASS_ROWS = 100_000
+
+
 def exact_quantiles(
     df: DataFrame, columns: list[str], probability: float = 0.5, accuracy: int = 10_000, rows: int | None = None
 ) -> DataFrame:
     """One row with the exact, linearly interpolated quantile of each column.
 
-    If ``rows``, their number, is known to be ``accuracy`` at most, one pass with the built-in percentile is enough.
+    If ``rows``, their number, is known to be ``ONE_PASS_ROWS`` at most, the built-in percentile takes one pass.
 
     The built-in exact percentile keeps every distinct value of the frame in one task. Here a first
     pass finds a narrow bracket around the quantile and a second one a part of that bracket; the third counts the
@@ -132,7 +136,7 @@ def exact_quantiles(
     is one row from there on. About 6/accuracy * 4/CUTS of the rows, one in 200,000, can reach the running sum
     at the end; a frame too large for that has 10**12 rows and more.
     """
-    if rows is not None and rows <= accuracy:
+    if rows is not None and rows <= ONE_PASS_ROWS:
         return _aggregate(df, *(f"percentile(cast({c} as double), {probability}D) as {c}" for c in columns))
     brackets = _narrowed(df, columns, summary(df, columns, probability, accuracy), probability)
     ends = _quantile_ends(df, columns, brackets, probability)
