@@ -5,15 +5,17 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from aerolens.llm import shingles as shingles_module
 from aerolens.llm import suffix_dedup as suffix
 from aerolens.llm.common import NULL_ID, WORD, fold_ascii
 from aerolens.llm.components import components
 from aerolens.llm.fingerprints import edited, fingerprints, likeness, near_duplicates, signature
 from aerolens.llm.ngram_jaccard import missing, ngram_jaccard, pairs_needed, prefix
-from aerolens.llm.shingles import shingles
+from aerolens.llm.shingles import column_shingles, shingles
 from tests.llm.conftest import EDGES, frame, pairs
 
 
@@ -28,6 +30,30 @@ def shingle_sets(rows, words):
     return found
 
 
+def test_column_shingles(monkeypatch):
+    """The same runs as in words split one by one, wherever texts are cut; equal runs have equal hashes."""
+    rng = random.Random(3)
+    alphabet = [" ", "\n", "\x0b", "\x1c", "\x85", "\u2003", "A", "a", "b", "É", "é", "\U0001F600"]
+    for _ in range(200):
+        texts = [rng.choice([None, "".join(rng.choices(alphabet, k=rng.choice([0, 1, 3, 20, 200])))]) for _ in range(9)]
+        size = rng.choice([1, 2, 4])
+        monkeypatch.setattr(shingles_module, "BLOCK", 1 << 16)
+        whole = list(column_shingles(pa.array(texts, pa.string()), size))
+        monkeypatch.setattr(shingles_module, "BLOCK", rng.choice([4, 16, 64]))
+        cut = list(column_shingles(pa.array(texts, pa.string()), size))
+        sets = [grams for _, grams in shingle_sets(list(enumerate(texts)), size)]
+        assert [x.tolist() for x in cut] == [x.tolist() for x in whole] and len(whole) == len(texts)
+        assert [len(x) for x in whole] == [len(x) for x in sets]
+        assert len(set().union(*sets)) == len(set().union(*(x.tolist() for x in whole)))
+        assert len({frozenset(x) for x in sets}) == len({x.tobytes() for x in whole})
+
+
+def test_column_shingles_of_a_long_word():
+    word = "x" * 500_000
+    one, two, other = column_shingles(pa.array([f"a {word} b", f"A  {word}\nB", f"a {word}y b"]), 2)
+    assert one.tolist() == two.tolist() and len(one) == 2 and not set(one.tolist()) & set(other.tolist())
+
+
 def components_by_hand(rows, words, percent):
     sets = shingle_sets(rows, words)
     parent = {key: key for key, _ in sets}
