@@ -237,9 +237,13 @@ def _texts_of(rows: DataFrame, wanted: DataFrame, length: int, gram: int) -> Dat
 
     def work(arrived):
         for batch in arrived:
-            columns = [batch.column(i) for i in range(6)]
-            out = []
-            for value, *parts in zip(*columns):
+            columns = [batch.column(i) for i in range(8)]
+            out, seen = [], set()
+            for key, row, value, *parts in zip(*columns):
+                # Rows given many times need not hand on the same contexts again and again.
+                if (key.as_py(), row.as_py()) in seen:
+                    continue
+                seen.add((key.as_py(), row.as_py()))
                 text = _bytes(value)
                 for anchor, context, start, windows, hot in zip(*(p.as_py() for p in parts)):
                     data = text[start : start + windows + length - 1]
@@ -249,7 +253,7 @@ def _texts_of(rows: DataFrame, wanted: DataFrame, length: int, gram: int) -> Dat
                         out.append((0, anchor, context, 0, windows, 0, data))
             yield _batch(out, TEXTS)
 
-    return materialized(rows.join(lists, ["id", "row"]).select("text", *names).mapInArrow(work, TEXTS), "texts")
+    return materialized(rows.join(lists, ["id", "row"]).select("id", "row", "text", *names).mapInArrow(work, TEXTS), "texts")
 
 
 def _groups(data: bytes, anchor: int, length: int, gram: int):
@@ -363,10 +367,11 @@ def suffix_dedup(
     found = usual.unionByName(_cut_up(texts.where("hot = 1").drop("hot"), length))
     copies = distinct.where("n > 1").selectExpr("anchor", "context", "array(0L, one.windows) as runs")
     runs = materialized(found.unionByName(copies), "runs")
+    # A set, as a row given many times has its places as often.
     spans = (
         places.join(runs, ["anchor", "context"])
         .groupBy("id", "row")
-        .agg(F.flatten(F.collect_list(F.transform("runs", lambda x: x + F.col("start")))).alias("edges"))
+        .agg(F.flatten(F.collect_set(F.transform("runs", lambda x: x + F.col("start")))).alias("edges"))
     )
 
     schema = "id bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"

@@ -256,3 +256,13 @@ def test_suffix_dedup(spark, small_docs, monkeypatch, hot, block):
 
 def test_suffix_dedup_of_nothing(nothing):
     assert suffix.suffix_dedup(nothing).count() == 0
+
+
+def test_suffix_dedup_of_repeated_rows(spark):
+    """Many equal rows, without an id too: each is a copy of the others, and work grows with the rows."""
+    rng = random.Random(5)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(500))
+    rows = [(None, text, None, None)] * 1600 + [(7, text, None, None), (8, "clean " + text[:100], None, None)]
+    found = suffix.suffix_dedup(frame(spark, rows)).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count()
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(None, len(text), len(text), 1, 1600), (7, len(text), len(text), 1, 1), (8, 106, 0, 0, 1)], key=str)
