@@ -27,7 +27,7 @@ from aerolens.sources.tables import (
 )
 from aerolens.sources.testviews import EVENTS, TestTables, readings_from_events, with_views
 from aerolens.streaming.ingest import admit_batch, run_ingest_stream
-from aerolens.streaming.zones import stream_zone_windows
+from aerolens.streaming.zones import run_zone_stream, stream_zone_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -1115,6 +1115,38 @@ def stream_zone_windows_query(t):
     return rounded(t.spark.read.parquet(target), "avg_pm25")
 
 
+def zone_store(t: TestTables) -> Store:
+    """A store after four files of readings of all times went through the zone stream, so most come late."""
+    landing = scratch_path(t.spark, "zone-landing")
+    for part in range(4):
+        t.events.where(f"event_id % 4 = {part}").coalesce(1).write.mode("append").parquet(landing)
+    store = Store(t.spark, scratch_path(t.spark, "zone-store"))
+    t.stations.withColumn("batch_id", F.lit(0)).write.partitionBy("batch_id").parquet(store.path("stations"))
+    readings = readings_from_events(stream_readings(t.spark, landing, EVENTS, files_per_batch=1))
+    run_zone_stream(
+        t.spark, readings.select("station_id", "ts", "pm25"), store, trigger={"availableNow": True}, compact_every=2
+    ).awaitTermination()
+    return store
+
+
+@query(ZONE_WINDOWS, "readings stations")
+def run_zone_stream_windows(t):
+    """Stored windows after late readings equal those over all readings."""
+    return rounded(zone_store(t).zone_windows(), "avg_pm25")
+
+
+@query(
+    """, parts as (select record_id % 4 as part, ts from readings r join stations s on r.station_id = s.station_id),
+         seen as (select part, (select max(ts) from parts b where b.part < a.part) as newest from (select distinct part from parts) a)
+       select part as batch_id, count(*) as arrived, count(case when ts < newest - interval '2' minute then 1 end) as late
+       from parts join seen using (part) group by 1""",
+    "readings stations",
+)
+def run_zone_stream_late(t):
+    """Readings of each batch that came more than two minutes behind the newest of the batches before."""
+    return zone_store(t).zone_log().select("batch_id", "arrived", "late")
+
+
 for _name in ("scan_readings", "write_partitioned", "stream_readings", "append_readings", "impute_median",
               "run_ingest_stream", "stream_zone_windows"):
     # Functions whose name is taken by the operator they run.

@@ -17,7 +17,9 @@ from aerolens.operators.model import STATE, load_aqi_model, save_aqi_model
 from aerolens.schema import ALERTS, PREDICTIONS, READINGS, SENSORS, STATIONS, SYSTEM_METRICS, fields
 from aerolens.session import configure
 from aerolens.sources import folders
-from aerolens.sources.pieces import FAN, GRACE, Piece, compact, forget_index, known_keys, write_index
+from aerolens.sources.pieces import (
+    FAN, GRACE, Piece, all_pieces, check_not_merged, compact, forget_index, known_keys, live_pieces, read_pieces, write_index,
+)
 from aerolens.sources.tables import (
     BULK, DAY, append_batch, append_readings, latest_ts, partition_column, read_readings, read_table, read_upserted,
     scan_readings, since, upsert_partitions, with_columns, with_partition, write_partitioned,
@@ -28,6 +30,12 @@ STORED_PREDICTIONS = with_columns(PREDICTIONS, "ts timestamp")
 KEPT_MODELS = 10
 INGEST_LOG = "arrived bigint, rejected bigint, known bigint, stored bigint"
 QUARANTINE = "record_id bigint, station_id bigint, ts timestamp, violations string, reading string"
+ZONE_STEPS = fields("ts timestamp, city_zone string, readings bigint, pm25_sum double, pm25_count bigint, max_pm25 double")
+# The key stands for the zone also where it is null.
+ZONE_WINDOWS = fields(
+    "window_start timestamp, window_end timestamp, city_zone string, readings bigint, avg_pm25 double, max_pm25 double, zone_key string"
+)
+ZONE_LOG = "arrived bigint, late bigint, newest timestamp"
 
 
 class Store:
@@ -117,8 +125,57 @@ class Store:
             self.spark, self.path("system_metrics"), SYSTEM_METRICS, "source string", "batch_id bigint"
         )
 
+    def zone_windows(self) -> DataFrame:
+        """Sliding averages per zone over all readings that have come."""
+        table = read_upserted(self.spark, self.path("zone_windows"), ZONE_WINDOWS, DAY)
+        return table.select(*ZONE_WINDOWS.fieldNames()).drop("zone_key")
+
+    def zone_steps(self, days: list[int]) -> DataFrame:
+        """The partial sums of zones on some days; a step has a row for each batch that brought readings for it."""
+        path = self.path("zone_steps")
+        pieces = live_pieces(all_pieces(self.spark, path, days=days))
+        return read_pieces(self.spark, path, ZONE_STEPS, pieces).where(F.col(DAY).isin(days))
+
+    def zone_steps_of_batch(self, batch_id: int) -> DataFrame:
+        path = self.path("zone_steps")
+        found = folders.matching(self.spark, f"{path}/{DAY}=*/batch_id={batch_id}")
+        return read_pieces(self.spark, path, ZONE_STEPS, [Piece(batch_id, batch_id, tuple(found))] if found else [])
+
+    def zone_log(self) -> DataFrame:
+        """Located readings of each batch of the zone stream, how many came late, and the newest time so far."""
+        return read_table(self.spark, self.path("zone_log"), fields(ZONE_LOG), "batch_id bigint")
+
     # --- writing ---
 
+    def append_zone_steps(self, steps: DataFrame, batch_id: int) -> None:
+        path = self.path("zone_steps")
+        check_not_merged(self.spark, path, batch_id)
+        append_batch(with_partition(steps), path, batch_id, partition_by=(DAY,))
+
+    def compact_zone_steps(self, below: int, *, fan: int = FAN, grace: float = GRACE) -> None:
+        compact(self.spark, self.path("zone_steps"), ZONE_STEPS, below, fan=fan, grace=grace)
+
+    def upsert_zone_windows(self, windows: DataFrame) -> None:
+        """Replace or add whole windows; days without any are not touched."""
+        keyed = windows.withColumn("zone_key", F.to_json(F.struct("city_zone")))
+        upsert_partitions(
+            self.spark, self.path("zone_windows"), with_partition(keyed, "day", "window_start"), ZONE_WINDOWS,
+            ["zone_key", "window_start"], [F.asc("window_end")], DAY,
+        )
+
+    def append_zone_log(self, times: DataFrame, batch_id: int, lateness: dt.timedelta) -> None:
+        """Count the batch; only the row of the batch before is read for the newest time."""
+        before = read_table(self.spark, f"{self.path('zone_log')}/batch_id={batch_id - 1}", fields(ZONE_LOG))
+        # Epoch microseconds, so nothing depends on the Python process's time zone.
+        last = before.select(F.unix_micros("newest")).first()
+        newest = "cast(null as timestamp)" if last is None or last[0] is None else f"timestamp_micros({last[0]}L)"
+        margin = f"make_dt_interval(0, 0, 0, {lateness.total_seconds()})"
+        counted = times.agg(
+            F.expr("count(*) as arrived"), F.expr(f"count_if(ts < {newest} - {margin}) as late"),
+            F.expr(f"greatest(max(ts), {newest}) as newest"),
+        )
+        append_batch(counted.coalesce(1), self.path("zone_log"), batch_id)
+
     def append_readings(self, readings: DataFrame, batch_id: int) -> None:
         """Append a batch and the index of its keys."""
         path = self.path("readings")
