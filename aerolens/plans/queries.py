@@ -955,6 +955,43 @@ def model_state_moments(t):
     )
 
 
+# A model state by rule, with mean and deviation near those of the features, and its weights for the SQL.
+GIVEN_MOMENTS = {"pm25": (60.0, 25.0), "co2_ppm": (500.0, 100.0), "temperature_c": (20.0, 8.0), "humidity": (50.0, 15.0),
+                 "wind_speed": (3.0, 2.0), model.BIAS: (0.0, 0.0)}
+GIVEN_STATE = [
+    (name, 4.0, mean, 4.0 * spread * spread, *[((i + 1) * (k + 2) % 7 - 3) / 4 for k in range(len(AQI_LABELS))])
+    for i, (name, (mean, spread)) in enumerate(GIVEN_MOMENTS.items())
+]
+_WEIGHTS = ", ".join(
+    f"('{name}', {mean}::double, {m2}::double / {n}::double, {k}, {weight}::double)"
+    for name, n, mean, m2, *weights in GIVEN_STATE for k, weight in enumerate(weights)
+)
+_GIVEN_VALUES = " union all ".join(
+    f"select record_id, '{c}' as feature, coalesce({c}, (select median({c}) from w)) as x from w" for c in STREAM_FEATURES
+)
+_GIVEN_LABELS = " ".join(f"when {k} then '{name}'" for k, name in enumerate(AQI_LABELS))
+
+
+@query(
+    f""", weights(feature, mean, variance, k, weight) as (values {_WEIGHTS}),
+       x as ({_GIVEN_VALUES}),
+       logits as (select record_id, k, sum((x - mean) / sqrt(variance) * weight)
+           + (select weight from weights b where b.feature = '{model.BIAS}' and b.k = weights.k) as logit
+         from x join weights using (feature) group by record_id, k),
+       chances as (select record_id, k, 1 / (1 + exp(-greatest(-30, least(30, logit)))) as c from logits),
+       p as (select record_id, k, c / sum(c) over (partition by record_id) as p from chances)
+       select record_id, case arg_min(k, (-p, k)) {_GIVEN_LABELS} end as aqi_pred, round(max(p), 6) as confidence_score,
+         {", ".join(f"round(max(case when k = {k} then p end), 6) as {name}" for k, name in enumerate(model.PROBABILITIES))}
+       from p group by record_id""",
+    "w",
+)
+def score_aqi_by_state(t):
+    """Label, probabilities and confidence by a given model state: plain arithmetic over its weights."""
+    state = t.spark.createDataFrame(GIVEN_STATE, model.STATE)
+    scored = model.score_aqi(gated_week(t), state)
+    return rounded(scored.select("record_id", "aqi_pred", "confidence_score", *model.PROBABILITIES), "confidence_score", *model.PROBABILITIES)
+
+
 @query("select record_id, true as sums_to_one, true as is_likeliest from w", "w")
 def score_aqi_consistent(t):
     """Probabilities of every scored reading add up to one, and the label has the largest of them."""

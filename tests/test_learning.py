@@ -167,3 +167,21 @@ def test_untrained_is_even(training):
 def test_class_that_never_occurs_gets_zero(training):
     trained = model.train_aqi_model(training.where("aqi_bucket in ('Good', 'Moderate')"))
     assert model.score_aqi(training, trained).agg(F.max("proba_hazardous")).first()[0] == 0.0
+
+
+def test_one_epoch_over_one_partition_equals_numpy(spark):
+    """Moments, scaling and every mini-batch step of one class a column, by hand."""
+    rng = np.random.default_rng(11)
+    values, labels = rng.normal(50, 20, (101, 2)), rng.integers(0, len(AQI_LABELS), 101)
+    rows = [(float(a), float(b), AQI_LABELS[k]) for (a, b), k in zip(values, labels)]
+    training = spark.createDataFrame(rows, "humidity double, pm25 double, aqi_bucket string").coalesce(1)
+    x = np.column_stack([(values - values.mean(0)) / values.std(0), np.ones(len(values))])
+    y, weights, state = np.eye(len(AQI_LABELS))[labels], np.zeros((3, len(AQI_LABELS))), None
+    for _ in range(2):
+        state = model.update_aqi_model(training, ["humidity", "pm25"], state, learning_rate=0.3, batch_rows=16)
+        for start in range(0, len(x), 16):
+            part = x[start : start + 16]
+            error = 1 / (1 + np.exp(-part @ weights)) - y[start : start + 16]
+            weights = weights - 0.3 * part.T @ error / len(part)
+        found = {row["feature"]: [row[w] for w in model.WEIGHTS] for row in state.collect()}
+        np.testing.assert_allclose([found[c] for c in ("humidity", "pm25", model.BIAS)], weights, rtol=0, atol=1e-9)
