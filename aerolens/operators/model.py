@@ -171,6 +171,19 @@ def update_aqi_model(
     )
 
 
+def held_out_figures(scored: DataFrame, label: str = "aqi_bucket") -> DataFrame:
+    """One row about scored rows that keep their true ``label``: how many, how many right, and the mean log loss.
+
+    Rows without a label do not count; without any the loss is null. A chance counts as 1e-15 at least.
+    """
+    chance = f"case {label} " + " ".join(f"when '{n}' then {p}" for n, p in zip(AQI_LABELS, PROBABILITIES)) + " end"
+    return scored.where(F.col(label).isin(AQI_LABELS)).agg(
+        F.expr("count(*) as rows"),
+        F.expr(f"count_if(aqi_pred = {label}) as correct"),
+        F.expr(f"avg(-ln(greatest({chance}, 1e-15D))) as log_loss"),
+    )
+
+
 def _state_chances(state: DataFrame, features: list[str]) -> str:
     """Class chances as plain arithmetic, with the few weights as literals."""
     rows = {row["feature"]: row for row in _state_rows(state)}

@@ -14,7 +14,7 @@ from aerolens.operators.derive import with_aqi_bucket, with_derived_features
 from aerolens.operators.filters import quality_gate, training_gate
 from aerolens.operators.forest import fit_isolation_forest, isolation_outliers
 from aerolens.operators.keyed import absent_rows
-from aerolens.operators.model import score_aqi, update_aqi_model
+from aerolens.operators.model import model_features, score_aqi, update_aqi_model
 from aerolens.operators.outliers import zscore_outliers
 from aerolens.operators.statistics import exact_quantiles, imputed_moments, medians_of, settled
 from aerolens.plans.deletes import finish_deletes
@@ -115,7 +115,8 @@ def train_and_score_step(
 ) -> int:
     """Update the classifier on the window and upsert a prediction for each of its readings.
 
-    Returns the number of predictions made in the last minutes, by the ingest stream too.
+    Predictions come from the fully trained model that is chosen for this profile, see ``plans.training``, or from
+    the updated state if none is. Returns the number of predictions made in the last minutes, by the ingest stream too.
     """
     scoring = quality_gate(store.readings(minutes, as_of, COLUMNS), require=profile.require)
     # Rows to train on are among the rows to score.
@@ -128,9 +129,15 @@ def train_and_score_step(
     # Each profile has its own features, and so its own model.
     state = update_aqi_model(training, features, store.model_before(profile.name, cycle), medians=medians)
     store.save_model(state, profile.name, cycle)
+    judge, version = state, "v1.0"
+    chosen = store.chosen_version(profile.name)
+    if chosen is not None:
+        judge, version = store.full_model_version(profile.name, chosen), f"full-{chosen}"
+        features = model_features(judge)
     scored = score_aqi(
-        scoring, state,
+        scoring, judge,
         medians=settled(exact_quantiles(scoring, features)),
+        version=version,
         predicted_at=timestamp_literal(as_of),
     )
     store.upsert_predictions(scored)

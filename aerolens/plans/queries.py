@@ -16,6 +16,7 @@ from aerolens.operators.statistics import impute_median
 from aerolens.plans.monitor import detect_anomalies, run_cycle
 from aerolens.plans.deletes import delete_stations
 from aerolens.plans.store import STORED_PREDICTIONS, Store
+from aerolens.plans.training import train_full_model
 from aerolens.schema import (
     AQI_LABELS, FOREST_FEATURES, MONITOR_FEATURES, READINGS, SENSOR_STATUSES, SEVERITIES, STREAM_FEATURES,
     TRAINING_FEATURES,
@@ -26,7 +27,7 @@ from aerolens.sources.tables import (
     with_partition, write_partitioned,
 )
 from aerolens.sources.testviews import EVENTS, TestTables, readings_from_events, with_views
-from aerolens.streaming.ingest import admit_batch, run_ingest_stream
+from aerolens.streaming.ingest import KeptForests, admit_batch, run_ingest_stream
 from aerolens.streaming.zones import run_zone_stream, stream_zone_windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -812,6 +813,52 @@ def isolation_forest_score(t):
     return flagged.select("record_id", "station_id", "isolation_score", "is_isolation_outlier")
 
 
+# A forest by rule: complete trees of seven splits, with thresholds near the features' means, and its nodes for the SQL.
+GIVEN_SPREAD = {"co2_ppm": (500.0, 100.0), "pm25": (60.0, 25.0), "pm10": (70.0, 30.0), "temperature_c": (20.0, 8.0),
+                "humidity": (50.0, 15.0)}
+GIVEN_TREES, GIVEN_SPLITS, GIVEN_SAMPLE = 4, 7, 256
+
+
+def _given_node(tree: int, node: int) -> tuple:
+    if node >= GIVEN_SPLITS:
+        return tree, node, -1, 0.0, -1, -1, 2.0 + (3 * node + tree) % 8 / 2, GIVEN_SAMPLE
+    feature = (tree + node) % len(FOREST_FEATURES)
+    mean, spread = GIVEN_SPREAD[FOREST_FEATURES[feature]]
+    return tree, node, feature, mean + spread * ((3 * node + 5 * tree) % 7 - 3) / 4, 2 * node + 1, 2 * node + 2, 0.0, GIVEN_SAMPLE
+
+
+GIVEN_FOREST = [_given_node(tree, node) for tree in range(GIVEN_TREES) for node in range(2 * GIVEN_SPLITS + 1)]
+_NODE_VALUES = ", ".join(
+    f"({tree}, {node}, {feature}, {threshold!r}::double, {left}, {right}, {path!r}::double)"
+    for tree, node, feature, threshold, left, right, path, _ in GIVEN_FOREST
+)
+_FOREST_VALUES = ", ".join(f"coalesce({c}, (select median({c}) from w))" for c in FOREST_FEATURES)
+
+
+@query(
+    f""", nodes(tree, node, feature, threshold, lft, rgt, path) as (values {_NODE_VALUES}),
+       x as (select record_id, [{_FOREST_VALUES}] as v from w),
+       walk as (select record_id, v, tree, path, case when v[feature + 1] <= threshold then lft else rgt end as next
+           from x, nodes where node = 0),
+       second as (select record_id, v, walk.tree, nodes.path, case when v[feature + 1] <= threshold then lft else rgt end as next
+           from walk join nodes on nodes.tree = walk.tree and nodes.node = walk.next),
+       third as (select record_id, v, second.tree, nodes.path, case when v[feature + 1] <= threshold then lft else rgt end as next
+           from second join nodes on nodes.tree = second.tree and nodes.node = second.next),
+       scores as (select record_id, pow(2, -avg(nodes.path) / (2 * (ln({GIVEN_SAMPLE - 1}) + 0.5772156649015329)
+             - 2 * {GIVEN_SAMPLE - 1}::double / {GIVEN_SAMPLE})) as score
+           from third join nodes on nodes.tree = third.tree and nodes.node = third.next group by record_id)
+       select record_id, round(score, 6) as isolation_score,
+         score > (select quantile_cont(score, 0.95) from scores) as is_isolation_outlier from scores""",
+    "w",
+)
+def isolation_score_by_nodes(t):
+    """Scores and flags by a given forest: every walk down its trees, step by step."""
+    window = gated_week(t).select("record_id", *FOREST_FEATURES)
+    nodes = t.spark.createDataFrame(GIVEN_FOREST, forest.NODES)
+    flagged = forest.isolation_outliers(window, nodes, FOREST_FEATURES)
+    return rounded(flagged.select("record_id", "isolation_score", "is_isolation_outlier"), "isolation_score")
+
+
 @query()
 def stream_forest_outliers(t):
     """Two one-feature forests, and the rows above the 98th percentile of their mean score."""
@@ -921,6 +968,22 @@ def train_aqi_model(t):
     return aggregates.model_accuracy(scored, "aqi_pred", "aqi_bucket")
 
 
+@query(
+    f"""select 1::bigint as version, count(case when not held then 1 end) as train_rows, count(case when held then 1 end) as held_out_rows,
+         'taken' as action, 1::bigint as chosen
+       from (select substr(md5(cast(record_id as varchar)), 1, 1) in ('0', '1', '2') as held from labelled
+             where {SINCE_WEEK} and data_quality_score > cast(0.8 as double) and pm25 is not null
+               and co2_ppm is not null and aqi_bucket is not null)""",
+    "readings labelled",
+)
+def full_model_registry(t):
+    """The entry of a training run on the last week of stored readings: rows trained on and held out."""
+    store = Store(t.spark, scratch_path(t.spark, "training"))
+    write_partitioned(t.readings, store.path("readings"))
+    train_full_model(t.spark, store, version=1, minutes=WEEK)
+    return store.model_registry().select("version", "train_rows", "held_out_rows", "action", "chosen")
+
+
 @query()
 def update_aqi_model(t):
     """Model state after two incremental steps."""
@@ -1031,17 +1094,30 @@ def model_accuracy(t):
 # --- streaming and monitoring -----------------------------------------------------------------
 
 
-def ingested(t: TestTables) -> Store:
+def ingested(t: TestTables, baseline: KeptForests | None = None) -> Store:
     """A store after four micro-batches, each with a quarter of the events of all times."""
     landing = scratch_path(t.spark, "landing")
     for part in range(4):
         t.events.where(f"event_id % 4 = {part}").coalesce(1).write.mode("append").parquet(landing)
     store = Store(t.spark, scratch_path(t.spark, "ingest"), "day")
     stream = readings_from_events(stream_readings(t.spark, landing, EVENTS, files_per_batch=1))
-    run_ingest_stream(t.spark, stream, store, trigger={"availableNow": True}).awaitTermination()
+    run_ingest_stream(t.spark, stream, store, trigger={"availableNow": True}, baseline=baseline).awaitTermination()
     return store
 
 
+SAMPLE_ROWS = 300
+
+
+@query(
+    f"""select record_id, ts, md5(concat_ws(':', '42', record_id, epoch_us(ts))) as place, pm25, co2_ppm
+        from readings order by place limit {SAMPLE_ROWS}"""
+)
+def run_ingest_stream_sample(t):
+    """The sample that four batches have left equals the lowest places of all readings."""
+    kept = KeptForests(sample_rows=SAMPLE_ROWS, min_rows=100, refit_batches=2, trees=20, max_samples=64)
+    return ingested(t, kept).sample_before("ingest", 4)
+
+
 @query("select record_id, station_id, sensor_id, ts, pm25, co2_ppm, temperature_c, humidity, aqi_bucket from labelled",
        "readings labelled")
 def ingest_readings(t):

@@ -13,6 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from aerolens.operators.keyed import absent_rows, retain_latest_metrics
+from aerolens.operators.forest import NODES
 from aerolens.operators.model import STATE, load_aqi_model, save_aqi_model
 from aerolens.schema import ALERTS, PREDICTIONS, READINGS, SENSORS, STATIONS, SYSTEM_METRICS, fields
 from aerolens.session import configure
@@ -35,6 +36,14 @@ ZONE_STEPS = fields("ts timestamp, city_zone string, readings bigint, pm25_sum d
 ZONE_WINDOWS = fields(
     "window_start timestamp, window_end timestamp, city_zone string, readings bigint, avg_pm25 double, max_pm25 double, zone_key string"
 )
+# A sample of the stored readings and the forests fitted on it, one per feature.
+SAMPLE = fields("record_id bigint, ts timestamp, place string, pm25 double, co2_ppm double")
+FORESTS = fields(f"feature_name string, {NODES}")
+# One row for each training run or rollback; ``chosen`` is the version in use from then on.
+REGISTRY = fields(
+    "version bigint, recorded_at timestamp, train_rows bigint, held_out_rows bigint, correct bigint, log_loss double,"
+    " rival bigint, rival_log_loss double, action string, chosen bigint"
+)
 ZONE_LOG = "arrived bigint, late bigint, newest timestamp"
 
 
@@ -281,20 +290,62 @@ class Store:
                 return load_aqi_model(found[version])
         return None
 
+    def model_registry(self) -> DataFrame:
+        """All entries of all models; ``source`` is the model's name."""
+        return read_table(self.spark, self.path("model_registry"), REGISTRY, "source string", "batch_id bigint")
+
+    def register_model(self, entry: dict, name: str, version: int) -> None:
+        """Write an entry, in place of one of the same version."""
+        row = self.spark.createDataFrame([tuple(entry.get(c) for c in REGISTRY.fieldNames())], REGISTRY)
+        append_batch(row.coalesce(1), self.path("model_registry", name), version)
+
+    def unregister_model(self, name: str, version: int) -> None:
+        """Remove an entry, so that the one before it counts while its model is replaced."""
+        folders.remove(self.spark, f"{self.path('model_registry', name)}/batch_id={version}")
+
+    def chosen_version(self, name: str, before: int | None = None) -> int | None:
+        """The version of a fully trained model that is in use, by the newest entry (older than ``before``)."""
+        newest = self._newest_before("model_registry", REGISTRY, name, before, keep=None)[1]
+        return None if newest is None else newest.first()["chosen"]
+
+    def full_model_version(self, name: str, version: int) -> PipelineModel:
+        return load_aqi_model(f"{self.path('full_model', name)}/version={version}")
+
     def save_model(self, state: DataFrame, source: str, version: int) -> None:
         append_batch(state.coalesce(1), self.path("model", source), version)
 
     def model_before(self, source: str, version: int) -> DataFrame | None:
-        """The newest model state older than ``version``; ``None`` when there is none.
+        """The newest model state older than ``version``; ``None`` when there is none."""
+        return self._newest_before("model", fields(STATE), source, version)[1]
+
+    def save_sample(self, sample: DataFrame, source: str, version: int) -> None:
+        """Keep the sample of the readings up to a batch; it is bounded, so one file holds it."""
+        append_batch(sample.select(*SAMPLE.fieldNames()).coalesce(1), self.path("sample", source), version)
+
+    def sample_before(self, source: str, version: int) -> DataFrame | None:
+        return self._newest_before("sample", SAMPLE, source, version)[1]
+
+    def save_forests(self, forests: DataFrame, source: str, version: int) -> None:
+        """Keep the node tables of one fit as a version; readers go on with the one before until it is whole."""
+        append_batch(forests.select(*FORESTS.fieldNames()).coalesce(1), self.path("forests", source), version)
+
+    def forests_before(self, source: str, version: int) -> tuple[int | None, DataFrame | None]:
+        """The newest forests older than ``version``, with the batch they were fitted after."""
+        return self._newest_before("forests", FORESTS, source, version)
+
+    def _newest_before(
+        self, name: str, schema: T.StructType, source: str, version: int | None, keep: int | None = KEPT_MODELS
+    ) -> tuple[int | None, DataFrame | None]:
+        """The newest state older than ``version`` and its version.
 
-        Found by the folders' names, so only the file of one state is opened. The older of the kept states
-        are removed: a repeated batch needs the one before it.
+        Found by the folders' names, so only the file of one state is opened. Of the older states the newest
+        ``keep`` stay, ``None`` keeps all: a repeated batch needs the one before it.
         """
         found = {
             int(folder.rpartition("=")[2]): folder
-            for folder in folders.matching(self.spark, f"{self.path('model', source)}/batch_id=*")
+            for folder in folders.matching(self.spark, f"{self.path(name, source)}/batch_id=*")
         }
-        older = sorted(v for v in found if v < version)
-        for stale in older[:-KEPT_MODELS]:
+        older = sorted(v for v in found if version is None or v < version)
+        for stale in older[:-keep] if keep else []:
             folders.remove(self.spark, found[stale])
-        return read_table(self.spark, found[older[-1]], fields(STATE)) if older else None
+        return (older[-1], read_table(self.spark, found[older[-1]], schema)) if older else (None, None)

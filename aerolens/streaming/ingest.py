@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,11 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 from aerolens.operators.aggregates import batch_metrics, metric_rows
 from aerolens.operators.alerts import ALERT_COLUMNS, batch_outlier_alerts, threshold_alerts
 from aerolens.operators.derive import with_aqi_bucket
-from aerolens.operators.forest import stream_forest_scores
+from aerolens.operators.forest import fit_isolation_forest, stream_forest_scores
 from aerolens.operators.keyed import first_per_key
 from aerolens.operators.model import score_aqi, update_aqi_model
 from aerolens.operators.outliers import percentile_outliers, zsum_outliers
 from aerolens.operators.quality import as_declared, checked_readings, quarantine_rows
+from aerolens.operators.reservoir import PLACE, merged_sample
 from aerolens.operators.statistics import exact_quantiles, settled
 from aerolens.plans.deletes import finish_deletes
 from aerolens.plans.store import Store
@@ -26,6 +28,56 @@ from aerolens.sources.tables import with_partition
 MODEL_VERSION = "online-sgd-v1"
 SOURCE = "ingest"
 MIN_FOREST_ROWS = 20
+FOREST_COLUMNS = ["pm25", "co2_ppm"]
+
+
+@dataclass(frozen=True)
+class KeptForests:
+    """The stream's own forests, fitted on a uniform sample of all readings it has stored.
+
+    The sample holds ``sample_rows`` readings at most. Forests are fitted once it has ``min_rows`` and again
+    ``refit_batches`` batches after the last fit; a batch is judged by forests of the batches before it.
+    """
+
+    sample_rows: int = 25_600
+    min_rows: int = 256
+    refit_batches: int = 20
+    trees: int = 100
+    max_samples: int = 256
+    seed: int = 42
+
+
+def stored_baseline(store: Store, batch_id: int) -> tuple[DataFrame, DataFrame] | None:
+    """The newest forests fitted before a batch, for PM2.5 and CO2; ``None`` if there are none yet."""
+    forests = store.forests_before(SOURCE, batch_id)[1]
+    if forests is None:
+        return None
+    pm25, co2 = (forests.where(F.col("feature_name") == c).drop("feature_name") for c in FOREST_COLUMNS)
+    return pm25, co2
+
+
+def keep_forests(store: Store, batch: DataFrame, batch_id: int, kept: KeptForests) -> None:
+    """Add a stored batch to the sample, and fit new forests on it if the last ones are old enough.
+
+    Everything follows from the states before this batch, so a repeated batch writes the same again.
+    """
+    before = store.sample_before(SOURCE, batch_id)
+    sample = merged_sample(before, batch, KEY, FOREST_COLUMNS, size=kept.sample_rows, seed=kept.seed)
+    store.save_sample(sample, SOURCE, batch_id)
+    fitted = store.forests_before(SOURCE, batch_id)[0]
+    if fitted is not None and batch_id - fitted < kept.refit_batches:
+        return
+    sample = store.sample_before(SOURCE, batch_id + 1)
+    if sample is None or sample.limit(kept.min_rows).count() < kept.min_rows:
+        return
+    fits = [
+        # A reading's place is its key here: one text, also where an id has several times.
+        fit_isolation_forest(
+            sample, [c], trees=kept.trees, max_samples=kept.max_samples, seed=kept.seed, key=PLACE
+        ).withColumn("feature_name", F.lit(c))
+        for c in FOREST_COLUMNS
+    ]
+    store.save_forests(fits[0].unionByName(fits[1]), SOURCE, batch_id)
 
 
 def detect_batch(batch: DataFrame, rows: int, baseline: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
@@ -79,7 +131,7 @@ def process_batch(
     *,
     before: int = 0,
     started: float | None = None,
-    baseline: tuple[DataFrame, DataFrame] | None = None,
+    baseline: tuple[DataFrame, DataFrame] | KeptForests | None = None,
     check_stations: bool = True,
 ) -> int:
     """Everything that happens to one micro-batch; returns its number of readings.
@@ -103,7 +155,8 @@ def process_batch(
         store.append_alerts(batch_outlier_alerts(zsum_outliers(batch)).select(*ALERT_COLUMNS), SOURCE, batch_id)
         return 0
 
-    flagged = detect_batch(batch, rows, baseline)
+    kept = baseline if isinstance(baseline, KeptForests) else None
+    flagged = detect_batch(batch, rows, stored_baseline(store, batch_id) if kept else baseline)
     alerts = batch_outlier_alerts(flagged).select(*ALERT_COLUMNS).unionByName(
         threshold_alerts(batch).select(*ALERT_COLUMNS)
     )
@@ -112,6 +165,8 @@ def process_batch(
     medians = settled(exact_quantiles(batch, STREAM_FEATURES, rows=rows))
     state = update_aqi_model(batch, STREAM_FEATURES, store.model_before(SOURCE, batch_id), medians=medians)
     store.save_model(state, SOURCE, batch_id)
+    if kept:
+        keep_forests(store, batch, batch_id, kept)
     judged = score_aqi(
         flagged, state, medians=medians, version=MODEL_VERSION, keep=("pm25", "is_anomaly", "aqi_bucket")
     )
@@ -134,15 +189,15 @@ def run_ingest_stream(
     store: Store,
     *,
     trigger: dict | None = None,
-    baseline: tuple[DataFrame, DataFrame] | None = None,
+    baseline: tuple[DataFrame, DataFrame] | KeptForests | None = None,
     check_stations: bool = True,
     compact_every: int | None = FAN,
 ) -> StreamingQuery:
     """Start the stream. Every reading that passes the checks is stored exactly once by its ``record_id`` and ``ts``.
 
     Every ``compact_every`` batches, those before are put together, so that the table keeps a bounded number of pieces.
-    ``baseline`` takes two forests fitted on earlier readings; without it batches are judged by z-scores. With
-    ``check_stations`` readings of stations the store does not know are quarantined, once it knows any.
+    ``baseline`` takes two forests fitted on earlier readings, or ``KeptForests``, with which the stream fits, stores,
+    renews and uses its own; without it batches are judged by z-scores. With ``check_stations`` readings of stations the store does not know are quarantined, once it knows any.
     """
     finish_deletes(store)
     started = time.monotonic()
