@@ -1,0 +1,44 @@
+"""Predictions against plain sets of n-grams, without filters."""
+
+import zlib
+from collections import Counter
+
+from aerolens.llm import language_id as langs
+
+
+def grams(text):
+    letters = "".join(c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in text)
+    letters = f" {' '.join(letters.split(' '))} "
+    while "  " in letters:
+        letters = letters.replace("  ", " ")
+    return [letters[i : i + n] for n in langs.ORDERS for i in range(len(letters) - n + 1)]
+
+
+def test_predictions_equal_a_plain_count_of_ngrams(small_docs):
+    docs = small_docs.select("doc_id", "text", "lang").collect()
+    counts: dict[str, Counter] = {}
+    for doc_id, text, lang in docs:
+        if lang is not None and text is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            counts.setdefault(lang, Counter()).update(grams(text))
+    shares = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    most = Counter()
+    for share in shares.values():
+        for g, s in share.items():
+            most[g] = max(most[g], s)
+    known = {lang: {g for g, s in share.items() if s >= 2e-5 and s >= 0.05 * most[g]} for lang, share in shares.items()}
+    got = {r.doc_id: r for r in langs.language_id(small_docs).collect()}
+    assert len(got) == len(docs) > 50
+    clear = 0
+    for doc_id, text, _ in docs:
+        own = grams(text or "")
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[doc_id].lang_pred, got[doc_id].score) == (langs.UNKNOWN, 0.0)
+            continue
+        assert got[doc_id].n_grams == len(own)
+        exact = sorted(((sum(g in have for g in own) / len(own), lang) for lang, have in known.items()), reverse=True)
+        # What the correction for false positives leaves of them.
+        assert abs(got[doc_id].score - exact[0][0]) < 0.03
+        if exact[0][0] - exact[1][0] > 0.03:
+            clear += 1
+            assert got[doc_id].lang_pred == exact[0][1]
+    assert clear > 0.9 * len(docs)
