@@ -15,6 +15,7 @@ from aerolens.operators import aggregates, alerts, derive, filters, forest, join
 from aerolens.operators.statistics import impute_median
 from aerolens.plans.monitor import detect_anomalies, run_cycle
 from aerolens.plans.deletes import delete_stations
+from aerolens.plans.history import history_lineage, write_history
 from aerolens.plans.store import STORED_PREDICTIONS, Store
 from aerolens.plans.training import train_full_model
 from aerolens.schema import (
@@ -590,16 +591,25 @@ def active_sensors(t):
     return joins.active_sensors(t.stations, t.sensors)
 
 
-@query(
-    """select r.record_id, s.station_name, s.city_zone, n.sensor_type, r.pm25, r.ts, p.aqi_pred, a.alert_type, a.severity
+LINEAGE_SQL = """select r.record_id, s.station_name, s.city_zone, n.sensor_type, r.pm25, r.ts, p.aqi_pred, a.alert_type, a.severity
        from readings r join stations s on r.station_id = s.station_id join sensors n on r.sensor_id = n.sensor_id
-       left join predictions p on r.record_id = p.record_id left join alerts a on r.record_id = a.record_id""",
-    "readings stations sensors predictions alerts",
-)
+       left join predictions p on r.record_id = p.record_id left join alerts a on r.record_id = a.record_id"""
+
+
+@query(LINEAGE_SQL, "readings stations sensors predictions alerts")
 def reading_lineage(t):
     return joins.reading_lineage(t.readings, t.stations, t.sensors, t.predictions, t.alerts)
 
 
+@query(LINEAGE_SQL, "readings stations sensors predictions alerts")
+def stored_reading_lineage(t):
+    """The same from the stored tables, over all times, written side by side in buckets."""
+    store = store_of(t)
+    newest = store.latest()
+    write_history(store, newest - dt.timedelta(days=3650), newest + dt.timedelta(seconds=1), version=1, buckets=8)
+    return history_lineage(store)
+
+
 # --- aggregations -----------------------------------------------------------------------------
 
 
