@@ -9,6 +9,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from aerolens.functions import ladders
 from aerolens.operators import aggregates, alerts, derive, filters, forest, joins, keyed, model, outliers, quality, series
@@ -1104,14 +1105,28 @@ def model_accuracy(t):
 # --- streaming and monitoring -----------------------------------------------------------------
 
 
-def ingested(t: TestTables, baseline: KeptForests | None = None) -> Store:
-    """A store after four micro-batches, each with a quarter of the events of all times."""
+#: A stream takes all files that have landed since it last ran as one micro-batch.
+ALL_FILES = 1_000_000
+
+
+def in_four_batches(t: TestTables, run: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Land the events of all times a quarter at a time, and ``run`` the stream of their readings after each.
+
+    A quarter lands as a file for each core, so that no task reads or writes a whole micro-batch.
+    """
     landing = scratch_path(t.spark, "landing")
     for part in range(4):
-        t.events.where(f"event_id % 4 = {part}").coalesce(1).write.mode("append").parquet(landing)
+        landed = t.events.where(f"event_id % 4 = {part}").repartition(t.spark.sparkContext.defaultParallelism)
+        landed.write.mode("append").parquet(landing)
+        run(readings_from_events(stream_readings(t.spark, landing, EVENTS, files_per_batch=ALL_FILES))).awaitTermination()
+
+
+def ingested(t: TestTables, baseline: KeptForests | None = None) -> Store:
+    """A store after four micro-batches, each with a quarter of the events of all times."""
     store = Store(t.spark, scratch_path(t.spark, "ingest"), "day")
-    stream = readings_from_events(stream_readings(t.spark, landing, EVENTS, files_per_batch=1))
-    run_ingest_stream(t.spark, stream, store, trigger={"availableNow": True}, baseline=baseline).awaitTermination()
+    in_four_batches(
+        t, lambda readings: run_ingest_stream(t.spark, readings, store, trigger={"availableNow": True}, baseline=baseline)
+    )
     return store
 
 
@@ -1240,15 +1255,14 @@ def stream_zone_windows_query(t):
 
 def zone_store(t: TestTables) -> Store:
     """A store after four files of readings of all times went through the zone stream, so most come late."""
-    landing = scratch_path(t.spark, "zone-landing")
-    for part in range(4):
-        t.events.where(f"event_id % 4 = {part}").coalesce(1).write.mode("append").parquet(landing)
     store = Store(t.spark, scratch_path(t.spark, "zone-store"))
     t.stations.withColumn("batch_id", F.lit(0)).write.partitionBy("batch_id").parquet(store.path("stations"))
-    readings = readings_from_events(stream_readings(t.spark, landing, EVENTS, files_per_batch=1))
-    run_zone_stream(
-        t.spark, readings.select("station_id", "ts", "pm25"), store, trigger={"availableNow": True}, compact_every=2
-    ).awaitTermination()
+    in_four_batches(
+        t,
+        lambda readings: run_zone_stream(
+            t.spark, readings.select("station_id", "ts", "pm25"), store, trigger={"availableNow": True}, compact_every=2
+        ),
+    )
     return store
 
 
