@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import re
-import sys
 from array import array
+from contextlib import contextmanager
 from functools import cache
 from itertools import accumulate
 
@@ -19,10 +20,12 @@ from aerolens.llm.common import WORD, prepared
 #: Words whose prefix counts one Python worker remembers, twice; then the older half is let go.
 REMEMBERED_WORDS = 350_000
 REMEMBERED_PIECES = 250_000
-REMEMBERED_ENDS = 700_000
 REMEMBERED_PREFIXES = 800_000
-REMEMBERED_PAIRS = 400_000
+REMEMBERED_PAIRS = 1_000_000
 NEVER = 1 << 60
+PAIR_BITS = 24
+#: The step before a word: no token, no counts, no suffix and no step before it.
+START = (0, 0, 0, 0, None)
 #: Longer words are counted without remembering their prefixes.
 REMEMBERED_CHARS = 40
 #: Words of a text that are put together at once.
@@ -53,7 +56,6 @@ class PrefixCounter:
         self.end = model["end_of_word_suffix"]
         self.rank = {tuple(pair): i for i, pair in enumerate(model["merges"])}
         self.vocabulary = model["vocab"]
-        self.longest = max(map(len, self.vocabulary))
         self.ending = {token[: -len(self.end)] for token in self.vocabulary if token.endswith(self.end)}
         self.inside = {token for token in self.vocabulary if not token.endswith(self.end)}
         self.normalizer = Tokenizer.from_file(path).normalizer
@@ -62,15 +64,17 @@ class PrefixCounter:
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.special = [token["content"] for token in spec["added_tokens"]]
         self.symbols: dict[str, str] = {}
-        self.neighbours: dict[tuple[str, str], bool] = {}
+        # A prefix of tokens, and the tokens that are its suffixes, longest first; filled when first met.
+        bodies = (*self.inside, *self.ending)
+        self.chains: dict[str, tuple[list, list] | None] = {b[:i]: None for b in bodies for i in range(1, len(b) + 1)}
+        self.tokens = ["", *self.vocabulary]
+        self.number = {token: i for i, token in enumerate(self.tokens)}
+        self.neighbours: dict[int, bool] = {}
         self.spines: dict[str, tuple[list, list] | None] = {}
         self.pieces: dict[str, list[int]] = {}
-        self.states: dict[str, tuple[str, int, int]] = {}
+        self.states: dict[str, tuple] = {}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.lasts: dict[str, int] = {}
-        self.older_lasts: dict[str, int] = {}
-        self.ends: dict[str, int] = {}
 
     def _tree(self, token: str):
         """How BPE builds a token: nested ``(text, rank, left, right)``; ``None`` if it would not build it."""
@@ -103,32 +107,39 @@ class PrefixCounter:
             self.spines[token] = tuple(sides) if tree else None
         return self.spines[token]
 
-    def _follows(self, before: str, token: str) -> bool:
-        """Whether ``token`` may follow ``before``; an empty ``before`` is the start of the word.
+    def _follows(self, pair: int) -> bool:
+        """Whether a token may follow another, by their numbers in one; number 0 is the start of the word.
 
         It may not if some merge joins a last symbol of ``before`` with a first symbol of ``token`` while
         both are there. Of equal merges the left one comes first.
         """
-        pair = (before, token)
-        known = self.neighbours.get(pair)
-        if known is None:
-            known, follower = True, self._edges(token)
-            if follower is None:
-                known = False
-            elif before:
-                rank = self.rank.get
-                for x, made_x, ends_x in self._edges(before)[1]:
-                    for y, made_y, ends_y in follower[0]:
-                        r = rank((x, y))
-                        if r is not None:
-                            r = max(r, made_x, made_y)
-                            if r < ends_x and r <= ends_y:
-                                known = False
-            if len(self.neighbours) >= REMEMBERED_PAIRS:
-                self.neighbours.clear()
-            self.neighbours[pair] = known
+        before, token = self.tokens[pair >> PAIR_BITS], self.tokens[pair & (1 << PAIR_BITS) - 1]
+        known, follower = True, self._edges(token)
+        if follower is None:
+            known = False
+        elif before:
+            rank = self.rank.get
+            for x, made_x, ends_x in self._edges(before)[1]:
+                for y, made_y, ends_y in follower[0]:
+                    r = rank((x, y))
+                    if r is not None:
+                        r = max(r, made_x, made_y)
+                        if r < ends_x and r <= ends_y:
+                            known = False
+        if len(self.neighbours) >= REMEMBERED_PAIRS:
+            self.neighbours.clear()
+        self.neighbours[pair] = known
         return known
 
+    def _chain(self, node: str) -> tuple[list, list]:
+        """Lengths and numbers of the tokens that end ``node`` and go on, and of those that end a word with it."""
+        suffixes = [node[i:] for i in range(len(node))]
+        found = self.chains[node] = (
+            [(len(t), self.number[t]) for t in suffixes if t in self.inside],
+            [(len(t), self.number[t + self.end]) for t in suffixes if t in self.ending],
+        )
+        return found
+
     def piece(self, text: str) -> list[int]:
         """Token counts of all prefixes of one pre-token, each taken as a whole word."""
         found = self.pieces.get(text)
@@ -155,7 +166,11 @@ class PrefixCounter:
             known = size
             while known and symbols[:known] not in states:
                 known -= 1
-        steps = [("", 0, 0), *[states[symbols[:i]] for i in range(1, known + 1)]]
+        steps, step = [], states[symbols[:known]] if known else START
+        while step:
+            steps.append(step)
+            step = step[4]
+        steps.reverse()
         plain = isinstance(ends, range)
         word_ends = () if plain else set(ends)
         for stop in range(known + 1, size + 1):
@@ -171,28 +186,38 @@ class PrefixCounter:
             symbol = self.symbols[character] = self.bytes.pre_tokenize_str(character)[0][0]
         return symbol
 
-    def _step(self, symbols: str, stop: int, steps: list[tuple], ends: bool) -> tuple[str, int, int]:
-        """Last token and count where the word goes on, and the count where it ends, after ``stop`` symbols."""
-        inner, count, outer = "", 0, 0 if ends else -1
-        inside, ending, follows, end, neighbours = self.inside, self.ending, self._follows, self.end, self.neighbours
-        for start in range(max(0, stop - self.longest), stop):
-            token = symbols[start:stop]
-            if not inner and token in inside:
-                before = steps[start]
-                known = neighbours.get((before[0], token))
-                if known or known is None and follows(before[0], token):
-                    inner, count = token, before[1] + 1
-                    if outer:
-                        return inner, count, outer
-            if not outer and token in ending:
-                before = steps[start]
-                token += end
-                known = neighbours.get((before[0], token))
-                if known or known is None and follows(before[0], token):
+    def _step(self, symbols: str, stop: int, steps: list[tuple], ends: bool) -> tuple:
+        """After ``stop`` symbols: the last token and the count where the word goes on, the count where it ends,
+        the length of the longest suffix that begins a token, and the step before."""
+        chains, neighbours, previous = self.chains, self.neighbours, steps[-1]
+        # The longest suffix that begins a token is at most one symbol longer than the one before.
+        width = previous[3] + 1
+        node = symbols[stop - width : stop]
+        while node not in chains:
+            width -= 1
+            if not width:
+                raise ValueError("the vocabulary lacks a byte")
+            node = node[1:]
+        inside, ending = chains[node] or self._chain(node)
+        inner = count = outer = 0
+        for length, token in inside:
+            before = steps[stop - length]
+            pair = before[0] << PAIR_BITS | token
+            known = neighbours.get(pair)
+            if known or known is None and self._follows(pair):
+                inner, count = token, before[1] + 1
+                break
+        if ends:
+            for length, token in ending:
+                before = steps[stop - length]
+                pair = before[0] << PAIR_BITS | token
+                known = neighbours.get(pair)
+                if known or known is None and self._follows(pair):
                     outer = before[1] + 1
-                    if inner:
-                        return inner, count, outer
-        raise ValueError("the vocabulary lacks a byte")
+                    break
+        if not inner or ends and not outer:
+            raise ValueError("the vocabulary lacks a byte")
+        return inner, count, outer, width, previous
 
     def plain(self, text: str) -> list[int]:
         """Counts of all prefixes of normalised text without special strings."""
@@ -268,43 +293,6 @@ class PrefixCounter:
         counts.append(counts[-1] if counts else total)
         return array("i", counts).tobytes()
 
-    def whole(self, text: str) -> int:
-        """Tokens of a whole text: the sum of its words' last entries."""
-        total = 0
-        whole = WORD.findall(text)
-        for begin in range(0, len(whole), WORDS_AT_ONCE):
-            words = whole[begin : begin + WORDS_AT_ONCE]
-            found = list(map(self.lasts.get, words))
-            if None in found:
-                known = self._last
-                found = [known(word) if n is None else n for word, n in zip(words, found)]
-            total += sum(found)
-        return total
-
-    def _last(self, word: str) -> int:
-        """The last entry of a word's table: as pre-tokens are encoded apart, the sum of their tables' last entries."""
-        last = self.lasts.get(word, self.older_lasts.get(word))  # the former if a text has it twice
-        if last is not None:
-            pass
-        elif word.isascii() and self.pattern == CLIP_PATTERN and not any(special in word for special in self.special):
-            last, ends = 0, self.ends
-            for piece in ASCII_PIECE.findall(word.lower()):
-                count = ends.get(piece)
-                if count is None:
-                    count = self.piece(piece)[-1]
-                    if len(piece) <= REMEMBERED_CHARS:
-                        if len(ends) >= REMEMBERED_ENDS:
-                            ends.clear()
-                        ends[piece] = count
-                last += count
-        else:
-            last = int.from_bytes(self.word(word)[-4:], sys.byteorder)
-        if len(word) <= REMEMBERED_CHARS:
-            if len(self.lasts) >= REMEMBERED_WORDS:
-                self.older_lasts, self.lasts = self.lasts, {}
-            self.lasts[word] = last
-        return last
-
     def prefixes(self, text: str):
         """Blocks of the counts of all prefixes of the normalised text, words apart by one blank."""
         total, count = 0, self.word
@@ -322,6 +310,18 @@ class PrefixCounter:
             yield block
 
 
+@contextmanager
+def without_collector():
+    """What is remembered has no cycles, but the collector would go through all of it again and again."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 @cache
 def counter(path: str) -> PrefixCounter:
     """One per Python worker."""
@@ -335,46 +335,58 @@ def token_prefixes(
     text_column: str = "text",
     tokenizer_path: str | None = None,
     keep_prefixes: bool = True,
+    budget: int | None = None,
 ) -> DataFrame:
     """Token counts of all prefixes of every text; one row per input row.
 
     A prefix is one of the normalised text: the words between ASCII white space, each normalised as the
     tokenizer does, joined by single blanks. ``prefix_tokens[i]`` is the exact number of tokens of its first
-    ``i`` code points. Returns the id, ``n_bytes`` of the text, ``n_tokens`` (the last entry) and, with
-    ``keep_prefixes``, ``normal_text`` and ``prefix_tokens``. Without it only the last entry of each word's table is
-    looked up and added, as whole tables are larger than the texts. Special strings inside texts are one token each.
+    ``i`` code points. Returns the id, ``n_bytes`` of the text, ``n_tokens`` (the last entry), with a ``budget``
+    ``budget_chars`` (code points of the longest prefix of at most so many tokens) and, with ``keep_prefixes``,
+    ``normal_text`` and ``prefix_tokens``. Without it the tables, which are larger than the texts, are read where
+    they are made and not returned. Special strings inside texts are one token each.
 
     Null and empty texts have no token. Ids are only handed through, so null, repeated and tied ones
     make no difference. No row is shuffled.
     """
     prepared(docs.sparkSession)
     path = tokenizer_path or public_path()
-    kept = ", normal_text string, prefix_tokens array<int>" if keep_prefixes else ""
+    extra = {"budget_chars": "bigint"} if budget is not None else {}
+    if keep_prefixes:
+        extra |= {"normal_text": "string", "prefix_tokens": "array<int>"}
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+    columns = {"n_bytes": "bigint", "n_tokens": "bigint", **extra}
 
     def count(arrived):
         state = counter(path)
         for batch in arrived:
-            ids, out = batch.column(0), {"n_bytes": [], "n_tokens": [], "normal_text": [], "prefix_tokens": []}
-            for value in batch.column(1):
-                text = value.as_py() or ""
-                out["n_bytes"].append(len(text.encode("utf-8")))
-                if not keep_prefixes:
-                    out["n_tokens"].append(state.whole(text))
-                else:
-                    table = np.concatenate([np.zeros(1, dtype=np.int64), *state.prefixes(text)]).astype(np.int32)
-                    out["n_tokens"].append(int(table[-1]))
-                    out["normal_text"].append(" ".join(map(state.normal, WORD.findall(text))))
-                    out["prefix_tokens"].append(table[: len(table) - (len(table) > 1)])  # no blank at the end
-            arrays = [ids, pa.array(out["n_bytes"], pa.int64()), pa.array(out["n_tokens"], pa.int64())]
-            if keep_prefixes:
-                arrays += [pa.array(out["normal_text"], pa.string()), pa.array(out["prefix_tokens"], pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
-
-    names = ["id", "n_bytes", "n_tokens", "normal_text", "prefix_tokens"]
+            ids, out = batch.column(0), {name: [] for name in columns}
+            with without_collector():
+                for value in batch.column(1):
+                    text = value.as_py() or ""
+                    out["n_bytes"].append(len(text.encode("utf-8")))
+                    blocks, last, chars, fitting = [], 0, 0, 0
+                    for block in state.prefixes(text):
+                        if budget is not None:
+                            # Counts may fall as a prefix grows, so the last one that fits counts.
+                            fits = np.flatnonzero(block <= budget)
+                            fitting = chars + int(fits[-1]) + 1 if len(fits) else fitting
+                        last, chars = int(block[-1]), chars + len(block)
+                        if keep_prefixes:
+                            blocks.append(block)
+                    out["n_tokens"].append(last)
+                    if budget is not None:
+                        out["budget_chars"].append(min(fitting, max(chars - 1, 0)))  # no blank at the end
+                    if keep_prefixes:
+                        table = np.concatenate([np.zeros(1, dtype=np.int64), *blocks]).astype(np.int32)
+                        out["normal_text"].append(" ".join(map(state.normal, WORD.findall(text))))
+                        out["prefix_tokens"].append(table[: len(table) - (len(table) > 1)])
+            arrays = [ids, *(pa.array(out[name], kinds[kind]) for name, kind in columns.items())]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", *columns])
+
     given = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    return given.mapInArrow(count, f"id bigint, n_bytes bigint, n_tokens bigint{kept}").withColumnRenamed(
-        "id", id_column
-    )
+    schema = ", ".join(f"{name} {kind}" for name, kind in {"id": "bigint", **columns}.items())
+    return given.mapInArrow(count, schema).withColumnRenamed("id", id_column)
 
 
 class WordCounter:
