@@ -19,20 +19,22 @@ from aerolens.llm.common import WORD, prepared
 
 #: Words whose prefix counts one Python worker remembers, twice; then the older half is let go.
 REMEMBERED_WORDS = 350_000
-REMEMBERED_PIECES = 250_000
 REMEMBERED_PREFIXES = 800_000
 REMEMBERED_PAIRS = 1_000_000
 NEVER = 1 << 60
-PAIR_BITS = 24
-#: The step before a word: no token, no counts, no suffix and no step before it.
-START = (0, 0, 0, 0, None)
-#: Longer words are counted without remembering their prefixes.
-REMEMBERED_CHARS = 40
+#: Before a word: no token and no counts, and no suffix that begins a token.
+START = ([0], [0], [0], 0)
+NO_TOKENS = ([], [])
+#: Longer words are counted without remembering them or their prefixes.
+REMEMBERED_LENGTH = 40
 #: Words of a text that are put together at once.
 WORDS_AT_ONCE = 1 << 16
 #: The tokenizer's pattern of pre-tokens, and what it means for lower-case ASCII text (fixed values).
 CLIP_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+")
+#: The same for words of ASCII and the accented letters of Latin-1, which are composed and whose small letters are here too.
+LATIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~]+")
+LATIN_WORD = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 
 
 def public_path(name: str = "word_bpe_49k.json") -> str:
@@ -69,12 +71,14 @@ class PrefixCounter:
         self.chains: dict[str, tuple[list, list] | None] = {b[:i]: None for b in bodies for i in range(1, len(b) + 1)}
         self.tokens = ["", *self.vocabulary]
         self.number = {token: i for i, token in enumerate(self.tokens)}
-        self.neighbours: dict[int, bool] = {}
+        # By token, the tokens before it that were met and whether it may follow them.
+        self.neighbours: dict[int, dict[int, bool]] = {}
+        self.pairs = 0
         self.spines: dict[str, tuple[list, list] | None] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.states: dict[str, tuple] = {}
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # A prefix has the lists of the word it was first met in, and the length of its longest suffix that begins a token.
+        self.states: dict[str, tuple[list[int], list[int], list[int], int]] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _tree(self, token: str):
         """How BPE builds a token: nested ``(text, rank, left, right)``; ``None`` if it would not build it."""
@@ -107,13 +111,13 @@ class PrefixCounter:
             self.spines[token] = tuple(sides) if tree else None
         return self.spines[token]
 
-    def _follows(self, pair: int) -> bool:
-        """Whether a token may follow another, by their numbers in one; number 0 is the start of the word.
+    def _follows(self, previous: int, number: int) -> bool:
+        """Whether a token may follow another, by their numbers; number 0 is the start of the word.
 
         It may not if some merge joins a last symbol of ``before`` with a first symbol of ``token`` while
         both are there. Of equal merges the left one comes first.
         """
-        before, token = self.tokens[pair >> PAIR_BITS], self.tokens[pair & (1 << PAIR_BITS) - 1]
+        before, token = self.tokens[previous], self.tokens[number]
         known, follower = True, self._edges(token)
         if follower is None:
             known = False
@@ -126,59 +130,91 @@ class PrefixCounter:
                         r = max(r, made_x, made_y)
                         if r < ends_x and r <= ends_y:
                             known = False
-        if len(self.neighbours) >= REMEMBERED_PAIRS:
-            self.neighbours.clear()
-        self.neighbours[pair] = known
+        if self.pairs >= REMEMBERED_PAIRS:
+            # The chains go on using the same tables.
+            for met in self.neighbours.values():
+                met.clear()
+            self.pairs = 0
+        self.neighbours[number][previous] = known
+        self.pairs += 1
         return known
 
     def _chain(self, node: str) -> tuple[list, list]:
-        """Lengths and numbers of the tokens that end ``node`` and go on, and of those that end a word with it."""
+        """Lengths, numbers and neighbours of the tokens that end ``node`` and go on, and of those that end a word with it."""
         suffixes = [node[i:] for i in range(len(node))]
+
+        def entry(body: str, token: str) -> tuple[int, int, dict[int, bool]]:
+            number = self.number[token]
+            return len(body), number, self.neighbours.setdefault(number, {})
+
         found = self.chains[node] = (
-            [(len(t), self.number[t]) for t in suffixes if t in self.inside],
-            [(len(t), self.number[t + self.end]) for t in suffixes if t in self.ending],
+            [entry(t, t) for t in suffixes if t in self.inside],
+            [entry(t, t + self.end) for t in suffixes if t in self.ending],
         )
         return found
 
     def piece(self, text: str) -> list[int]:
         """Token counts of all prefixes of one pre-token, each taken as a whole word."""
-        found = self.pieces.get(text)
-        if found is None:
-            found = self._piece(text)
-            if len(text) <= REMEMBERED_CHARS:
-                if len(self.pieces) >= REMEMBERED_PIECES:
-                    self.pieces.clear()
-                self.pieces[text] = found
-        return found
-
-    def _piece(self, text: str) -> list[int]:
-        if text.isascii() and text.isalpha():
-            symbols, ends = text, range(1, len(text) + 1)
-        else:
-            mapped = [self._symbol(character) for character in text]
-            symbols, ends = "".join(mapped), list(accumulate(map(len, mapped)))
-        states, size, known = self.states, len(symbols), 0
-        short = size <= REMEMBERED_CHARS
+        if text.isascii() and text.isprintable():
+            return self._counts(text, None)[1:]
+        mapped = [self._symbol(character) for character in text]
+        ends = list(accumulate(map(len, mapped)))
+        counts = self._counts("".join(mapped), set(ends))
+        return [counts[i] for i in ends]
+
+    def _counts(self, symbols: str, ends: set[int] | None) -> list[int]:
+        """Counts after each number of symbols where a word can end, at ``ends`` or everywhere; what is between has none.
+
+        Step by step: the last token and the count where the word goes on, and the count where it ends. The longest
+        suffix that begins a token is at most one symbol longer than the one before.
+        """
+        states, chains, size = self.states, self.chains, len(symbols)
+        short = size <= REMEMBERED_LENGTH
+        known, found = 0, None
         if short:
             if len(states) >= REMEMBERED_PREFIXES:
                 states.clear()
             # With a prefix all shorter ones are remembered.
-            known = size
-            while known and symbols[:known] not in states:
+            known, found = size, states.get(symbols)
+            while known and found is None:
                 known -= 1
-        steps, step = [], states[symbols[:known]] if known else START
-        while step:
-            steps.append(step)
-            step = step[4]
-        steps.reverse()
-        plain = isinstance(ends, range)
-        word_ends = () if plain else set(ends)
+                found = states.get(symbols[:known])
+        last, inner, outer, width = found or START
+        if known == size:
+            return outer[: size + 1]
+        last, inner, outer = last[: known + 1], inner[: known + 1], outer[: known + 1]
         for stop in range(known + 1, size + 1):
-            step = self._step(symbols, stop, steps, plain or stop in word_ends)
-            steps.append(step)
+            width += 1
+            node = symbols[stop - width : stop]
+            chain = chains.get(node, NO_TOKENS)
+            while chain is NO_TOKENS and width > 1:
+                width -= 1
+                node = node[1:]
+                chain = chains.get(node, NO_TOKENS)
+            inside, ending = chain or self._chain(node)
+            for length, token, met in inside:
+                before = last[stop - length]
+                follows = met.get(before)
+                if follows or follows is None and self._follows(before, token):
+                    last.append(token)
+                    inner.append(inner[stop - length] + 1)
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+            if ends is None or stop in ends:
+                for length, token, met in ending:
+                    before = last[stop - length]
+                    follows = met.get(before)
+                    if follows or follows is None and self._follows(before, token):
+                        outer.append(inner[stop - length] + 1)
+                        break
+                else:
+                    raise ValueError("the vocabulary lacks a byte")
+            else:
+                outer.append(0)
             if short:
-                states[symbols[:stop]] = step
-        return [steps[i][2] for i in ends]
+                states[symbols[:stop]] = last, inner, outer, width
+        return outer
 
     def _symbol(self, character: str) -> str:
         symbol = self.symbols.get(character)
@@ -186,53 +222,23 @@ class PrefixCounter:
             symbol = self.symbols[character] = self.bytes.pre_tokenize_str(character)[0][0]
         return symbol
 
-    def _step(self, symbols: str, stop: int, steps: list[tuple], ends: bool) -> tuple:
-        """After ``stop`` symbols: the last token and the count where the word goes on, the count where it ends,
-        the length of the longest suffix that begins a token, and the step before."""
-        chains, neighbours, previous = self.chains, self.neighbours, steps[-1]
-        # The longest suffix that begins a token is at most one symbol longer than the one before.
-        width = previous[3] + 1
-        node = symbols[stop - width : stop]
-        while node not in chains:
-            width -= 1
-            if not width:
-                raise ValueError("the vocabulary lacks a byte")
-            node = node[1:]
-        inside, ending = chains[node] or self._chain(node)
-        inner = count = outer = 0
-        for length, token in inside:
-            before = steps[stop - length]
-            pair = before[0] << PAIR_BITS | token
-            known = neighbours.get(pair)
-            if known or known is None and self._follows(pair):
-                inner, count = token, before[1] + 1
-                break
-        if ends:
-            for length, token in ending:
-                before = steps[stop - length]
-                pair = before[0] << PAIR_BITS | token
-                known = neighbours.get(pair)
-                if known or known is None and self._follows(pair):
-                    outer = before[1] + 1
-                    break
-        if not inner or ends and not outer:
-            raise ValueError("the vocabulary lacks a byte")
-        return inner, count, outer, width, previous
-
     def plain(self, text: str) -> list[int]:
         """Counts of all prefixes of normalised text without special strings."""
         if text.isascii() and text.isalpha():
             return self.piece(text)
         found: list[int] = []
         total = 0
-        # In ASCII text the pattern means the same to Python, which is faster.
-        pieces = (
-            [(m.group(), m.span()) for m in ASCII_PIECE.finditer(text)]
-            if text.isascii() and self.pattern == CLIP_PATTERN
-            else self.split.pre_tokenize_str(text)
-        )
-        for piece, (start, _) in pieces:
-            found += [total] * (start - len(found))  # white space
+        known = self._pattern_of(text)
+        if known and " " not in text:
+            # The pieces are the whole text.
+            pieces = [(piece, 0) for piece in known.findall(text)]
+        elif known:
+            pieces = [(m.group(), m.start()) for m in known.finditer(text)]
+        else:
+            pieces = [(piece, start) for piece, (start, _) in self.split.pre_tokenize_str(text)]
+        for piece, start in pieces:
+            if start > len(found):
+                found += [total] * (start - len(found))  # white space
             counts = self.piece(piece)
             if piece[0] == "'" and piece[1:].isalpha():
                 # A contraction cut short is an apostrophe and letters.
@@ -240,10 +246,16 @@ class PrefixCounter:
                 counts = [counts[0], *(counts[0] + n for n in inner[:-1]), counts[-1]]
                 if len(piece) > 2:
                     counts[1] = counts[0] + inner[0]
-            found += [total + n for n in counts]
+            found += [total + n for n in counts] if total else counts
             total = found[-1]
         return found + [total] * (len(text) - len(found))
 
+    def _pattern_of(self, text: str) -> re.Pattern | None:
+        """A pattern that means the same to Python for this normalised text; it is faster."""
+        if self.pattern != CLIP_PATTERN:
+            return None
+        return ASCII_PIECE if text.isascii() else LATIN_PIECE if LATIN_WORD.fullmatch(text) else None
+
     def normal(self, word: str) -> str:
         """A word as the tokenizer sees it; special strings stay as they are."""
         return "".join(part if special else self.normalizer.normalize_str(part) for part, special in self._cut(word))
@@ -266,10 +278,14 @@ class PrefixCounter:
 
     def word(self, word: str) -> bytes:
         """32-bit counts of all prefixes of a normalised word, then once more that of the whole."""
-        known = self.words.get(word) or self.older.get(word)
-        if known is None:
-            known = self._word(word)
-        if len(word) <= REMEMBERED_CHARS and word not in self.words:
+        return self._of_bytes(word.encode())
+
+    def _of_bytes(self, word: bytes) -> bytes:
+        known = self.words.get(word)
+        if known is not None:
+            return known
+        known = self.older.get(word) or self._word(word.decode())
+        if len(word) <= REMEMBERED_LENGTH:
             if len(self.words) >= REMEMBERED_WORDS:
                 self.older, self.words = self.words, {}
             self.words[word] = known
@@ -277,7 +293,7 @@ class PrefixCounter:
 
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isalpha():
-            counts = self.plain(word.lower())
+            counts = self._counts(word.lower(), None)[1:]
             return array("i", [*counts, counts[-1]]).tobytes()
         counts: list[int] = []
         total, tail = 0, ""
@@ -288,15 +304,16 @@ class PrefixCounter:
                 counts.append(total + (self.plain(tail)[-1] if tail else 0) + 1)
                 total, tail = counts[-1], ""
             else:
-                tail = part.lower() if part.isascii() else self.normalizer.normalize_str(part)
+                plain = part.isascii() or LATIN_WORD.fullmatch(part)
+                tail = part.lower() if plain else self.normalizer.normalize_str(part)
                 counts += [total + n for n in self.plain(tail)]
         counts.append(counts[-1] if counts else total)
         return array("i", counts).tobytes()
 
     def prefixes(self, text: str):
         """Blocks of the counts of all prefixes of the normalised text, words apart by one blank."""
-        total, count = 0, self.word
-        whole = WORD.findall(text)
+        total, count = 0, self._of_bytes
+        whole = text.encode().split()  # bytes are split at ASCII white space only
         for begin in range(0, len(whole), WORDS_AT_ONCE):
             words = whole[begin : begin + WORDS_AT_ONCE]
             known = self.words.get
@@ -398,7 +415,7 @@ class WordCounter:
 
     def _word(self, word: str) -> int:
         count = len(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(word) <= REMEMBERED_CHARS:
+        if len(word) <= REMEMBERED_LENGTH:
             if len(self.known) >= REMEMBERED_WORDS:
                 self.known.clear()
             self.known[word] = count

@@ -1,6 +1,7 @@
 """The place where a text reaches a budget of tokens, read from its table of prefixes."""
 
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 from aerolens.llm.queries import TOKEN_LIMIT, op2_token_counts
 from aerolens.llm.token_counts import PrefixCounter, counter, longest_prefix, public_path, token_prefixes
@@ -39,3 +40,32 @@ def test_words_sharing_prefixes(words):
 
 
 FRESH = PrefixCounter(public_path())
+
+
+LATIN = [chr(c) for c in [*range(0x21, 0x7F), *range(0xC0, 0x100)] if chr(c) not in "×÷"]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from([*LATIN, *"aeénßÀ'1,."]), min_size=1, max_size=12), max_size=6))
+def test_latin_words_count_as_the_tokenizer_does(words):
+    def tokens(text):
+        return len(TOKENIZER.encode(text, add_special_tokens=False).ids)
+
+    text = "\t".join(words)
+    assert [int(block[-1]) for block in SHORT.prefixes(text)] == ([tokens(text)] if words else [])
+    for word in words:
+        table = list(SHORT.prefixes(word))[0]
+        assert [int(n) for n in table[:-1]] == [tokens(word[:i]) for i in range(1, len(word) + 1)]
+
+
+TOKENIZER = Tokenizer.from_file(public_path())
+
+
+class _Unused:
+    def __getattr__(self, name):
+        raise AssertionError("words of Latin-1 letters need no calls of the tokenizer")
+
+
+#: Counts words of Latin-1 letters without the library's normalizer and splitter.
+SHORT = PrefixCounter(public_path())
+SHORT.normalizer = SHORT.split = _Unused()
