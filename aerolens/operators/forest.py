@@ -198,14 +198,15 @@ def isolation_outliers(
     contamination: float = 0.05,
     medians: DataFrame | None = None,
     name: str = "is_isolation_outlier",
+    narrow: bool = True,
 ) -> DataFrame:
     """Score all rows and flag the most isolated share.
 
     Scores are computed in Python once and written; the exact limit and the flags then
-    come from the stored scores.
+    come from the stored scores. ``narrow`` as in ``exact_quantiles``.
     """
     scored = materialized(score_isolation_forest(df, nodes, features, medians=medians), "scores")
-    limit = settled(exact_quantiles(scored, ["isolation_score"], 1.0 - contamination)).scalar()
+    limit = settled(exact_quantiles(scored, ["isolation_score"], 1.0 - contamination, narrow=narrow)).scalar()
     return scored.withColumn(name, F.coalesce(F.col("isolation_score") > limit, F.lit(False)))
 
 

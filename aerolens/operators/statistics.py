@@ -121,14 +121,18 @@ def _between(c: str) -> str:
 
 #: The built-in percentile holds so many distinct values of a column in one task at most: some megabytes.
 ONE_PASS_ROWS = 100_000
+#: Of so many rows about 6/accuracy are inside the first bracket, 60,000 of each column, which one task can sum up.
+ONE_BRACKET_ROWS = 100_000_000
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probability: float = 0.5, accuracy: int = 10_000, rows: int | None = None
+    df: DataFrame, columns: list[str], probability: float = 0.5, accuracy: int = 10_000, rows: int | None = None,
+    narrow: bool = True,
 ) -> DataFrame:
     """One row with the exact, linearly interpolated quantile of each column.
 
     If ``rows``, their number, is known to be ``ONE_PASS_ROWS`` at most, the built-in percentile takes one pass.
+    Up to ``ONE_BRACKET_ROWS`` the second pass below may be left out by ``narrow``; the result is the same.
 
     The built-in exact percentile keeps every distinct value of the frame in one task. Here a first
     pass finds a narrow bracket around the quantile and a second one a part of that bracket; the third counts the
@@ -138,20 +142,23 @@ def exact_quantiles(
     """
     if rows is not None and rows <= ONE_PASS_ROWS:
         return _aggregate(df, *(f"percentile(cast({c} as double), {probability}D) as {c}" for c in columns))
-    brackets = _narrowed(df, columns, summary(df, columns, probability, accuracy), probability)
+    brackets = summary(df, columns, probability, accuracy)
+    if narrow:
+        brackets = _narrowed(df, columns, brackets, probability)
     ends = _quantile_ends(df, columns, brackets, probability)
     return ends.selectExpr(*[f"{_between(c)} as {c}" for c in columns])
 
 
-def imputed_moments(df: DataFrame, columns: list[str]) -> DataFrame:
+def imputed_moments(df: DataFrame, columns: list[str], narrow: bool = True) -> DataFrame:
     """One row: per column the median, and mean and sample deviation after median imputation.
 
     The moments of the imputed column follow from those of the known values and the number of
-    missing ones, so no further pass over the rows is needed.
+    missing ones, so no further pass over the rows is needed. ``narrow`` as in ``exact_quantiles``.
     """
     known = summary(df, columns)
     # The summary is the same subquery as the one inside, which Spark runs once.
-    ends = with_scalar(_quantile_ends(df, columns, _narrowed(df, columns, known, 0.5), 0.5), known, "_k")
+    brackets = _narrowed(df, columns, known, 0.5) if narrow else known
+    ends = with_scalar(_quantile_ends(df, columns, brackets, 0.5), known, "_k")
 
     def moments(c: str) -> str:
         k, median = f"_k.{c}", _between(c)

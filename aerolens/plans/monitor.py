@@ -16,7 +16,7 @@ from aerolens.operators.forest import fit_isolation_forest, isolation_outliers
 from aerolens.operators.keyed import absent_rows
 from aerolens.operators.model import model_features, score_aqi, update_aqi_model
 from aerolens.operators.outliers import zscore_outliers
-from aerolens.operators.statistics import exact_quantiles, imputed_moments, medians_of, settled
+from aerolens.operators.statistics import ONE_BRACKET_ROWS, exact_quantiles, imputed_moments, medians_of, settled
 from aerolens.plans.deletes import finish_deletes
 from aerolens.plans.store import Store
 from aerolens.schema import DERIVED_FEATURES, FOREST_FEATURES, MONITOR_FEATURES, TRAINING_FEATURES
@@ -63,19 +63,22 @@ class CycleReport:
 
 
 def detect_anomalies(
-    window: DataFrame, profile: Profile = FULL, *, contamination: float = 0.05, trees: int | None = None
+    window: DataFrame, profile: Profile = FULL, *, contamination: float = 0.05, trees: int | None = None,
+    narrow: bool = True,
 ) -> DataFrame:
     """Rows of a gated window with the flags of the forest and, in the full profile, of the z-scores.
 
-    The medians and moments are computed once for all steps.
+    The medians and moments are computed once for all steps. ``narrow`` as in ``exact_quantiles``.
     """
     features = profile.features
-    moments = settled(imputed_moments(window, features))
+    moments = settled(imputed_moments(window, features, narrow))
     medians = medians_of(moments, features)
     nodes = fit_isolation_forest(
         window, features, trees=trees or profile.trees, max_samples=profile.max_samples, medians=medians
     )
-    flagged = isolation_outliers(window, nodes, features, contamination=contamination, medians=medians)
+    flagged = isolation_outliers(
+        window, nodes, features, contamination=contamination, medians=medians, narrow=narrow
+    )
     return zscore_outliers(flagged, features, moments=moments) if profile.statistical else flagged
 
 
@@ -85,6 +88,11 @@ def _alerts(flagged: DataFrame, profile: Profile) -> DataFrame:
     return anomaly_alerts_simple(flagged.withColumnRenamed("is_isolation_outlier", "is_outlier"))
 
 
+def _narrow(stored: DataFrame) -> bool:
+    """Whether a stored window is so large that its quantiles need a narrower bracket; only file footers are read."""
+    return stored.count() > ONE_BRACKET_ROWS
+
+
 def _has_rows(df: DataFrame, minimum: int) -> bool:
     return df.limit(minimum).count() >= minimum
 
@@ -99,7 +107,9 @@ def detect_step(
         return 0
     # Several passes follow; the window is cut out of the large table once.
     window = materialized(window, "window")
-    found = _alerts(detect_anomalies(window, profile, contamination=contamination, trees=trees), profile)
+    found = _alerts(detect_anomalies(
+        window, profile, contamination=contamination, trees=trees, narrow=_narrow(window)
+    ), profile)
     # An alert carries the time of its reading, so older ones need not be looked at. Rows that an
     # earlier try of this cycle wrote do not count as known: they are written again.
     known = store.alerts(as_of - dt.timedelta(minutes=minutes)).where(
@@ -125,7 +135,8 @@ def train_and_score_step(
     if not _has_rows(training, profile.min_train):
         return 0
     features = profile.training
-    medians = settled(exact_quantiles(training, features))
+    narrow = _narrow(scoring)
+    medians = settled(exact_quantiles(training, features, narrow=narrow))
     # Each profile has its own features, and so its own model.
     state = update_aqi_model(training, features, store.model_before(profile.name, cycle), medians=medians)
     store.save_model(state, profile.name, cycle)
@@ -136,7 +147,7 @@ def train_and_score_step(
         features = model_features(judge)
     scored = score_aqi(
         scoring, judge,
-        medians=settled(exact_quantiles(scoring, features)),
+        medians=settled(exact_quantiles(scoring, features, narrow=narrow)),
         version=version,
         predicted_at=timestamp_literal(as_of),
     )

@@ -210,9 +210,9 @@ def finish_upsert(spark: SparkSession, path: str, schema: T.StructType, partitio
     """
     staged = f"{path}/{STAGE}"
     if folders.exists(spark, f"{staged}/_SUCCESS"):
+        # Each staged file is of one partition, so the rows need not be dealt out again.
         (
             read_table(spark, staged, schema, f"{partition} {kind}")
-            .hint("rebalance", partition)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition)

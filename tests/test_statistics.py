@@ -78,3 +78,24 @@ def test_few_rows_take_one_pass(small):
         given = [exact_quantiles(small.readings, columns, probability, rows=rows).first() for rows in (None, 1000, 10**9)]
         for row in given[1:]:
             assert all(abs(row[c] - given[0][c]) < 1e-9 for c in columns)
+
+
+def test_first_bracket_alone_gives_the_same(spark, values):
+    frame, names = frames(spark, values), list(values.columns)
+    for probability in (0.02, 0.5, 0.98):
+        wide, short = (exact_quantiles(frame, names, probability, accuracy=500, narrow=n) for n in (True, False))
+        assert wide.first() == short.first()
+    assert imputed_moments(frame, names).first() == imputed_moments(frame, names, narrow=False).first()
+
+
+def test_monitor_makes_no_pass_for_a_narrower_bracket(spark, small, tmp_path, monkeypatch):
+    from aerolens.operators import statistics
+    from aerolens.plans.monitor import run_cycle
+    from aerolens.plans.store import Store
+    from aerolens.sources.tables import write_partitioned
+
+    store = Store(spark, str(tmp_path), "day")
+    write_partitioned(small.readings, store.path("readings"))
+    monkeypatch.setattr(statistics, "_narrowed", None)
+    report = run_cycle(spark, store, cycle=1, outlier_window=7 * 1440, ml_window=7 * 1440, trees=5)
+    assert not report.errors and report.predictions > 0
