@@ -61,7 +61,10 @@ def train_aqi_model(
             LogisticRegression(family="multinomial", maxIter=max_iter, regParam=1e-4),
         ]
     )
-    return pipeline.fit(prepared)
+    model = pipeline.fit(prepared)
+    # The summary of two classes holds the session, which tasks cannot take along once it has observed a query.
+    model.stages[-1]._java_obj.setSummary(prepared.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def save_aqi_model(model: PipelineModel, path: str) -> None:

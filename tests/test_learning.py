@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from aerolens.operators import derive, filters, forest, model
 from aerolens.operators.aggregates import model_accuracy
@@ -169,6 +169,14 @@ def test_class_that_never_occurs_gets_zero(training):
     assert model.score_aqi(training, trained).agg(F.max("proba_hazardous")).first()[0] == 0.0
 
 
+def test_two_classes_are_scored_after_an_observation(spark, training):
+    seen = Observation()
+    assert spark.range(3).observe(seen, F.count("*").alias("n")).count() and seen.get["n"] == 3
+    trained = model.train_aqi_model(training.where("aqi_bucket in ('Good', 'Moderate')"))
+    assert not trained.stages[-1].hasSummary
+    assert model.score_aqi(training, trained).agg(F.max("proba_hazardous")).first()[0] == 0.0
+
+
 def test_one_epoch_over_one_partition_equals_numpy(spark):
     """Moments, scaling and every mini-batch step of one class a column, by hand."""
     rng = np.random.default_rng(11)
